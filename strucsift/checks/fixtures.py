@@ -220,7 +220,7 @@ class Fixtures:
     @cached_property
     def landing(self) -> DataFrame:
         """Structure rows with their atoms as arrays, as an ingest job leaves them."""
-        per_atom = F.array_sort(F.collect_list(F.struct(
+        per_atom = F.sort_array(F.collect_list(F.struct(
             "idx", "z", F.array("px", "py", "pz").alias("p"), F.array("fx", "fy", "fz").alias("f"), "charge", "tag")))
         arrays = self.atoms.groupBy("sid").agg(per_atom.alias("a"))
         stress = F.array("s0", "s1", "s2", "s3", "s4", "s5")

@@ -58,12 +58,12 @@ def surface_normal(cell: Cell) -> Vector:
     return tuple(F.when(length >= 1e-8, c * side / length) for c in raw)
 
 
-def in_plane_fractions(cell: Cell, position: Vector) -> tuple[Column, Column]:
-    """Fractional coordinates along the first two lattice vectors."""
+def in_plane_rows(cell: Cell) -> tuple[Vector, Vector]:
+    """Vectors whose dot product with a position is its fraction along the first two lattice vectors."""
     a, b, c = cell
     bc, ca = cross(b, c), cross(c, a)
     volume = dot(a, bc)
-    return dot(position, bc) / volume, dot(position, ca) / volume
+    return tuple(x / volume for x in bc), tuple(x / volume for x in ca)
 
 
 def voigt_to_full(stress: Column) -> Column:

@@ -67,7 +67,7 @@ def dipole_moment() -> Column:
 
 def atomic_symbols() -> Column:
     """Distinct element symbols in alphabetical order, joined."""
-    return F.array_join(F.array_sort(F.collect_set(elements.symbol(F.col("z")))), "")
+    return F.array_join(F.sort_array(F.collect_set(elements.symbol(F.col("z")))), "")
 
 
 def parity_spin() -> Column:
@@ -105,7 +105,7 @@ def composition(atoms: DataFrame) -> DataFrame:
     return (
         counted.groupBy("sid").agg(entries.alias("entries"), has_carbon.alias("has_carbon"))
         .select("sid", F.array_join(
-            F.transform(F.array_sort(F.transform("entries", place)), spell), ""
+            F.transform(F.sort_array(F.transform("entries", place)), spell), ""
         ).alias("composition"))
     )
 
@@ -115,7 +115,7 @@ def atom_counts(atoms: DataFrame) -> DataFrame:
 
     The list is a field of the structure record, so it is as long as the structure.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("idx", "z")))
+    ordered = F.sort_array(F.collect_list(F.struct("idx", "z")))
     return atoms.groupBy("sid").agg(
         F.count(F.lit(1)).alias("num_atoms"),
         F.transform(ordered, lambda e: e["z"].cast("bigint")).alias("atomic_numbers"),

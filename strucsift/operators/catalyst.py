@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strucsift.functions import elements
 from strucsift.functions.vectors import (
-    cell_of, dot, in_plane_fractions, norm, surface_normal, z_axis,
+    cell_of, dot, in_plane_rows, norm, surface_normal, z_axis,
 )
 from strucsift.operators.geometry import bond_radius, close_pairs, structure_valid
 
@@ -45,22 +45,34 @@ def catalyst_fields(info: dict[str, Column]) -> list[Column]:
 
 
 def _oriented(atoms: DataFrame, cells: DataFrame) -> DataFrame:
-    """Atoms with their height along the surface normal, the z-axis when there is no cell."""
+    """Atoms with their height along the surface normal, the z-axis when there is no cell.
+
+    Normal and in-plane rows are worked out once per structure, before the join.
+    """
     cell = cell_of(F.col("cell"))
     normal = surface_normal(cell)
-    no_cell = normal[0].isNull()
     up = tuple(F.coalesce(n, z) for n, z in zip(normal, z_axis()))
     third = tuple(F.when(norm(cell[2]) > 1e-12, c).otherwise(n) for c, n in zip(cell[2], up))
+    row_u, row_v = in_plane_rows((cell[0], cell[1], third))
+    frames = cells.select(
+        "sid", normal[0].isNull().alias("no_cell"),
+        *[c.alias(f"n{k}") for k, c in enumerate(up)],
+        *[c.alias(f"u{k}") for k, c in enumerate(row_u)],
+        *[c.alias(f"v{k}") for k, c in enumerate(row_v)],
+        norm(cell[0]).alias("len_a"), norm(cell[1]).alias("len_b"),
+    )
     position = tuple(F.col(f"p{a}") for a in "xyz")
-    along_a, along_b = in_plane_fractions((cell[0], cell[1], third), position)
-    return atoms.join(cells.select("sid", "cell"), "sid").select(
-        *atoms.columns,
-        dot(position, up).alias("height"),
-        no_cell.alias("no_cell"),
-        F.when(no_cell, position[0]).otherwise(along_a).alias("u"),
-        F.when(no_cell, position[1]).otherwise(along_b).alias("v"),
-        F.when(no_cell, F.lit(1.0)).otherwise(norm(cell[0])).alias("len_u"),
-        F.when(no_cell, F.lit(1.0)).otherwise(norm(cell[1])).alias("len_v"),
+    no_cell = F.col("no_cell")
+
+    def along(row: str) -> Column:
+        return dot(position, tuple(F.col(f"{row}{k}") for k in range(3)))
+
+    return atoms.join(frames, "sid").select(
+        *atoms.columns, "no_cell", along("n").alias("height"),
+        F.when(no_cell, position[0]).otherwise(along("u")).alias("u"),
+        F.when(no_cell, position[1]).otherwise(along("v")).alias("v"),
+        F.when(no_cell, F.lit(1.0)).otherwise(F.col("len_a")).alias("len_u"),
+        F.when(no_cell, F.lit(1.0)).otherwise(F.col("len_b")).alias("len_v"),
     )
 
 
@@ -99,13 +111,18 @@ def adsorbate_valid(atoms: DataFrame, cells: DataFrame) -> DataFrame:
         return F.when(F.col("no_cell"), F.col(f)).otherwise(image)
 
     radius = elements.vdw_radius(F.col("z"))
-    ranges = placed.join(slab_side, "sid").groupBy("sid").agg(
-        F.max(F.when(slab, F.col("height"))).alias("slab_top"),
-        F.min(F.when(ads, F.col("height"))).alias("ads_bottom"),
-        F.max(F.when(slab, radius)).alias("slab_radius"),
-        F.max(F.when(ads, radius)).alias("ads_radius"),
-        *[f(F.when(slab, wrapped(x))).alias(f"slab_{n}_{x}") for x in "uv" for n, f in (("lo", F.min), ("hi", F.max))],
-        *[f(F.when(ads, nearest(x))).alias(f"ads_{n}_{x}") for x in "uv" for n, f in (("lo", F.min), ("hi", F.max))],
+    parts = placed.join(slab_side, "sid").select(
+        "sid", "len_u", "len_v",
+        F.when(slab, F.col("height")).alias("slab_h"), F.when(ads, F.col("height")).alias("ads_h"),
+        F.when(slab, radius).alias("slab_r"), F.when(ads, radius).alias("ads_r"),
+        *[F.when(slab, wrapped(x)).alias(f"slab_{x}") for x in "uv"],
+        *[F.when(ads, nearest(x)).alias(f"ads_{x}") for x in "uv"],
+    )
+    ranges = parts.groupBy("sid").agg(
+        F.max("slab_h").alias("slab_top"), F.min("ads_h").alias("ads_bottom"),
+        F.max("slab_r").alias("slab_radius"), F.max("ads_r").alias("ads_radius"),
+        *[f(f"{part}_{x}").alias(f"{part}_{n}_{x}")
+          for part in ("slab", "ads") for x in "uv" for n, f in (("lo", F.min), ("hi", F.max))],
         F.max("len_u").alias("len_u"), F.max("len_v").alias("len_v"),
     )
     above = F.round(F.col("ads_bottom"), 9) > F.round(

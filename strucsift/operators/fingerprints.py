@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strucsift.functions.hashing import hex_to_long
-from strucsift.operators.geometry import both_ways, degrees
+from strucsift.operators.geometry import both_ways
 from strucsift.schema import FINGERPRINT_BITS
-from strucsift.session import ship_package
+from strucsift.session import cut_lineage, ship_package
 
 RADIUS = 2
 # Fixed value: keeps the union in the Tanimoto ratio above zero.
@@ -26,39 +26,41 @@ def _digest(*parts: Column) -> Column:
 
 
 def environment_ids(atoms: DataFrame, bonds: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Identifiers of every atom's environment at radius 0 to ``radius``.
+    """Per atom the identifiers ``ids`` of its environments at radius 0 to ``radius``.
 
     An identifier hashes the atom's own previous one with the count and sum of its neighbours'.
     The sum does not depend on neighbour order and is combined before the shuffle, so no
-    neighbour list is ever gathered.
+    neighbour list is ever gathered. Every atom is also linked to itself: one join and one
+    aggregation per round then carry its own identifiers along, and no round refers to the one
+    before it twice. Bonds are found once and kept in the shared folder.
     """
-    links = both_ways(bonds)
-    current = degrees(atoms, bonds).select(
-        "sid", "idx", _digest(F.lit("atom"), F.col("z"), F.col("degree")).alias("id"))
-    rounds = [current.withColumn("round", F.lit(0))]
+    itself = atoms.select("sid", F.col("idx").alias("u"), F.col("idx").alias("v"))
+    links = cut_lineage(both_ways(bonds).unionByName(itself))
+    degree = links.groupBy("sid", F.col("v").alias("idx")).agg((F.count(F.lit(1)) - 1).alias("degree"))
+    current = atoms.select("sid", "idx", "z").join(degree, ["sid", "idx"]).select(
+        "sid", "idx", F.array(_digest(F.lit("atom"), F.col("z"), F.col("degree"))).alias("ids"))
+    own = F.col("u") == F.col("v")
     for r in range(1, radius + 1):
-        around = (
-            links.join(current.select("sid", F.col("idx").alias("v"), F.col("id").alias("other")), ["sid", "v"])
-            .groupBy("sid", F.col("u").alias("idx"))
-            .agg(F.sum("other").alias("total"), F.count(F.lit(1)).alias("met"))
+        latest = F.element_at("ids", -1)
+        met = (
+            links.join(current.withColumnRenamed("idx", "v"), ["sid", "v"])
+            .groupBy("sid", F.col("u").alias("idx")).agg(
+                F.max(F.when(own, F.col("ids"))).alias("ids"),
+                F.coalesce(F.sum(F.when(~own, latest)), F.lit(0)).alias("total"),
+                F.count_if(~own).alias("met"))
         )
-        current = current.join(around, ["sid", "idx"], "left").select(
-            "sid", "idx",
-            _digest(F.lit(r), F.col("id"), F.coalesce("total", F.lit(0)), F.coalesce("met", F.lit(0))).alias("id"))
-        rounds.append(current.withColumn("round", F.lit(r)))
-    out = rounds[0]
-    for more in rounds[1:]:
-        out = out.unionByName(more)
-    return out
+        current = met.select("sid", "idx", F.array_append(
+            "ids", _digest(F.lit(r), F.element_at("ids", -1), F.col("total"), F.col("met"))).alias("ids"))
+    return current
 
 
 def circular_fingerprint(atoms: DataFrame, bonds: DataFrame, radius: int = RADIUS,
                          n_bits: int = FINGERPRINT_BITS) -> DataFrame:
     """Set bits of each structure's fingerprint, sorted: at most ``n_bits`` per structure."""
-    bit = F.pmod("id", F.lit(n_bits)).cast("int")
     return (
-        environment_ids(atoms, bonds, radius).select("sid", bit.alias("bit")).distinct()
-        .groupBy("sid").agg(F.array_sort(F.collect_list("bit")).alias("set_bits"))
+        environment_ids(atoms, bonds, radius).select("sid", F.explode("ids").alias("id"))
+        .select("sid", F.pmod("id", F.lit(n_bits)).cast("int").alias("bit")).distinct()
+        .groupBy("sid").agg(F.sort_array(F.collect_list("bit")).alias("set_bits"))
     )
 
 

@@ -103,39 +103,39 @@ def periodic_neighbour_list(atoms: DataFrame, cells: DataFrame, radius: Column |
     Valid while the cutoff is below the height of the cell along each lattice vector.
     """
     radius = bond_radius() if radius is None else radius
-    lattice = cell_of(F.col("cell"))
-    a, b, c = lattice
+    a, b, c = cell_of(F.col("cell"))
     volume = dot(a, cross(b, c))
-    home = tuple(F.col(f"p{x}") for x in _AXES)
-    fractions = [dot(home, cross(b, c)) / volume, dot(home, cross(c, a)) / volume, dot(home, cross(a, b)) / volume]
-    wrapped = [F.pmod(f, F.lit(1.0)) for f in fractions]
-
-    joined = atoms.join(cells.select("sid", "cell"), "sid").withColumn("r", radius)
-    reach = (
-        joined.groupBy("sid").agg(F.max("r").alias("r_max"))
+    # Worked out once per structure: lattice, reciprocal rows, and one fraction per Å of height.
+    reciprocal = [cross(b, c), cross(c, a), cross(a, b)]
+    lattice = cells.select(
+        "sid",
+        *[v[k].alias(f"l{i}{k}") for i, v in enumerate((a, b, c)) for k in range(3)],
+        *[(v[k] / volume).alias(f"g{i}{k}") for i, v in enumerate(reciprocal) for k in range(3)],
+        *[(norm(v) / F.abs(volume)).alias(f"per{i}") for i, v in enumerate(reciprocal)],
     )
-    inside = joined.join(reach, "sid").withColumns({f"w{k}": wrapped[k] for k in range(3)})
-    images = F.explode(F.array(*[
-        F.struct(*[F.lit(float(d)).alias(n) for n, d in zip("abc", offset)]) for offset in _AROUND
-    ]))
-    # An image matters only within reach of the cell: margin in fractions of each height.
-    heights = [volume / norm(cross(b, c)), volume / norm(cross(c, a)), volume / norm(cross(a, b))]
-    imaged = inside.withColumn("image", images).withColumns({
-        f"w{k}": F.col(f"w{k}") + F.col("image")[n] for k, n in enumerate("abc")
-    })
-    for k in range(3):
-        margin = 2 * F.col("r_max") / F.abs(heights[k])
-        imaged = imaged.filter(F.col(f"w{k}").between(-margin, 1 + margin))
-    cartesian = {
-        f"p{x}": F.col("w0") * a[k] + F.col("w1") * b[k] + F.col("w2") * c[k]
+    position = tuple(F.col(f"p{x}") for x in _AXES)
+    rows = {f"w{i}": F.pmod(dot(position, tuple(F.col(f"g{i}{k}") for k in range(3))), F.lit(1.0)) for i in range(3)}
+    sized = atoms.withColumn("r", radius)
+    reach = sized.groupBy("sid").agg((2 * F.max("r")).alias("reach"))
+    wrapped = sized.join(lattice.join(reach, "sid"), "sid").withColumns(rows)
+
+    def shifts(i: int) -> Column:
+        """The images of an atom along one lattice vector that come within reach of the cell."""
+        margin = F.col("reach") * F.col(f"per{i}")
+        return F.filter(
+            F.array(F.lit(-1.0), F.lit(0.0), F.lit(1.0)),
+            lambda d: (F.col(f"w{i}") + d).between(-margin, 1 + margin))
+
+    for i in range(3):
+        wrapped = wrapped.withColumn(f"d{i}", F.explode(shifts(i)))
+    moved = [F.col(f"w{i}") + F.col(f"d{i}") for i in range(3)]
+    cartesian = [
+        sum((moved[i] * F.col(f"l{i}{k}") for i in range(1, 3)), moved[0] * F.col(f"l0{k}")).alias(f"p{x}")
         for k, x in enumerate(_AXES)
-    }
-    is_home = (F.col("image.a") == 0) & (F.col("image.b") == 0) & (F.col("image.c") == 0)
-    points = imaged.withColumns(cartesian).withColumn("home", is_home)
-    pairs = close_pairs(
-        points.select("sid", "idx", "z", "px", "py", "pz", "home", "r"),
-        F.col("r"), F.col("home"), F.lit(True), ["idx", "z"],
-    )
+    ]
+    is_home = (F.col("d0") == 0) & (F.col("d1") == 0) & (F.col("d2") == 0)
+    points = wrapped.select("sid", "idx", "z", "r", *cartesian, is_home.alias("home"))
+    pairs = close_pairs(points, F.col("r"), F.col("home"), F.lit(True), ["idx", "z"])
     return (
         pairs.filter("a_idx < b_idx").groupBy("sid", F.col("a_idx").alias("i"), F.col("b_idx").alias("j"))
         .agg(F.min("dist").alias("dist"), F.count(F.lit(1)).alias("images"))

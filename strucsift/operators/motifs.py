@@ -18,7 +18,7 @@ def maximal_matches(matches: DataFrame) -> DataFrame:
     member instead of pairing up everything in a group.
     """
     sets = (
-        matches.withColumn("members", F.array_sort(F.array_distinct("members")))
+        matches.withColumn("members", F.sort_array(F.array_distinct("members")))
         .groupBy("id", "code", "members").agg(F.count(F.lit(1)).alias("n"))
     )
     outer = sets.select(

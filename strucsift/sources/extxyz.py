@@ -173,7 +173,7 @@ def frames_of_text(lines: DataFrame) -> DataFrame:
     offsets = splits.select("path", "block", F.coalesce(F.sum("frames").over(earlier), F.lit(0)).alias("before"))
     frame_idx = F.when(F.col("ordinal") >= 0, F.col("before") + F.col("ordinal")).otherwise(F.col("before") - 1)
     numbered = pieces.join(offsets, ["path", "block"]).withColumn("frame_idx", frame_idx)
-    in_order = F.array_sort(F.collect_list(F.struct("block", "ordinal", "lines")))
+    in_order = F.sort_array(F.collect_list(F.struct("block", "ordinal", "lines")))
     whole = numbered.filter("frame_idx >= 0").groupBy("path", "frame_idx").agg(
         F.flatten(F.transform(in_order, lambda p: p["lines"])).alias("lines"))
     return whole.mapInPandas(_parse_batches, FRAME_SCHEMA)
