@@ -376,7 +376,7 @@ GROUP BY c.entry_key"""
 _POSITIONED = """
 SELECT entry_key, bits, vec_id, row_number() OVER (ORDER BY md5(entry_key), entry_key) - 1 AS pos FROM V_fp"""
 ORACLES["greedy_diverse"] = f"""
-WITH RECURSIVE placed AS MATERIALIZED (SELECT entry_key, pos, pos // 100 AS block, bits FROM ({_POSITIONED})),
+WITH RECURSIVE placed AS MATERIALIZED (SELECT entry_key, pos, pos // 200 AS block, bits FROM ({_POSITIONED})),
 clash AS MATERIALIZED (
   SELECT a.pos AS member, b.pos AS row FROM placed a JOIN placed b ON a.block < b.block OR a.pos = 0
   WHERE {_distance('a', 'b')} <= 0.65),

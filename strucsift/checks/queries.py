@@ -495,7 +495,7 @@ def min_tanimoto(fx):
 
 @query
 def greedy_diverse(fx):
-    return sampling.greedy_diverse(fx.fingerprints, block_size=100).select("entry_key")
+    return sampling.greedy_diverse(fx.fingerprints, block_size=200).select("entry_key")
 
 
 @query

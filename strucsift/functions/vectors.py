@@ -35,10 +35,6 @@ def norm(u: Vector) -> Column:
     return F.sqrt(dot(u, u))
 
 
-def scale(u: Vector, k: Column) -> Vector:
-    return tuple(c * k for c in u)
-
-
 def cross(u: Vector, v: Vector) -> Vector:
     return (
         u[1] * v[2] - u[2] * v[1],
@@ -58,14 +54,6 @@ def surface_normal(cell: Cell) -> Vector:
     return tuple(F.when(length >= 1e-8, c * side / length) for c in raw)
 
 
-def in_plane_rows(cell: Cell) -> tuple[Vector, Vector]:
-    """Vectors whose dot product with a position is its fraction along the first two lattice vectors."""
-    a, b, c = cell
-    bc, ca = cross(b, c), cross(c, a)
-    volume = dot(a, bc)
-    return tuple(x / volume for x in bc), tuple(x / volume for x in ca)
-
-
 def voigt_to_full(stress: Column) -> Column:
     """Six Voigt components (xx, yy, zz, yz, xz, xy) as a symmetric 3×3 array; null otherwise."""
     s = [F.get(stress, F.lit(i)) for i in range(6)]

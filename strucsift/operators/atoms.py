@@ -86,11 +86,21 @@ def composition(atoms: DataFrame) -> DataFrame:
         atoms.groupBy("sid", "z").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("symbol", elements.symbol(F.col("z")))
     )
-    entries = F.collect_list(F.struct("symbol", "n"))
-    has_carbon = F.bool_or(F.col("symbol") == "C")
+    return counted.groupBy("sid").agg(*_formula_parts()).select("sid", _formula().alias("composition"))
+
+
+def _formula_parts() -> list[Column]:
+    """Aggregates over (structure, element) rows that :func:`_formula` spells out."""
+    return [
+        F.collect_list(F.struct("symbol", "n")).alias("entries"),
+        F.bool_or(F.col("symbol") == "C").alias("has_carbon"),
+    ]
+
+
+def _formula() -> Column:
+    first = F.array(*[F.lit(s) for s in FORMULA_ELEMENTS_FIRST])
 
     def place(entry: Column) -> Column:
-        first = F.array(*[F.lit(s) for s in FORMULA_ELEMENTS_FIRST])
         rank = F.array_position(first, entry["symbol"])
         leads = F.col("has_carbon") & (rank > 0)
         return F.struct(
@@ -102,12 +112,7 @@ def composition(atoms: DataFrame) -> DataFrame:
         count = F.when(entry["n"] > 1, entry["n"].cast("string")).otherwise(F.lit(""))
         return F.concat(entry["symbol"], count)
 
-    return (
-        counted.groupBy("sid").agg(entries.alias("entries"), has_carbon.alias("has_carbon"))
-        .select("sid", F.array_join(
-            F.transform(F.sort_array(F.transform("entries", place)), spell), ""
-        ).alias("composition"))
-    )
+    return F.array_join(F.transform(F.sort_array(F.transform("entries", place)), spell), "")
 
 
 def atom_counts(atoms: DataFrame) -> DataFrame:
@@ -135,16 +140,31 @@ def tag_counts(atoms: DataFrame, tag_sets: dict[str, list[int]]) -> DataFrame:
 
 
 def scalar_measures(atoms: DataFrame) -> DataFrame:
-    """All scalar measures in one aggregation, so the atom table is shuffled once."""
-    return atoms.groupBy("sid").agg(
-        F.count(F.lit(1)).alias("num_atoms"),
-        net_force_norm().alias("net_force_norm"),
-        max_force_norm().alias("max_force_norm"),
-        dipole_moment().alias("dipole_moment_magnitude"),
-        molecular_weight().alias("molecular_weight"),
-        atomic_symbols().alias("atomic_symbols"),
-        parity_spin().alias("parity_spin"),
-    )
+    """All scalar measures and the composition from one pass over the atoms.
+
+    Sums are taken per (structure, element) first; a structure then has at most one row per
+    element, from which its formula and every measure follow.
+    """
+    f, p, q = _force(), [F.col(f"p{a}") for a in "xyz"], F.col("charge")
+    per_element = atoms.groupBy("sid", "z").agg(
+        F.count(F.lit(1)).alias("n"), F.max(norm(f)).alias("f_max"), F.sum(q).alias("q"),
+        *[F.sum(x).alias(f"f{a}") for a, x in zip("xyz", f)],
+        *[F.sum(x).alias(f"p{a}") for a, x in zip("xyz", p)],
+        *[F.sum(q * x).alias(f"qp{a}") for a, x in zip("xyz", p)],
+    ).withColumns({"symbol": elements.symbol(F.col("z")), "mass": elements.mass(F.col("z"))})
+    total_mass, total_charge = F.sum(F.col("n") * F.col("mass")), F.sum("q")
+    dipole = tuple(
+        F.sum(f"qp{a}") - total_charge * (F.sum(F.col("mass") * F.col(f"p{a}")) / total_mass) for a in "xyz")
+    return per_element.groupBy("sid").agg(
+        F.sum("n").alias("num_atoms"),
+        norm(tuple(F.sum(f"f{a}") for a in "xyz")).alias("net_force_norm"),
+        F.max("f_max").alias("max_force_norm"),
+        (norm(dipole) / F.lit(DEBYE)).alias("dipole_moment_magnitude"),
+        total_mass.alias("molecular_weight"),
+        F.array_join(F.sort_array(F.collect_set("symbol")), "").alias("atomic_symbols"),
+        (F.lit(1) + F.pmod(F.sum(F.col("n") * F.col("z")), F.lit(2))).alias("parity_spin"),
+        *_formula_parts(),
+    ).withColumn("composition", _formula()).drop("entries", "has_carbon")
 
 
 # Weights of charge squared, charge and unpaired spin in the state score.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strucsift.functions import elements
 from strucsift.functions.vectors import (
-    cell_of, dot, in_plane_rows, norm, surface_normal, z_axis,
+    Vector, cell_of, cross, dot, norm, surface_normal, z_axis,
 )
 from strucsift.operators.geometry import bond_radius, close_pairs, structure_valid
 
@@ -44,30 +44,47 @@ def catalyst_fields(info: dict[str, Column]) -> list[Column]:
     ]
 
 
-def _oriented(atoms: DataFrame, cells: DataFrame) -> DataFrame:
-    """Atoms with their height along the surface normal, the z-axis when there is no cell.
+def slab_frames(cells: DataFrame) -> DataFrame:
+    """Per structure the surface normal ``n*``, the rows ``u*`` and ``v*`` that turn a position
+    into in-plane fractions, and the lengths of the two in-plane lattice vectors.
 
-    Normal and in-plane rows are worked out once per structure, before the join.
+    Worked out in steps, each a projection over the one before, so that no step repeats the
+    formulas of an earlier one.
     """
-    cell = cell_of(F.col("cell"))
-    normal = surface_normal(cell)
-    up = tuple(F.coalesce(n, z) for n, z in zip(normal, z_axis()))
-    third = tuple(F.when(norm(cell[2]) > 1e-12, c).otherwise(n) for c, n in zip(cell[2], up))
-    row_u, row_v = in_plane_rows((cell[0], cell[1], third))
-    frames = cells.select(
-        "sid", normal[0].isNull().alias("no_cell"),
-        *[c.alias(f"n{k}") for k, c in enumerate(up)],
-        *[c.alias(f"u{k}") for k, c in enumerate(row_u)],
-        *[c.alias(f"v{k}") for k, c in enumerate(row_v)],
-        norm(cell[0]).alias("len_a"), norm(cell[1]).alias("len_b"),
+    def named(prefix: str) -> Vector:
+        return tuple(F.col(f"{prefix}{k}") for k in range(3))
+
+    def columns(prefix: str, v: Vector) -> dict[str, Column]:
+        return {f"{prefix}{k}": c for k, c in enumerate(v)}
+
+    lattice = cell_of(F.col("cell"))
+    step = cells.select("sid", *[c.alias(n) for p, v in zip("abc", lattice) for n, c in columns(p, v).items()])
+    a, b, c = named("a"), named("b"), named("c")
+    step = step.withColumns(columns("m", surface_normal((a, b, c))))
+    step = step.withColumn("no_cell", F.col("m0").isNull()).withColumns(
+        columns("n", tuple(F.coalesce(m, z) for m, z in zip(named("m"), z_axis()))))
+    # A missing third vector is completed by the normal.
+    step = step.withColumns(columns(
+        "t", tuple(F.when(norm(c) > 1e-12, x).otherwise(y) for x, y in zip(c, named("n")))))
+    step = step.withColumns({**columns("p", cross(b, named("t"))), **columns("q", cross(named("t"), a))})
+    step = step.withColumn("volume", dot(a, named("p")))
+    return step.select(
+        "sid", "no_cell", *named("n"),
+        *[(x / F.col("volume")).alias(f"u{k}") for k, x in enumerate(named("p"))],
+        *[(x / F.col("volume")).alias(f"v{k}") for k, x in enumerate(named("q"))],
+        norm(a).alias("len_a"), norm(b).alias("len_b"),
     )
+
+
+def _oriented(atoms: DataFrame, cells: DataFrame) -> DataFrame:
+    """Atoms with their height along the surface normal, the z-axis when there is no cell."""
     position = tuple(F.col(f"p{a}") for a in "xyz")
     no_cell = F.col("no_cell")
 
     def along(row: str) -> Column:
         return dot(position, tuple(F.col(f"{row}{k}") for k in range(3)))
 
-    return atoms.join(frames, "sid").select(
+    return atoms.join(slab_frames(cells), "sid").select(
         *atoms.columns, "no_cell", along("n").alias("height"),
         F.when(no_cell, position[0]).otherwise(along("u")).alias("u"),
         F.when(no_cell, position[1]).otherwise(along("v")).alias("v"),

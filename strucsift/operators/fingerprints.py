@@ -34,24 +34,27 @@ def environment_ids(atoms: DataFrame, bonds: DataFrame, radius: int = RADIUS) ->
     aggregation per round then carry its own identifiers along, and no round refers to the one
     before it twice. Bonds are found once and kept in the shared folder.
     """
-    itself = atoms.select("sid", F.col("idx").alias("u"), F.col("idx").alias("v"))
-    links = cut_lineage(both_ways(bonds).unionByName(itself))
-    degree = links.groupBy("sid", F.col("v").alias("idx")).agg((F.count(F.lit(1)) - 1).alias("degree"))
-    current = atoms.select("sid", "idx", "z").join(degree, ["sid", "idx"]).select(
-        "sid", "idx", F.array(_digest(F.lit("atom"), F.col("z"), F.col("degree"))).alias("ids"))
+    itself = atoms.select("sid", F.col("idx").alias("u"), F.col("idx").alias("v"), "z")
+    others = both_ways(bonds).withColumn("z", F.lit(None).cast("int"))
+    links = cut_lineage(others.unionByName(itself), "links")
     own = F.col("u") == F.col("v")
+    current = (
+        links.groupBy("sid", F.col("v").alias("idx"))
+        .agg(F.max("z").alias("z"), F.count_if(~own).alias("degree"))
+        .select("sid", "idx", _digest(F.lit("atom"), F.col("z"), F.col("degree")).alias("id0"))
+    )
     for r in range(1, radius + 1):
-        latest = F.element_at("ids", -1)
+        known = [f"id{k}" for k in range(r)]
         met = (
-            links.join(current.withColumnRenamed("idx", "v"), ["sid", "v"])
+            links.drop("z").join(current.withColumnRenamed("idx", "v"), ["sid", "v"])
             .groupBy("sid", F.col("u").alias("idx")).agg(
-                F.max(F.when(own, F.col("ids"))).alias("ids"),
-                F.coalesce(F.sum(F.when(~own, latest)), F.lit(0)).alias("total"),
+                *[F.max(F.when(own, F.col(c))).alias(c) for c in known],
+                F.coalesce(F.sum(F.when(~own, F.col(known[-1]))), F.lit(0)).alias("total"),
                 F.count_if(~own).alias("met"))
         )
-        current = met.select("sid", "idx", F.array_append(
-            "ids", _digest(F.lit(r), F.element_at("ids", -1), F.col("total"), F.col("met"))).alias("ids"))
-    return current
+        fresh = _digest(F.lit(r), F.col(known[-1]), F.col("total"), F.col("met"))
+        current = met.select("sid", "idx", *known, fresh.alias(f"id{r}"))
+    return current.select("sid", "idx", F.array(*[f"id{k}" for k in range(radius + 1)]).alias("ids"))
 
 
 def circular_fingerprint(atoms: DataFrame, bonds: DataFrame, radius: int = RADIUS,

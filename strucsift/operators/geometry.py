@@ -234,17 +234,18 @@ def component_roots(bonds: DataFrame) -> DataFrame:
     Alternating large-star and small-star contraction: the number of rounds grows with the
     logarithm of the component size, and each round is a handful of keyed shuffles.
     """
-    edges = cut_lineage(bonds.select("sid", F.col("j").alias("u"), F.col("i").alias("v")).distinct())
-    state = None
+    edges = cut_lineage(bonds.select("sid", F.col("j").alias("u"), F.col("i").alias("v")).distinct(), "edges")
     while True:
-        new_state = edges.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum(F.xxhash64("sid", "u", "v").cast("decimal(38,0)")), F.lit(0)).alias("h"),
-        ).first()
-        if new_state == state:
+        edges = cut_lineage(_small_star(_large_star(edges)), "edges")
+        if _all_stars(edges):
             return edges
-        state = new_state
-        edges = cut_lineage(_small_star(_large_star(edges)))
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every atom hangs on one root only and no root hangs on another."""
+    twice = edges.groupBy("sid", "u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    chained = edges.join(edges.select("sid", F.col("u").alias("v")), ["sid", "v"], "left_semi")
+    return twice.isEmpty() and chained.isEmpty()
 
 
 def fragments(atoms: DataFrame, bonds: DataFrame) -> DataFrame:

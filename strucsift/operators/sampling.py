@@ -9,7 +9,7 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from strucsift.functions.hashing import hex_to_long, seeded_md5, uniform
@@ -183,21 +183,23 @@ def greedy_diverse(df: DataFrame, n: int | None = None, start: int | None = None
         first = rows.filter((F.col("block") == 0) & (F.col("position") == 0))
     layout = ["entry_key", "bits", "position"]
     first.select(*layout).write.parquet(f"{pool_at}/round=-1")
+    first_position = spark.read.schema("position bigint").parquet(pool_at).first()["position"]
     accepted = 1
 
     for block in range(-(-total // block_size)):
         if n is not None and accepted >= n:
             break
         pool = spark.read.schema("entry_key string, bits array<int>, position bigint").parquet(pool_at)
-        here = rows.filter(F.col("block") == block).join(pool.select("entry_key"), "entry_key", "left_anti")
+        # Of the pool, only the first member can belong to a block still to come.
+        here = rows.filter((F.col("block") == block) & (F.col("position") != first_position))
         nearest = min_distance_to_pool(here, pool, block_size, accepted)
         far = here.join(nearest.filter(F.col("distance") > threshold), "entry_key", "left_semi").select(*layout)
         if n is not None:
             # A block is bounded, so ordering what is left of it is too.
             far = far.orderBy("position").limit(n - accepted)
-        target = f"{pool_at}/round={block}"
-        far.write.parquet(target)
-        accepted += spark.read.schema("entry_key string").parquet(target).count()
+        seen = Observation()
+        far.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{pool_at}/round={block}")
+        accepted += seen.get["n"]
 
     if n is not None and accepted < n:
         logger.warning("selected %s of %s rows; lower the threshold or ask for fewer", accepted, n)

@@ -16,9 +16,19 @@ SOURCE = ["database_name", "split_name"]
 
 
 def locate(keys: DataFrame, strict: bool = True) -> DataFrame:
-    """Distinct keys with the location each one spells out."""
-    parsed = keys.select("entry_key").distinct().withColumn("at", parse_key(F.col("entry_key"), strict))
-    return parsed.select("entry_key", "at.*")
+    """Distinct keys with the location each one spells out.
+
+    A parsed key has all four parts. Saying so keeps the optimizer from repeating the parse in
+    null checks that it would push down to where the key is made.
+    """
+    parsed = keys.select("entry_key").filter(F.col("entry_key").isNotNull()).distinct().withColumn(
+        "at", parse_key(F.col("entry_key"), strict))
+    if not strict:
+        parsed = parsed.filter(F.col("at").isNotNull())
+    return parsed.select(
+        "entry_key",
+        *[F.coalesce(F.col(f"at.{c}"), F.lit("")).alias(c) for c in LOCATION[:3]],
+        F.coalesce(F.col("at.frame_idx"), F.lit(-1)).alias("frame_idx"))
 
 
 def unregistered_keys(keys: DataFrame, registry: DataFrame) -> DataFrame:

@@ -20,7 +20,6 @@ def derive(atoms: DataFrame) -> DataFrame:
     """All per-structure measures of the atom table, one row per ``sid``."""
     return (
         atom_ops.scalar_measures(atoms)
-        .join(atom_ops.composition(atoms), "sid")
         .join(structure_valid(atoms), "sid")
         .join(water_count(atoms), "sid")
     )

@@ -29,7 +29,10 @@ _PIECE_SCHEMA = "path string, block bigint, ordinal bigint, lines array<string>"
 
 ATOMIC_NUMBER = {s: z for z, s in enumerate(SYMBOLS)}
 
-_COUNT_LINE = re.compile(r"\s*\d+\s*$")
+# A line that is one integer starts a frame. The comment line of this format has key=value pairs,
+# so it cannot be mistaken for one.
+COUNT_LINE = r"^[ \t\r]*[0-9]+[ \t\r]*$"
+_COUNT_LINE = re.compile(COUNT_LINE)
 _PAIR = re.compile(r"""([^\s=]+)=(?:"([^"]*)"|'([^']*)'|(\[[^\]]*\])|(\{[^}]*\})|(\S+))""")
 _DECODE_BYTES = 1 << 20
 PIECES_PER_BATCH = 1024
@@ -97,15 +100,13 @@ def parse_frame(lines: list[str]) -> dict | None:
 def _assemble(lines: Iterable[str]) -> Iterator[list[str]]:
     """Group lines into frames. The first piece may be the tail of an earlier frame."""
     frame: list[str] = []
-    awaiting_comment = False
     for line in lines:
-        if not awaiting_comment and _COUNT_LINE.match(line):
+        if _COUNT_LINE.match(line):
             if frame:
                 yield frame
-            frame, awaiting_comment = [line], True
-        elif line.strip() or awaiting_comment:
+            frame = [line]
+        elif line.strip() or len(frame) == 1:
             frame.append(line)
-            awaiting_comment = False
     if frame:
         yield frame
 
@@ -161,14 +162,14 @@ def read_extxyz(spark: SparkSession, path: str, glob: str | None = None) -> Data
 def frames_of_text(lines: DataFrame) -> DataFrame:
     """Frames from text lines ``(path, block, value)`` read split by split, in file order.
 
-    The pieces are the only text that moves, and each moves once: a frame that begins in a
-    split is joined with the headless pieces of the splits after it, and frame numbers are
-    shifted by the frame counts of the earlier splits of the file.
+    A first scan only counts the frame starts of each split, to know where its frame numbers
+    begin. Then the pieces move once: a frame that begins in a split is joined with the headless
+    pieces of the splits after it.
     """
     ship_package(lines.sparkSession)
     pieces = lines.mapInPandas(_pieces, _PIECE_SCHEMA)
     # One row per split: its frame count and its place in the file.
-    splits = pieces.groupBy("path", "block").agg(F.count_if(F.col("ordinal") >= 0).alias("frames"))
+    splits = lines.groupBy("path", "block").agg(F.count_if(F.col("value").rlike(COUNT_LINE)).alias("frames"))
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("path", "block", F.coalesce(F.sum("frames").over(earlier), F.lit(0)).alias("before"))
     frame_idx = F.when(F.col("ordinal") >= 0, F.col("before") + F.col("ordinal")).otherwise(F.col("before") - 1)
