@@ -23,6 +23,11 @@ BOND_SCALE = 1.2
 OH_CUTOFF, WATER_HYDROGENS = 1.2, 2
 HYDROGEN, OXYGEN = 1, 8
 MIN_FRAGMENT = 2
+# Structures up to this size have their fragments labelled inside their row.
+LABEL_IN_ROW = 64
+
+# Two atoms in a cube of this side (Å) are bonded whatever their elements.
+CROWD_SIDE = 2 * BOND_SCALE * min(elements.COVALENT_RADII) / 3 ** 0.5
 
 _AXES = "xyz"
 _CELL = ["cx", "cy", "cz"]
@@ -73,9 +78,14 @@ def close_pairs(points: DataFrame, radius: Column, left: Column, right: Column,
     the carried columns as ``a_*`` and ``b_*``, and ``dist``.
     """
     placed = _with_cells(points, radius)
+    return _matched(placed.filter(left), placed.filter(right), carry)
+
+
+def _matched(left: DataFrame, right: DataFrame, carry: list[str]) -> DataFrame:
+    """The pairs of two frames that :func:`_with_cells` has placed."""
     fields = list(dict.fromkeys([*carry, "px", "py", "pz", "r"]))
-    a = placed.filter(left).select("sid", *_CELL, *[F.col(c).alias(f"a_{c}") for c in fields])
-    b = _reach(placed.filter(right)).select("sid", *_CELL, *[F.col(c).alias(f"b_{c}") for c in fields])
+    a = left.select("sid", *_CELL, *[F.col(c).alias(f"a_{c}") for c in fields])
+    b = _reach(right).select("sid", *_CELL, *[F.col(c).alias(f"b_{c}") for c in fields])
     gap = [F.col(f"a_p{x}") - F.col(f"b_p{x}") for x in _AXES]
     dist = F.round(norm(tuple(gap)), 9)
     return (
@@ -158,13 +168,41 @@ def coordination(atoms: DataFrame, radius: Column | None = None) -> DataFrame:
     return counted.unionByName(unknown)
 
 
+def _contacts(atoms: DataFrame) -> DataFrame:
+    """Per site ``(sid, z, n)`` the neighbour count, exact up to one and at least two beyond.
+
+    In a large structure, three atoms in a cell too small for two of them to be apart have two
+    neighbours each. Such crowds are settled by counting, so a dense heap of atoms is never
+    paired up; only atoms outside of crowds look for their neighbours.
+    """
+    site = ["sid", "z", "px", "py", "pz"]
+    sites = atoms.groupBy(*site).agg(F.count(F.lit(1)).alias("n"))
+    fine = {f"g{a}": F.floor(F.col(f"p{a}") / CROWD_SIDE) for a in _AXES}
+    placed = _with_cells(sites, bond_radius()).withColumns(fine)
+    crowds = (
+        placed.filter(F.col("side").isNotNull() & F.col("r").isNotNull())
+        .groupBy("sid", *fine).agg(F.sum("n").alias("crowd")).filter("crowd > 2")
+    )
+    judged = placed.join(crowds, ["sid", *fine], "left")
+    crowded = F.col("crowd").isNotNull() & F.col("r").isNotNull()
+    settled = judged.filter(crowded).select("sid", "z", "n", (F.col("crowd") - 1).alias("degree"))
+    met = (
+        _matched(judged.filter(~crowded), placed, ["z", "px", "py", "pz", "n"])
+        .groupBy("sid", *[f"a_{c}" for c in site[1:]], "a_n").agg((F.sum("b_n") - 1).alias("degree"))
+        .select("sid", F.col("a_z").alias("z"), F.col("a_n").alias("n"), "degree")
+    )
+    # An atom of an unknown element has no cutoff and so meets nobody, itself included.
+    unknown = sites.filter(bond_radius().isNull()).select("sid", "z", "n", F.lit(0).cast("bigint").alias("degree"))
+    return settled.unionByName(met).unionByName(unknown)
+
+
 def structure_valid(atoms: DataFrame, min_fragment: int = MIN_FRAGMENT) -> DataFrame:
     """Whether every fragment has ``min_fragment`` atoms and every hydrogen one neighbour.
 
     For the default of two, a fragment is large enough exactly when none of its atoms is alone,
     so no component search is needed.
     """
-    sites = coordination(atoms)
+    sites = _contacts(atoms)
     hydrogens_ok = F.bool_and((F.col("z") != HYDROGEN) | (F.col("degree") == 1))
     judged = sites.groupBy("sid").agg(
         F.sum("n").alias("n_atoms"),
@@ -248,15 +286,41 @@ def _all_stars(edges: DataFrame) -> bool:
     return twice.isEmpty() and chained.isEmpty()
 
 
+def _label_small(sizes: DataFrame, bonds: DataFrame) -> DataFrame:
+    """Root of every atom of structures of at most ``LABEL_IN_ROW`` atoms, as ``(sid, root)``.
+
+    The few bonds of such a structure fit in its row. Each bond merges two labels, so one walk
+    over them is enough.
+    """
+    edges = bonds.groupBy("sid").agg(F.collect_list(F.struct("i", "j")).alias("edges"))
+
+    def merge(labels: Column, edge: Column) -> Column:
+        u, v = F.get(labels, edge["i"].cast("int")), F.get(labels, edge["j"].cast("int"))
+        return F.transform(labels, lambda one: F.when(one == F.greatest(u, v), F.least(u, v)).otherwise(one))
+
+    start = F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)
+    labels = F.when(F.col("edges").isNull(), start).otherwise(F.aggregate("edges", start, merge))
+    return sizes.join(edges, "sid", "left").select("sid", F.explode(labels).alias("root"))
+
+
 def fragments(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
-    """Connected fragments: root atom and atom count of each, lone atoms included."""
-    roots = component_roots(bonds)
-    members = (
-        atoms.select("sid", "idx").join(
-            roots.select("sid", F.col("u").alias("idx"), F.col("v").alias("root")), ["sid", "idx"], "left")
-        .withColumn("root", F.coalesce("root", "idx"))
-    )
-    return members.groupBy("sid", "root").agg(F.count(F.lit(1)).alias("n_atoms"))
+    """Connected fragments: root atom and atom count of each, lone atoms included.
+
+    Structures whose atoms are numbered from 0 and few are labelled in their own row; only the
+    others, if there are any, go through rounds of contraction.
+    """
+    sizes = atoms.groupBy("sid").agg(
+        F.count(F.lit(1)).alias("n"), F.min("idx").alias("lo"), F.max("idx").alias("hi"))
+    in_row = (F.col("n") <= LABEL_IN_ROW) & (F.col("lo") == 0) & (F.col("hi") == F.col("n") - 1)
+    small, large = sizes.filter(in_row).select("sid", "n"), sizes.filter(~in_row).select("sid")
+    labels = _label_small(small, bonds.join(small.select("sid"), "sid", "left_semi"))
+    if not large.isEmpty():
+        kept = atoms.select("sid", "idx").join(large, "sid", "left_semi")
+        roots = component_roots(bonds.join(large, "sid", "left_semi"))
+        labels = labels.unionByName(
+            kept.join(roots.select("sid", F.col("u").alias("idx"), F.col("v").alias("root")), ["sid", "idx"], "left")
+            .select("sid", F.coalesce("root", "idx").alias("root")))
+    return labels.groupBy("sid", "root").agg(F.count(F.lit(1)).alias("n_atoms"))
 
 
 def n_hop_walks(bonds: DataFrame, starts: DataFrame, n_atoms: int) -> DataFrame:

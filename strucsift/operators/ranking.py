@@ -77,12 +77,13 @@ def smallest_n(df: DataFrame, n: int, score: Column, ties: Sequence[str], total:
     return passed.unionByName(inside).drop("__score")
 
 
-def nearest_quantiles(long: DataFrame, group: str, value: str, quantiles: Sequence[float]) -> DataFrame:
+def nearest_quantiles(long: DataFrame, group: Sequence[str], value: str, quantiles: Sequence[float]) -> DataFrame:
     """Exact quantiles per group, taken at the nearest rank ``round(q * (n - 1))``.
 
     A mergeable sketch brackets every target rank; one more pass counts the rows below each
     bracket and the distinct values inside it. Only that thin slice is ordered. Groups are the
-    columns (or labelled columns) under study, so the targets are small enough to broadcast.
+    columns (or labelled columns) under study, so the targets are small enough to broadcast;
+    group values must not be null.
     """
     slack = 3.0 / SKETCH_ACCURACY
     edges = [e for q in quantiles for e in (max(0.0, q - slack), min(1.0, q + slack))]
@@ -90,12 +91,12 @@ def nearest_quantiles(long: DataFrame, group: str, value: str, quantiles: Sequen
     # In a small group the slack is less than a row; its bracket is its whole range.
     few = F.col("__n") < 2 * SKETCH_ACCURACY
     targets = (
-        known.groupBy(group).agg(
+        known.groupBy(*group).agg(
             F.count(F.lit(1)).alias("__n"),
             F.percentile_approx(value, edges, SKETCH_ACCURACY).alias("__edges"),
             F.min(value).alias("__min"), F.max(value).alias("__max"),
         )
-        .select(group, F.explode(F.array(*[
+        .select(*group, F.explode(F.array(*[
             F.struct(
                 F.lit(q).alias("q"),
                 F.round(F.lit(q) * (F.col("__n") - 1)).cast("bigint").alias("rank"),
@@ -104,22 +105,22 @@ def nearest_quantiles(long: DataFrame, group: str, value: str, quantiles: Sequen
             )
             for i, q in enumerate(quantiles)
         ])).alias("t"))
-        .select(group, "t.*")
+        .select(*group, "t.*")
     )
     v = F.col(value)
     # Null stands for "somewhere below the bracket" and sorts first.
     slice_counts = (
-        known.join(F.broadcast(targets), group)
+        known.join(F.broadcast(targets), list(group))
         .filter(v <= F.col("high"))
-        .groupBy(group, "q", "rank", F.when(v >= F.col("low"), v).alias("__v"))
+        .groupBy(*group, "q", "rank", F.when(v >= F.col("low"), v).alias("__v"))
         .agg(F.count(F.lit(1)).alias("__c"))
     )
     upto = (
-        Window.partitionBy(group, "q").orderBy(F.col("__v").asc_nulls_first())
+        Window.partitionBy(*group, "q").orderBy(F.col("__v").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         slice_counts.withColumn("__cum", F.sum("__c").over(upto))
         .filter(F.col("__cum") > F.col("rank"))
-        .groupBy(group, "q").agg(F.min("__v").alias(value))
+        .groupBy(*group, "q").agg(F.min("__v").alias(value))
     )

@@ -167,7 +167,9 @@ def greedy_diverse(df: DataFrame, n: int | None = None, start: int | None = None
     spark = df.sparkSession
     candidates_at = scratch_path(spark, "candidates")
     pool_at = scratch_path(spark, "pool")
-    ordered_blocks(df.select("entry_key", "bits"), block_size).write.partitionBy("block").parquet(candidates_at)
+    # One task, and one file, per block.
+    ordered_blocks(df.select("entry_key", "bits"), block_size).repartition("block").write.partitionBy(
+        "block").parquet(candidates_at)
     rows = spark.read.parquet(candidates_at)
     total = rows.count()
     if total == 0:

@@ -54,24 +54,21 @@ def describe(df: DataFrame, columns: Sequence[str], label: str | None = None) ->
     the nearest rank. ``label`` splits the figures by one more column.
     """
     booleans = [c for c in columns if dict(df.dtypes)[c] == "boolean"]
-    by = [label] if label else []
-    long = unpivot(df, columns, by)
-    group = F.concat_ws("\u0001", *by, "column")
-    long = long.withColumn("__g", group)
+    group = [label, "column"] if label else ["column"]
+    long = unpivot(df, columns, group[:-1])
     v = F.col("value")
-    moments = long.groupBy("__g", *by, "column").agg(
+    moments = long.groupBy(*group).agg(
         F.count(v).alias("count"),
         F.count_if(v.isNull()).alias("null_count"),
         F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"),
     )
-    numeric = long.filter(~F.col("column").isin(booleans)) if booleans else long
-    quartiles = nearest_quantiles(numeric, "__g", "value", QUANTILES).groupBy("__g").agg(*[
+    is_boolean = F.col("column").isin(booleans)
+    quartiles = nearest_quantiles(long.filter(~is_boolean), group, "value", QUANTILES).groupBy(*group).agg(*[
         F.max(F.when(F.col("q") == q, v)).alias(f"p{int(q * 100)}") for q in QUANTILES
     ])
-    std = F.when(F.col("column").isin(booleans), None).otherwise(F.col("std")) if booleans else F.col("std")
-    return moments.join(quartiles, "__g", "left").select(
-        *by, "column", "count", "null_count", "mean", std.alias("std"), "min",
+    return moments.join(quartiles, group, "left").select(
+        *group, "count", "null_count", "mean", F.when(~is_boolean, F.col("std")).alias("std"), "min",
         *[f"p{int(q * 100)}" for q in QUANTILES], "max")
 
 

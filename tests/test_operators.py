@@ -96,6 +96,17 @@ def test_large_structure_uses_the_grid(spark):
     assert met == sum(degree.values())
 
 
+@pytest.mark.parametrize("spread", [1.0, 6.0, 40.0])
+def test_validity_of_crowded_structures(spark, spread):
+    rng = random.Random(int(spread))
+    heap = [(rng.choice([6, 8]), *(rng.uniform(0, spread) for _ in range(3))) for _ in range(400)]
+    df = atoms_of(spark, heap, heap + [(1, spread + 0.9, 0, 0)], heap + [(6, 500, 0, 0)])
+    got = {r.sid: r.is_molecular_structure_valid for r in geometry.structure_valid(df).collect()}
+    exact = geometry.coordination(df).groupBy("sid").agg(
+        (F.min("degree") >= 1) & F.bool_and((F.col("z") != 1) | (F.col("degree") == 1))).collect()
+    assert got == {r[0]: r[1] for r in exact} and got[2] is False
+
+
 def test_fragments_of_long_chains(spark):
     n = 120
     chain = [(6, 1.5 * k, 0, 0) for k in range(n)]
@@ -107,6 +118,28 @@ def test_fragments_of_long_chains(spark):
     assert got == [1, 2, n]
 
 
+@pytest.mark.parametrize("in_row", [64, 0])
+def test_fragments_of_random_graphs(spark, monkeypatch, in_row):
+    monkeypatch.setattr(geometry, "LABEL_IN_ROW", in_row)
+    rng = random.Random(8)
+    atoms, bonds, want = [], [], {}
+    for sid in range(30):
+        n = rng.randint(1, 25)
+        group = list(range(n))
+        atoms += [(sid, i) for i in range(n)]
+        for _ in range(rng.randint(0, n)):
+            i, j = rng.randrange(n), rng.randrange(n)
+            if i != j:
+                bonds.append((sid, min(i, j), max(i, j)))
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+        for root in set(group):
+            want[sid, root] = group.count(root)
+    got = geometry.fragments(
+        spark.createDataFrame(atoms, "sid long, idx long"), spark.createDataFrame(bonds, "sid long, i long, j long"))
+    assert {(r.sid, r.root): r.n_atoms for r in got.collect()} == want
+
+
 def test_periodic_neighbours_against_images(spark):
     rng = random.Random(5)
     cell = np.array([[6.0, 0.5, 0.0], [0.0, 5.0, 0.7], [0.4, 0.0, 7.0]])
@@ -225,7 +258,7 @@ def test_nearest_quantiles(spark, monkeypatch, few):
     rng = random.Random(4)
     values = [rng.choice([1.0, 1.0, rng.gauss(0, 10)]) for _ in range(5000)]
     df = spark.createDataFrame([("a", v) for v in values] + [("b", 3.0), ("b", None)], "g string, v double")
-    got = {(r.g, r.q): r.v for r in ranking.nearest_quantiles(df, "g", "v", (0.25, 0.5, 0.75)).collect()}
+    got = {(r.g, r.q): r.v for r in ranking.nearest_quantiles(df, ["g"], "v", (0.25, 0.5, 0.75)).collect()}
     ordered = sorted(values)
     for q in (0.25, 0.5, 0.75):
         assert got["a", q] == ordered[math.floor(q * (len(values) - 1) + 0.5)]
