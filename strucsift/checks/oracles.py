@@ -542,6 +542,16 @@ SELECT q.entry_key, 'PBE' AS functional, q.subset, q.net_charge, {r('q.energy')}
        w.num_water_molecules, false AS graph_properties_candidate
 FROM V_query_db q JOIN ({_COMPOSITION}) c ON q.sid = c.sid JOIN ({ORACLES['dipole_moment']}) d ON q.sid = d.sid
 JOIN ({ORACLES['structure_valid']}) v ON q.sid = v.sid JOIN ({_WATER}) w ON q.sid = w.sid"""
+ORACLES["process_catalyst"] = f"""
+SELECT k.entry_key, 'oc20' AS database_name, 's2ef' AS subset, 'RPBE' AS functional, cast(0 AS bigint) AS net_charge,
+       cast(p.spin_multiplicity AS double) AS spin_multiplicity, c.composition, f.catalyst_bulk_id, f.catalyst_class,
+       f.catalyst_anomaly, f.catalyst_relaxation_frame_idx, t.n_adsorbate AS catalyst_num_adsorbate_atoms,
+       t.n_slab AS catalyst_num_bulk_atoms, h.catalyst_substrate_height, v.catalyst_xyz_adsorbate_is_valid,
+       cast(0.0 AS double) AS catalyst_reference_energy
+FROM ({KEYED}) k JOIN ({ORACLES['parity_spin']}) p ON k.sid = p.sid JOIN ({_COMPOSITION}) c ON k.sid = c.sid
+JOIN ({ORACLES['catalyst_fields']}) f ON k.sid = f.sid JOIN ({ORACLES['tag_slice']}) t ON k.sid = t.sid
+JOIN ({ORACLES['substrate_height']}) h ON k.sid = h.sid JOIN ({ORACLES['adsorbate_valid']}) v ON k.sid = v.sid
+WHERE k.raw_database_name = 'oc20_s2ef'"""
 ORACLES["query_end_to_end"] = f"""
 SELECT {r('energy')} AS energy, atomic_symbols, {r('max_force_norm')} AS max_force_norm, entry_key FROM V_query_db
 WHERE max_force_norm < 4 AND regexp_matches(atomic_symbols, '^[HO]+$') AND subset IN ('rgd', 'spice', 'biomolecules')

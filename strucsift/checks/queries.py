@@ -16,7 +16,7 @@ from strucsift.functions import keys, parsers, predicates, vectors
 from strucsift.operators import (
     atoms as atom_ops, catalyst, curation, fields, fingerprints, geometry, motifs, sampling, stats,
 )
-from strucsift.plans import actions, export, process, select
+from strucsift.plans import actions, export, formats, process, select
 from strucsift.session import scratch_path, ship_package
 from strucsift.sources import extxyz, landing, querydb, sidecar, store
 from strucsift.streaming import incremental
@@ -785,6 +785,21 @@ def process_end_to_end(fx):
         "is_molecular_structure_valid", "num_water_molecules", "graph_properties_candidate")
 
 
+@query
+def process_catalyst(fx):
+    slabs = fx.keyed_structures.filter(F.col("raw_database_name") == "oc20_s2ef").select(
+        "sid", "entry_key", "database_name", "split_name", F.col("info_energy").alias("energy"),
+        F.col("custkey").alias("bulk_id"), F.col("class_code").alias("class"), F.col("anomaly_code").alias("anomaly"),
+        "frame_number")
+    transforms = formats.transforms_for("aselmdb_oc", fx.plain_atoms, fx.cells)
+    rows = process.process(slabs, fx.plain_atoms, {"functional": "RPBE"}, transforms)
+    return rows.select(
+        "entry_key", "database_name", "subset", "functional", "net_charge", "spin_multiplicity", "composition",
+        "catalyst_bulk_id", "catalyst_class", "catalyst_anomaly", "catalyst_relaxation_frame_idx",
+        "catalyst_num_adsorbate_atoms", "catalyst_num_bulk_atoms", "catalyst_substrate_height",
+        "catalyst_xyz_adsorbate_is_valid", "catalyst_reference_energy")
+
+
 @query
 def query_end_to_end(fx):
     allowed = fx.query_table.select("subset").filter(F.col("subset") != "elytes").distinct()

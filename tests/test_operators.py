@@ -13,7 +13,7 @@ from strucsift.functions import elements
 from strucsift.operators import (
     atoms as atom_ops, catalyst, curation, fingerprints, geometry, motifs, ranking, sampling, stats,
 )
-from strucsift.plans import actions, export, process, select
+from strucsift.plans import actions, export, formats, process, select
 from strucsift.sources import querydb, store
 
 ATOM = "sid long, idx long, z int, px double, py double, pz double, fx double, fy double, fz double, charge double, tag int"
@@ -500,3 +500,20 @@ def test_processing_with_graph_properties(spark):
     assert done["a"].functional == "PBE" and done["a"].num_water_molecules == 1 and done["a"].composition == "H2O"
     assert done["a"].graph_properties_candidate and sum(done["a"].fingerprint) > 0 and not done["a"].error_graph_properties
     assert done["b"].graph_properties_candidate is False and done["b"].fingerprint is None and done["b"].error_graph_properties
+
+
+def test_format_rules(spark):
+    df = spark.createDataFrame([(0, "omat24-rattled-1000", 5, 2.0)], "sid long, database_name string, net_charge long, spin_multiplicity double")
+
+    def applied(fmt):
+        out = df
+        for transform in formats.transforms_for(fmt):
+            out = transform(out)
+        return out.first()
+
+    omat = applied("aselmdb_omat")
+    assert (omat.database_name, omat.subset, omat.net_charge, omat.spin_multiplicity) == ("omat24", "rattled-1000", 0, None)
+    assert (applied("aselmdb_omc").net_charge, applied("aselmdb_odac").spin_multiplicity) == (0, 1.0)
+    assert applied("xyz").net_charge == 5
+    with pytest.raises(ValueError):
+        formats.transforms_for("cif")
