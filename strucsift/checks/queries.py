@@ -709,7 +709,7 @@ def sample_random(fx):
 @query
 def sample_random_large(fx):
     n = fx.query_table.count() // 3
-    return sampling.sample_random(fx.query_table, n, 42, driver_top_n=0).select("entry_key")
+    return sampling.sample_random(fx.query_table, n, 42, plain_top_n=0).select("entry_key")
 
 
 @query

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this many rows a sample is cut at a score instead of being ordered on the driver.
-DRIVER_TOP_N = 100_000
+# Up to this many rows a sample is a plain top-n, whose last task receives n rows per partition.
+# Beyond it the sample is cut at a score.
+PLAIN_TOP_N = 1_000
+# Leading hex digits of a digest that name its bucket: at most 65,536 buckets.
+BUCKET_DIGITS = 4
 # Rank error of the quantile sketch is at most 1 / SKETCH_ACCURACY of the rows.
-SKETCH_ACCURACY = 20_000
+SKETCH_ACCURACY = 100_000
 
 
 def rank_within(
@@ -47,8 +50,32 @@ def rank_within(
     )
 
 
+def row_at(df: DataFrame, order: Sequence[str], position: Callable[[Column], Column]) -> DataFrame:
+    """The row at the 0-based ``position(total)``, where ``order`` begins with a hex digest.
+
+    Sizes of digest-prefix buckets tell which one holds the position; only that one is ordered.
+    """
+    tagged = df.withColumn("__bucket", F.substring(order[0], 1, BUCKET_DIGITS))
+    sizes = tagged.groupBy("__bucket").agg(F.count(F.lit(1)).alias("size"))
+    upto = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.sum("size").over(upto) - F.col("size")
+    target = position(sizes.agg(F.sum("size")).scalar())
+    # At most one row.
+    edge = (
+        sizes.select("__bucket", "size", before.alias("before"))
+        .filter((F.col("before") <= target) & (target < F.col("before") + F.col("size")))
+        .select(F.col("__bucket").alias("__edge"), (target - F.col("before")).alias("__need"))
+    )
+    place = F.row_number().over(Window.partitionBy("__bucket").orderBy(*order)) - 1
+    return (
+        tagged.join(F.broadcast(edge), F.col("__bucket") == F.col("__edge"))
+        .withColumn("__place", place).filter(F.col("__place") == F.col("__need"))
+        .drop("__bucket", "__edge", "__need", "__place")
+    )
+
+
 def smallest_n(df: DataFrame, n: int, score: Column, ties: Sequence[str], total: int,
-               driver_top_n: int = DRIVER_TOP_N) -> DataFrame:
+               plain_top_n: int = PLAIN_TOP_N) -> DataFrame:
     """The ``n`` rows of lowest ``score`` (ties by ``ties``) out of ``total``.
 
     Small ``n`` is a top-n. Beyond it the n-th score is bracketed with a quantile sketch: rows
@@ -56,7 +83,7 @@ def smallest_n(df: DataFrame, n: int, score: Column, ties: Sequence[str], total:
     """
     if n >= total:
         return df
-    if n <= driver_top_n:
+    if n <= plain_top_n:
         return df.orderBy(score, *ties).limit(n)
     scored = df.withColumn("__score", score)
     slack = 3.0 / SKETCH_ACCURACY + 2.0 / total

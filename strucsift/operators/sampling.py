@@ -9,12 +9,12 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strucsift.functions.hashing import hex_to_long, seeded_md5, uniform
 from strucsift.operators.fingerprints import min_distance_to_pool
-from strucsift.operators.ranking import DRIVER_TOP_N, rank_within, smallest_n
+from strucsift.operators.ranking import BUCKET_DIGITS, PLAIN_TOP_N, rank_within, row_at, smallest_n
 from strucsift.schema import expand_presets
 from strucsift.session import scratch_path
 
@@ -24,8 +24,6 @@ Sampler = Callable[..., DataFrame]
 
 # Bits of a digest used as an exactly representable score.
 _SCORE_DIGITS = 13
-# Hex digits that spread hashed keys over ranking buckets.
-_BUCKET_DIGITS = 4
 
 # Defaults of the diversity sampler.
 GREEDY_BLOCK = 25_000
@@ -37,10 +35,10 @@ def _score(seed: int | str, key: str) -> Column:
 
 
 def sample_random(df: DataFrame, n: int | None, seed: int | str | None = None, key: str = "entry_key",
-                  driver_top_n: int = DRIVER_TOP_N) -> DataFrame:
+                  plain_top_n: int = PLAIN_TOP_N) -> DataFrame:
     """Exactly ``n`` rows without replacement; all rows when ``n`` is null or 0.
 
-    Beyond ``driver_top_n`` rows the sample is cut by score on the executors.
+    Beyond ``plain_top_n`` rows the sample is cut by score on the executors.
     """
     if not n:
         return df
@@ -48,18 +46,18 @@ def sample_random(df: DataFrame, n: int | None, seed: int | str | None = None, k
     if total < n:
         raise ValueError(f"n_samples {n} is greater than the number of rows {total}")
     seed = "" if seed is None else seed
-    return smallest_n(df, n, _score(seed, key), [key], total, driver_top_n)
+    return smallest_n(df, n, _score(seed, key), [key], total, plain_top_n)
 
 
 def sample_weighted(df: DataFrame, n: int, weight: Column, seed: int | str, key: str = "entry_key",
-                    driver_top_n: int = DRIVER_TOP_N) -> DataFrame:
+                    plain_top_n: int = PLAIN_TOP_N) -> DataFrame:
     """``n`` rows without replacement, each draw proportional to ``weight``.
 
     Keeps the rows of lowest ``-ln(u) / weight``. Rows of zero or null weight are never drawn.
     """
     score = -F.log(uniform(seed, F.col(key))) / F.col("__w")
     weighted = df.withColumn("__w", weight.cast("double")).filter(F.col("__w") > 0)
-    return smallest_n(weighted, n, F.round(score, 12), [key], weighted.count(), driver_top_n).drop("__w")
+    return smallest_n(weighted, n, F.round(score, 12), [key], weighted.count(), plain_top_n).drop("__w")
 
 
 def ratio_weights(df: DataFrame, label: str, targets: Mapping[str, float]) -> DataFrame:
@@ -90,7 +88,7 @@ def sample_per_group(df: DataFrame, group: str, n: int | Mapping[str, int], seed
         limit = F.lit(n)
     ranked = rank_within(
         df.withColumn("__digest", digest), [group],
-        [F.substring("__digest", 1, _BUCKET_DIGITS)], ["__digest", key], "__rank")
+        [F.substring("__digest", 1, BUCKET_DIGITS)], ["__digest", key], "__rank")
     return ranked.filter(F.col("__rank") < limit).drop("__digest", "__rank")
 
 
@@ -98,25 +96,10 @@ def split_cutoff(df: DataFrame, identity: str, fraction: float, seed: int | str)
     """One row with the digest of the last training identity.
 
     The first ``floor(fraction * n)`` of the ``n`` distinct identities, in digest order, train.
-    Only digest-prefix counts and one bucket are ever ordered.
     """
     digests = df.filter(F.col(identity).isNotNull()).select(identity).distinct().select(
         seeded_md5(seed, F.col(identity)).alias("digest"))
-    tagged = digests.withColumn("bucket", F.substring("digest", 1, _BUCKET_DIGITS))
-    # At most 16 ** _BUCKET_DIGITS rows, whatever the size of the data.
-    sizes = tagged.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = sizes.select("bucket", "size", F.sum("size").over(upto).alias("cum"))
-    total = sizes.agg(F.sum("size")).scalar()
-    n_train = F.floor(F.lit(float(fraction)) * total.cast("double"))
-    edge = marked.filter(F.col("cum") >= n_train).orderBy("bucket").limit(1).select(
-        F.col("bucket").alias("edge"), (n_train - (F.col("cum") - F.col("size"))).alias("need"))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("digest"))
-    return (
-        tagged.join(F.broadcast(edge), F.col("bucket") == F.col("edge"))
-        .withColumn("place", place).filter(F.col("place") == F.col("need"))
-        .select("digest")
-    )
+    return row_at(digests, ["digest"], lambda total: F.floor(F.lit(float(fraction)) * total.cast("double")) - 1)
 
 
 def leak_free_split(df: DataFrame, identity: str, fraction: float = 0.9, seed: int | str = 42) -> DataFrame:
@@ -135,14 +118,15 @@ def ordered_blocks(df: DataFrame, block_size: int, key: str = "entry_key") -> Da
     """Number rows by key order and cut them into blocks of ``block_size``."""
     digest = F.md5(F.col(key).cast("binary"))
     return rank_within(
-        df.withColumn("__digest", digest), [], [F.substring("__digest", 1, _BUCKET_DIGITS)],
+        df.withColumn("__digest", digest), [], [F.substring("__digest", 1, BUCKET_DIGITS)],
         ["__digest", key], "position",
     ).drop("__digest").withColumn("block", F.floor(F.col("position") / block_size))
 
 
 def pick_row(df: DataFrame, position: int, key: str = "entry_key") -> DataFrame:
     """The row at a 0-based position in the order of hashed keys; out of range is an error."""
-    row = df.orderBy(F.md5(F.col(key).cast("binary")), key).offset(position).limit(1)
+    digests = df.withColumn("__digest", F.md5(F.col(key).cast("binary")))
+    row = row_at(digests, ["__digest", key], lambda _total: F.lit(position)).drop("__digest")
     if row.isEmpty():
         raise ValueError(f"row {position} is out of range")
     return row

@@ -267,11 +267,22 @@ def test_nearest_quantiles(spark, monkeypatch, few):
 
 def test_smallest_n_beyond_the_driver(spark):
     df = spark.range(20000).withColumn("score", F.pmod(F.col("id") * 7919, F.lit(1009)).cast("double"))
-    got = {r.id for r in ranking.smallest_n(df, 7001, F.col("score"), ["id"], 20000, driver_top_n=0).collect()}
+    got = {r.id for r in ranking.smallest_n(df, 7001, F.col("score"), ["id"], 20000, plain_top_n=0).collect()}
     want = {i for _, i in sorted((float(i * 7919 % 1009), i) for i in range(20000))[:7001]}
     assert got == want
 
 
+def test_pick_row(spark):
+    import hashlib
+
+    df = keyed(spark, 3000)
+    ordered = sorted((f"mol_{i}" for i in range(3000)), key=lambda k: hashlib.md5(k.encode()).hexdigest())
+    for position in (0, 1234, 2999):
+        assert sampling.pick_row(df, position).first().entry_key == ordered[position]
+    with pytest.raises(ValueError):
+        sampling.pick_row(df, 3000)
+
+
 def keyed(spark, n=50):
     return spark.range(n).select(F.concat(F.lit("mol_"), F.col("id").cast("string")).alias("entry_key"), "id")
 
