@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,8 +139,9 @@ def write_parts(records: DataFrame, path: str, resume: bool = False) -> None:
         spark = records.sparkSession
         try:
             records = remaining_parts(records, spark.read.parquet(path))
-        except Exception as error:  # nothing written so far
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:
+            # Nothing has been written so far.
+            if (error.getCondition() or "") != "PATH_NOT_FOUND":
                 raise
     records.hint("rebalance", "part").write.mode("append" if resume else "errorifexists").partitionBy("part").parquet(path)
 

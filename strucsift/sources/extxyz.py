@@ -152,7 +152,7 @@ def read_extxyz(spark: SparkSession, path: str, glob: str | None = None) -> Data
     """All frames below ``path`` (a directory, a glob or one file) as structure rows."""
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     text = reader.text(path)
-    if not text.inputFiles():
+    if text.isEmpty() and not text.inputFiles():
         raise FileNotFoundError(f"no structure files at {path}")
     return frames_of_text(text.select(
         F.col("_metadata.file_path").alias("path"),
@@ -220,7 +220,7 @@ def frames_of_compressed(files: DataFrame) -> DataFrame:
 def read_extxyz_xz(spark: SparkSession, path: str, glob: str = "*.extxyz.xz") -> DataFrame:
     """All frames of the compressed files below ``path``, one task per file."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    if not files.inputFiles():
+    if files.select("path").isEmpty():
         raise FileNotFoundError(f"no structure files at {path}")
     return frames_of_compressed(files)
 

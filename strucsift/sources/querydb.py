@@ -27,7 +27,8 @@ def scan_query_table(spark: SparkSession, path: str, schema: T.StructType | None
         df = reader.parquet(path)
     except AnalysisException as error:
         raise FileNotFoundError(f"no query table at {path}") from error
-    if not df.inputFiles():
+    # The list of files is only asked for when there are no rows.
+    if df.isEmpty() and not df.inputFiles():
         raise FileNotFoundError(f"no query table files at {path}")
     return df
 

@@ -40,7 +40,10 @@ def append(incoming: DataFrame, path: str, check_keys: bool = True, writer: Writ
     if check_keys:
         try:
             existing = spark.read.schema("entry_key string").parquet(path)
-        except AnalysisException:
+        except AnalysisException as error:
+            # A new table has no keys yet.
+            if (error.getCondition() or "") != "PATH_NOT_FOUND":
+                raise
             existing = None
         if existing is not None and not colliding_keys(incoming, existing).isEmpty():
             raise KeyCollisionError(f"some keys are already in {path}")
