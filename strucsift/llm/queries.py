@@ -7,25 +7,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strucsift.llm import decontaminate, quality
+from strucsift.llm import bpe, decontaminate, quality, tokencount, tokenfile
+from strucsift.session import scratch_path
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op2_token_files(spark: SparkSession, directory: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    tokenfile.write_tokens(_table(spark, directory, "documents"), folder)
+    return tokenfile.read_checksums(spark, folder)
+
+
+def op3_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    return tokencount.count_tokens(_table(spark, directory, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
     docs, benchmark = _table(spark, directory, "documents"), _table(spark, directory, "benchmark")
     return decontaminate.digest(decontaminate.scan(docs, benchmark))
 
 
+def op8_bpe(spark: SparkSession, directory: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, directory, "documents"))
+
+
 def op10_quality(spark: SparkSession, directory: str) -> DataFrame:
     trusted = _table(spark, directory, "labels").filter(F.col("quality") == 1).select("doc_id")
     return quality.quality_rules(_table(spark, directory, "documents"), trusted)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op7_decontaminate": op7_decontaminate, "op10_quality": op10_quality,
+    "op2_token_files": op2_token_files, "op3_token_counts": op3_token_counts,
+    "op7_decontaminate": op7_decontaminate, "op8_bpe": op8_bpe, "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
