@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strucsift.llm import bpe, decontaminate, quality, tokencount, tokenfile
+from strucsift.llm import bpe, decontaminate, minhash, quality, tokencount, tokenfile
 from strucsift.session import scratch_path
 
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, directory, "documents"))
+
+
 def op2_token_files(spark: SparkSession, directory: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     tokenfile.write_tokens(_table(spark, directory, "documents"), folder)
@@ -40,7 +44,7 @@ def op10_quality(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_token_files": op2_token_files, "op3_token_counts": op3_token_counts,
+    "op1_near_duplicates": op1_near_duplicates, "op2_token_files": op2_token_files, "op3_token_counts": op3_token_counts,
     "op7_decontaminate": op7_decontaminate, "op8_bpe": op8_bpe, "op10_quality": op10_quality,
 }
 
