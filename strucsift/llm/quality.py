@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strucsift.llm.common import field, if_small, map_texts, prepare, steps
-from strucsift.llm.textscan import per_text, text_bytes, weights, windows, words_of
+from strucsift.llm.textscan import grams, per_text, text_bytes, weights, windows, words_of
 
 GRAM = 4
 # Hash buckets of n-grams: what the driver receives is one pair of counts each.
@@ -34,28 +34,6 @@ IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 BASE = [field(n, "bigint") for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
 
 
-def _grams(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams that lie in one text, and the border of every text among them."""
-    n = np.maximum(np.diff(edges) - (GRAM - 1), 0)
-    border = np.concatenate([[0], np.cumsum(n)])
-    if not border[-1]:
-        return np.zeros(0, np.int64), border
-    wide = data.astype(np.uint32)
-    code = wide[:len(data) - GRAM + 1].copy()
-    for j in range(1, GRAM):
-        code |= wide[j:len(data) - GRAM + 1 + j] << np.uint32(8 * j)
-    code *= np.uint32(0x9E3779B1)
-    code ^= code >> np.uint32(15)
-    code *= np.uint32(0x85EBCA77)
-    # n-grams that cross a border are left out
-    whole = np.ones(len(code), bool)
-    inner = edges[1:-1]
-    for j in range(1, GRAM):
-        at = inner - j
-        whole[at[(at >= 0) & (at < len(code))]] = False
-    return (code[whole] >> np.uint32(32 - BUCKETS.bit_length() + 1)).astype(np.int32), border
-
-
 def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
     """The base counts of every text."""
     words = words_of(column, WORD)
@@ -99,10 +77,10 @@ def gram_counts(docs: DataFrame, target: DataFrame | None) -> tuple[np.ndarray,
         total = np.zeros((2, BUCKETS), np.int64)
         for whole in batches:
             for batch in steps(whole):
-                grams, border = _grams(*text_bytes(batch.column("text")))
-                total[1] += np.bincount(grams, minlength=BUCKETS)
+                codes, border = grams(*text_bytes(batch.column("text")), GRAM, BUCKETS)
+                total[1] += np.bincount(codes, minlength=BUCKETS)
                 flags = np.repeat(np.array(batch.column("trusted").to_pylist(), bool), np.diff(border))
-                total[0] += np.bincount(grams[flags], minlength=BUCKETS)
+                total[0] += np.bincount(codes[flags], minlength=BUCKETS)
         used = np.flatnonzero(total[1])
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[0][used]), pa.array(total[1][used])],
                                          ["bucket", "target", "raw"])
@@ -130,8 +108,8 @@ def quality_rules(docs: DataFrame, target: DataFrame | None, threshold: float =
 
     def work(batch: pa.RecordBatch) -> dict:
         column = batch.column("text")
-        grams, border = _grams(*text_bytes(column))
-        total = np.concatenate([[0.0], np.cumsum(ratio[grams])])
+        codes, border = grams(*text_bytes(column), GRAM, BUCKETS)
+        total = np.concatenate([[0.0], np.cumsum(ratio[codes])])
         llr = (total[border[1:]] - total[border[:-1]]) / np.maximum(np.diff(border), 1)
         return base_counts(column) | {"llr": llr}
 

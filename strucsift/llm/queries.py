@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strucsift.llm import bpe, decontaminate, minhash, quality, tokencount, tokenfile
+from strucsift.llm import bpe, chat, decontaminate, lines, minhash, quality, tokencount, tokenfile
 from strucsift.session import scratch_path
 
 
@@ -29,6 +29,16 @@ def op3_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, directory, "documents"))
 
 
+def op4_chat_perspectives(spark: SparkSession, directory: str) -> DataFrame:
+    return chat.with_mask_text(chat.rotate_perspectives(_table(spark, directory, "conversations")))
+
+
+def op5_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    pages = _table(spark, directory, "pages").select(
+        "page_id", lines.host_of(F.col("url")).alias("host"), lines.html_lines(F.col("html")).alias("text"))
+    return lines.drop_boilerplate(pages)
+
+
 def op7_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
     docs, benchmark = _table(spark, directory, "documents"), _table(spark, directory, "benchmark")
     return decontaminate.digest(decontaminate.scan(docs, benchmark))
@@ -45,7 +55,8 @@ def op10_quality(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates, "op2_token_files": op2_token_files, "op3_token_counts": op3_token_counts,
+    "op4_chat_perspectives": op4_chat_perspectives, "op5_line_dedup": op5_line_dedup,
     "op7_decontaminate": op7_decontaminate, "op8_bpe": op8_bpe, "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_chat_perspectives": chat.ORACLE, "op5_line_dedup": lines.oracle()}

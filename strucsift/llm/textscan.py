@@ -129,3 +129,23 @@ def windows(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(most)), most)
     at = np.arange(border[-1]) - border[owner] + words.first[owner]
     return mix(out[at]), at, border
+
+
+def grams(data: np.ndarray, edges: np.ndarray, n: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets (a power of two of them) of all runs of ``n`` <= 4 bytes that lie in one text,
+    and the border of every text among them."""
+    border = np.concatenate([[0], np.cumsum(np.maximum(np.diff(edges) - (n - 1), 0))])
+    if not border[-1]:
+        return np.zeros(0, np.int32), border
+    wide = data.astype(np.uint32)
+    code = wide[:len(data) - n + 1].copy()
+    for j in range(1, n):
+        code |= wide[j:len(data) - n + 1 + j] << np.uint32(8 * j)
+    code *= np.uint32(0x9E3779B1)
+    code ^= code >> np.uint32(15)
+    code *= np.uint32(0x85EBCA77)
+    whole = np.ones(len(code), bool)
+    for j in range(1, n):
+        at = edges[1:-1] - j
+        whole[at[(at >= 0) & (at < len(code))]] = False
+    return (code[whole] >> np.uint32(33 - buckets.bit_length())).astype(np.int32), border
