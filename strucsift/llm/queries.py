@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strucsift.llm import bpe, chat, decontaminate, lines, minhash, quality, tokencount, tokenfile
+from strucsift.llm import bpe, chat, decontaminate, language, lines, minhash, quality, tokencount, tokenfile, toxicity
 from strucsift.session import scratch_path
 
 
@@ -39,6 +39,13 @@ def op5_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return lines.drop_boilerplate(pages)
 
 
+def op6_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    lexicon = toxicity.learn(docs, _table(spark, directory, "labels").filter(~held_out))
+    return toxicity.score(docs, lexicon).withColumn("held_out", held_out)
+
+
 def op7_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
     docs, benchmark = _table(spark, directory, "documents"), _table(spark, directory, "benchmark")
     return decontaminate.digest(decontaminate.scan(docs, benchmark))
@@ -48,6 +55,13 @@ def op8_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.round_trip(_table(spark, directory, "documents"))
 
 
+def op9_language(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = language.learn(docs.filter(~held_out).select("text", "lang"))
+    return language.predict(docs, model).withColumn("held_out", held_out)
+
+
 def op10_quality(spark: SparkSession, directory: str) -> DataFrame:
     trusted = _table(spark, directory, "labels").filter(F.col("quality") == 1).select("doc_id")
     return quality.quality_rules(_table(spark, directory, "documents"), trusted)
@@ -56,7 +70,8 @@ def op10_quality(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates, "op2_token_files": op2_token_files, "op3_token_counts": op3_token_counts,
     "op4_chat_perspectives": op4_chat_perspectives, "op5_line_dedup": op5_line_dedup,
-    "op7_decontaminate": op7_decontaminate, "op8_bpe": op8_bpe, "op10_quality": op10_quality,
+    "op6_toxicity": op6_toxicity,
+    "op7_decontaminate": op7_decontaminate, "op8_bpe": op8_bpe, "op9_language": op9_language, "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {"op4_chat_perspectives": chat.ORACLE, "op5_line_dedup": lines.oracle()}
