@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strucsift.llm import decontaminate, quality
+from strucsift.llm import bpe, decontaminate, lines, minhash, quality
 from strucsift.llm.common import if_small
 from strucsift.session import cut_lineage
 
@@ -25,14 +25,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(if_small(out), "doc_id", "left_anti").select(*COLUMNS)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the boilerplate lines of their source; one that consisted of such lines
+    only goes, and lengths are counted anew."""
+    found = lines.drop_boilerplate(docs.withColumnRenamed("source", "host"))
+    emptied = (F.col("n_dropped") > 0) & (F.col("n_dropped") == F.col("n_lines"))
+    length = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return found.filter(~emptied).withColumn("n_chars", length).withColumnRenamed("host", "source").select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near copies."""
+    return minhash.deduplicate(docs).select(*COLUMNS)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a contaminated share of benchmark words."""
     return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 
+def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded texts."""
+    return bpe.round_trip(docs, keep=("doc_id", "lang", "source", "n_chars"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
     ("benchmark_decontamination", decontamination),
+    ("bpe_round_trip", bpe_round_trip),
 ]
 
 # The stages hash, fit and tokenize, which SQL can't: tests compare with brute force.
