@@ -28,7 +28,6 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
@@ -197,8 +196,8 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         ids, border = tokenize(batch.column("text"), memory, bpe.encode)
         return {"ids": pa.ListArray.from_arrays(pa.array(border, pa.int32()), pa.array(ids.astype(np.int32)))}
 
-    plain = docs.drop("ids").withColumn("text", F.col("text").cast("string"))
-    return map_texts(plain, [field("ids", "int[]")], work, keep=[c for c in plain.columns])
+    plain = docs.drop("ids")
+    return map_texts(plain, [field("ids", "int[]")], work, keep=plain.columns)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

@@ -53,8 +53,9 @@ def map_texts(docs: DataFrame, fields: Sequence[T.StructField], work: Callable[[
     """
     prepare(docs.sparkSession)
     keep, names = list(keep), [f.name for f in fields]
-    source = docs.select(*[F.col(c) for c in dict.fromkeys([*keep, *also])], F.col(text).cast("string").alias("text"))
-    schema = T.StructType([*[docs.schema[c] for c in keep], *fields])
+    others = [c for c in dict.fromkeys([*keep, *also]) if c != "text"]
+    source = docs.select(*others, F.col(text).cast("string").alias("text"))
+    schema = T.StructType([*[source.schema[c] for c in keep], *fields])
 
     def run(batches):
         for whole in batches:
