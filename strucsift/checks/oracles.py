@@ -138,7 +138,7 @@ ORACLES["enforce_charge_spin"] = """
 SELECT s.sid, cast(CASE WHEN s.raw_database_name = 'OMOL25' THEN s.info_charge ELSE 0 END AS bigint) AS net_charge,
        cast(CASE s.raw_database_name WHEN 'OMOL25' THEN 1 + abs(s.info_charge)
             WHEN 'oc20_s2ef' THEN 1 + p.electrons % 2 END AS double) AS spin_multiplicity
-FROM V_structures s JOIN (SELECT sid, sum(z) AS electrons FROM V_atoms GROUP BY sid) p ON s.sid = p.sid"""
+FROM V_structures s LEFT JOIN (SELECT sid, sum(z) AS electrons FROM V_atoms GROUP BY sid) p ON s.sid = p.sid"""
 
 # Tokens of the second path component; an out-of-range list index gives NULL.
 _TOKENS = """
@@ -517,7 +517,7 @@ WITH c AS (SELECT entry_key, CASE WHEN is_ts THEN 'is_ts' WHEN is_product THEN '
 w AS (SELECT entry_key, class, CASE class WHEN 'is_ts' THEN 0.2::double ELSE 0.4::double END / count(*) OVER (PARTITION BY class) AS weight
       FROM c WHERE class IS NOT NULL)
 SELECT entry_key, class FROM w
-ORDER BY round(-ln(({hex_long(seeded(11, 'entry_key'), 8)} + 1) / 4294967297.0::double) / weight, 12), entry_key LIMIT 400"""
+ORDER BY round(ln(-ln(({hex_long(seeded(11, 'entry_key'), 13)} + 1) / 4503599627370497.0::double)) - ln(weight), 12), entry_key LIMIT 400"""
 _SPLIT = f"""
 SELECT p.*, CASE WHEN i.rn <= floor(0.9::double * i.n) THEN 'train' ELSE 'validation' END AS split
 FROM V_pathways p JOIN (
@@ -536,12 +536,15 @@ SELECT entry_key, CASE WHEN database_name <> 'oc20-s2ef' THEN subset END AS subs
 ORACLES["dedup_keys"] = f"SELECT DISTINCT entry_key FROM ({SELECTED})"
 
 ORACLES["process_end_to_end"] = f"""
-SELECT q.entry_key, 'PBE' AS functional, q.subset, q.net_charge, {r('q.energy')} AS energy, q.num_atoms, c.composition,
+SELECT k.entry_key, 'PBE' AS functional, k.subset, k.info_charge AS net_charge, {r('k.info_energy')} AS energy,
+       coalesce(q.num_atoms, 0) AS num_atoms, c.composition,
        q.atomic_symbols, {r('q.net_force_norm')} AS net_force_norm, {r('q.max_force_norm')} AS max_force_norm,
-       d.dipole_moment_magnitude, {r('q.molecular_weight')} AS molecular_weight, v.is_molecular_structure_valid,
-       w.num_water_molecules, false AS graph_properties_candidate
-FROM V_query_db q JOIN ({_COMPOSITION}) c ON q.sid = c.sid JOIN ({ORACLES['dipole_moment']}) d ON q.sid = d.sid
-JOIN ({ORACLES['structure_valid']}) v ON q.sid = v.sid JOIN ({_WATER}) w ON q.sid = w.sid"""
+       d.dipole_moment_magnitude, {r('q.molecular_weight')} AS molecular_weight,
+       coalesce(v.is_molecular_structure_valid, false) AS is_molecular_structure_valid,
+       coalesce(w.num_water_molecules, 0) AS num_water_molecules, false AS graph_properties_candidate
+FROM ({KEYED}) k LEFT JOIN V_query_db q ON k.sid = q.sid
+LEFT JOIN ({_COMPOSITION}) c ON k.sid = c.sid LEFT JOIN ({ORACLES['dipole_moment']}) d ON k.sid = d.sid
+LEFT JOIN ({ORACLES['structure_valid']}) v ON k.sid = v.sid LEFT JOIN ({_WATER}) w ON k.sid = w.sid"""
 ORACLES["process_catalyst"] = f"""
 SELECT k.entry_key, 'oc20' AS database_name, 's2ef' AS subset, 'RPBE' AS functional, cast(0 AS bigint) AS net_charge,
        cast(p.spin_multiplicity AS double) AS spin_multiplicity, c.composition, f.catalyst_bulk_id, f.catalyst_class,

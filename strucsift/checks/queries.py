@@ -264,7 +264,7 @@ def enforce_charge_spin(fx):
     fmt = (F.when(F.col("raw_database_name") == "OMOL25", "aselmdb_omol")
            .when(F.col("raw_database_name") == "oc20_s2ef", "aselmdb_oc").otherwise("aselmdb_omat"))
     parity = fx.plain_atoms.groupBy("sid").agg(atom_ops.parity_spin().alias("parity"))
-    return fx.raw_structures.withColumn("fmt", fmt).join(parity, "sid").select(
+    return fx.raw_structures.withColumn("fmt", fmt).join(parity, "sid", "left").select(
         "sid", fields.charge_rule(F.col("fmt"), F.col("info_charge")).alias("net_charge"),
         fields.spin_rule(F.col("fmt"), F.lit(1.0) + F.abs(F.col("info_charge")), F.col("parity")).alias("spin_multiplicity"))
 

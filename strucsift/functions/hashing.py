@@ -21,5 +21,5 @@ def hex_to_long(digest: Column, digits: int) -> Column:
 
 
 def uniform(seed: int | str, key: Column) -> Column:
-    """A draw in (0, 1): 32 hashed bits, shifted off zero."""
-    return (hex_to_long(seeded_md5(seed, key), 8) + F.lit(1)) / F.lit(4294967297.0)
+    """A draw in (0, 1): 52 hashed bits, shifted off zero."""
+    return (hex_to_long(seeded_md5(seed, key), 13) + F.lit(1)) / F.lit(float(2**52 + 1))

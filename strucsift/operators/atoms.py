@@ -143,20 +143,29 @@ def scalar_measures(atoms: DataFrame) -> DataFrame:
     """All scalar measures and the composition from one pass over the atoms.
 
     Sums are taken per (structure, element) first; a structure then has at most one row per
-    element, from which its formula and every measure follow.
+    element, from which its formula and every measure follow. Atoms with an ``idx`` also give the
+    atomic numbers in order.
     """
     f, p, q = _force(), [F.col(f"p{a}") for a in "xyz"], F.col("charge")
+    listed = "idx" in atoms.columns
     per_element = atoms.groupBy("sid", "z").agg(
         F.count(F.lit(1)).alias("n"), F.max(norm(f)).alias("f_max"), F.sum(q).alias("q"),
         *[F.sum(x).alias(f"f{a}") for a, x in zip("xyz", f)],
         *[F.sum(x).alias(f"p{a}") for a, x in zip("xyz", p)],
         *[F.sum(q * x).alias(f"qp{a}") for a, x in zip("xyz", p)],
+        *([F.collect_list("idx").alias("at")] if listed else []),
     ).withColumns({"symbol": elements.symbol(F.col("z")), "mass": elements.mass(F.col("z"))})
     total_mass, total_charge = F.sum(F.col("n") * F.col("mass")), F.sum("q")
     dipole = tuple(
         F.sum(f"qp{a}") - total_charge * (F.sum(F.col("mass") * F.col(f"p{a}")) / total_mass) for a in "xyz")
+    numbers = []
+    if listed:
+        placed = F.flatten(F.transform(F.collect_list(F.struct("at", "z")), lambda e: F.transform(
+            e["at"], lambda i: F.struct(i.alias("idx"), e["z"].alias("z")))))
+        numbers = [F.transform(F.sort_array(placed), lambda e: e["z"].cast("bigint")).alias("atomic_numbers")]
     return per_element.groupBy("sid").agg(
         F.sum("n").alias("num_atoms"),
+        *numbers,
         norm(tuple(F.sum(f"f{a}") for a in "xyz")).alias("net_force_norm"),
         F.max("f_max").alias("max_force_norm"),
         (norm(dipole) / F.lit(DEBYE)).alias("dipole_moment_magnitude"),

@@ -27,7 +27,7 @@ FIELD_MAPS = {
     "xyz_oc": {"num_atoms": "num_atoms"},
 }
 
-# Exported field <- source field, per dataset format.
+# Source field -> exported field, per dataset format.
 EXPORT_MAPS = {
     "aselmdb_omol": {
         "data_id": "subset", "charge": "charge", "spin": "spin_multiplicity",

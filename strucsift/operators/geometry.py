@@ -109,8 +109,9 @@ def periodic_neighbour_list(atoms: DataFrame, cells: DataFrame, radius: Column |
     """Neighbour pairs under periodic boundary conditions, nearest image of each pair.
 
     ``cells`` gives ``(sid, cell)``. Atoms are wrapped into the cell and the right-hand side is
-    completed with the images that can reach it, so the search itself stays the open one.
-    Valid while the cutoff is below the height of the cell along each lattice vector.
+    completed with the images that can reach it, as many along each lattice vector as the cutoff
+    spans, so the search itself stays the open one. An atom is its own neighbour (``i = j``) when
+    images of it are close enough; ``images`` counts all of them.
     """
     radius = bond_radius() if radius is None else radius
     a, b, c = cell_of(F.col("cell"))
@@ -132,9 +133,11 @@ def periodic_neighbour_list(atoms: DataFrame, cells: DataFrame, radius: Column |
     def shifts(i: int) -> Column:
         """The images of an atom along one lattice vector that come within reach of the cell."""
         margin = F.col("reach") * F.col(f"per{i}")
+        # Atoms of unknown elements reach nobody.
+        most = F.coalesce(F.ceil(margin), F.lit(0)).cast("bigint") + 1
         return F.filter(
-            F.array(F.lit(-1.0), F.lit(0.0), F.lit(1.0)),
-            lambda d: (F.col(f"w{i}") + d).between(-margin, 1 + margin))
+            F.transform(F.sequence(-most, most), lambda d: d.cast("double")),
+            lambda d: (d == 0) | (F.col(f"w{i}") + d).between(-margin, 1 + margin))
 
     for i in range(3):
         wrapped = wrapped.withColumn(f"d{i}", F.explode(shifts(i)))
@@ -145,9 +148,9 @@ def periodic_neighbour_list(atoms: DataFrame, cells: DataFrame, radius: Column |
     ]
     is_home = (F.col("d0") == 0) & (F.col("d1") == 0) & (F.col("d2") == 0)
     points = wrapped.select("sid", "idx", "z", "r", *cartesian, is_home.alias("home"))
-    pairs = close_pairs(points, F.col("r"), F.col("home"), F.lit(True), ["idx", "z"])
+    pairs = close_pairs(points, F.col("r"), F.col("home"), F.lit(True), ["idx", "z", "home"])
     return (
-        pairs.filter("a_idx < b_idx").groupBy("sid", F.col("a_idx").alias("i"), F.col("b_idx").alias("j"))
+        pairs.filter("a_idx < b_idx OR (a_idx = b_idx AND NOT b_home)").groupBy("sid", F.col("a_idx").alias("i"), F.col("b_idx").alias("j"))
         .agg(F.min("dist").alias("dist"), F.count(F.lit(1)).alias("images"))
     )
 

@@ -14,6 +14,8 @@ PLAIN_TOP_N = 1_000
 BUCKET_DIGITS = 4
 # Rank error of the quantile sketch is at most 1 / SKETCH_ACCURACY of the rows.
 SKETCH_ACCURACY = 100_000
+# Parts of a bracket of scores that are ordered apart from each other.
+BRACKET_PARTS = 1_024
 
 
 def rank_within(
@@ -79,8 +81,10 @@ def smallest_n(df: DataFrame, n: int, score: Column, ties: Sequence[str], total:
     """The ``n`` rows of lowest ``score`` (ties by ``ties``) out of ``total``.
 
     Small ``n`` is a top-n. Beyond it the n-th score is bracketed with a quantile sketch: rows
-    below the bracket pass in a plain filter and only the few inside it are ordered.
+    below the bracket pass in a plain filter and only the few inside it are ordered, part by part.
+    ``total`` counts the rows whose score is known; rows with a null score are never taken.
     """
+    df = df.filter(score.isNotNull())
     if n >= total:
         return df
     if n <= plain_top_n:
@@ -95,12 +99,11 @@ def smallest_n(df: DataFrame, n: int, score: Column, ties: Sequence[str], total:
     high = sketch.select(F.col("b")[1]).scalar()
     passed = scored.filter(F.col("__score") < low)
     taken = passed.agg(F.count(F.lit(1))).scalar()
-    inside = (
-        scored.filter(F.col("__score").between(low, high))
-        .withColumn("__rn", F.row_number().over(Window.orderBy("__score", *ties)))
-        .filter(F.col("__rn") <= F.lit(n) - taken)
-        .drop("__rn")
-    )
+    width = (high - low).cast("double")
+    place = F.when(width > 0, F.floor((F.col("__score") - low) / width * BRACKET_PARTS)).otherwise(F.lit(0)).cast("bigint")
+    inside = rank_within(
+        scored.filter(F.col("__score").between(low, high)), [], [place], ["__score", *ties], "__rank")
+    inside = inside.filter(F.col("__rank") < F.lit(n) - taken).drop("__rank")
     return passed.unionByName(inside).drop("__score")
 
 
@@ -108,9 +111,8 @@ def nearest_quantiles(long: DataFrame, group: Sequence[str], value: str, quantil
     """Exact quantiles per group, taken at the nearest rank ``round(q * (n - 1))``.
 
     A mergeable sketch brackets every target rank; one more pass counts the rows below each
-    bracket and the distinct values inside it. Only that thin slice is ordered. Groups are the
-    columns (or labelled columns) under study, so the targets are small enough to broadcast;
-    group values must not be null.
+    bracket and the distinct values inside it. Only that thin slice is ordered. Group values must
+    not be null.
     """
     slack = 3.0 / SKETCH_ACCURACY
     edges = [e for q in quantiles for e in (max(0.0, q - slack), min(1.0, q + slack))]
@@ -137,7 +139,7 @@ def nearest_quantiles(long: DataFrame, group: Sequence[str], value: str, quantil
     v = F.col(value)
     # Null stands for "somewhere below the bracket" and sorts first.
     slice_counts = (
-        known.join(F.broadcast(targets), list(group))
+        known.join(targets, list(group))
         .filter(v <= F.col("high"))
         .groupBy(*group, "q", "rank", F.when(v >= F.col("low"), v).alias("__v"))
         .agg(F.count(F.lit(1)).alias("__c"))

@@ -38,10 +38,12 @@ def sample_random(df: DataFrame, n: int | None, seed: int | str | None = None, k
                   plain_top_n: int = PLAIN_TOP_N) -> DataFrame:
     """Exactly ``n`` rows without replacement; all rows when ``n`` is null or 0.
 
-    Beyond ``plain_top_n`` rows the sample is cut by score on the executors.
+    Rows without a key are not drawn. Beyond ``plain_top_n`` rows the sample is cut by score on
+    the executors.
     """
     if not n:
         return df
+    df = df.filter(F.col(key).isNotNull())
     total = df.count()
     if total < n:
         raise ValueError(f"n_samples {n} is greater than the number of rows {total}")
@@ -53,10 +55,11 @@ def sample_weighted(df: DataFrame, n: int, weight: Column, seed: int | str, key:
                     plain_top_n: int = PLAIN_TOP_N) -> DataFrame:
     """``n`` rows without replacement, each draw proportional to ``weight``.
 
-    Keeps the rows of lowest ``-ln(u) / weight``. Rows of zero or null weight are never drawn.
+    Keeps the rows of lowest ``ln(-ln(u)) - ln(weight)``: a common factor of all weights moves all
+    scores alike. Rows without a key, or of zero or null weight, are never drawn.
     """
-    score = -F.log(uniform(seed, F.col(key))) / F.col("__w")
-    weighted = df.withColumn("__w", weight.cast("double")).filter(F.col("__w") > 0)
+    score = F.log(-F.log(uniform(seed, F.col(key)))) - F.log("__w")
+    weighted = df.withColumn("__w", weight.cast("double")).filter((F.col("__w") > 0) & F.col(key).isNotNull())
     return smallest_n(weighted, n, F.round(score, 12), [key], weighted.count(), plain_top_n).drop("__w")
 
 

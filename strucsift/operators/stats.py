@@ -77,9 +77,10 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS,
     """Equal-width bins over each column's range, empty bins included, the last one closed.
 
     With ``label`` the bins span the column's range over all labels and are counted per label.
+    Null and NaN values are in no bin.
     """
     by = [label] if label else []
-    long = unpivot(df, columns, by).filter(F.col("value").isNotNull())
+    long = unpivot(df, columns, by).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     flat = F.col("lo") == F.col("hi")
     ranges = (
         long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))

@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strucsift.functions.keys import file_group, parse_key
 from strucsift.functions.vectors import voigt_to_full
+from strucsift.operators.ranking import rank_within
 from strucsift.plans.select import fetch
 
 LOCATION = ["database_name", "split_name", "source_file_name", "frame_idx"]
 SOURCE = ["database_name", "split_name"]
+# Leading letters by which source files are ordered apart from each other.
+PREFIX = 24
 
 
 def locate(keys: DataFrame, strict: bool = True) -> DataFrame:
@@ -38,9 +41,9 @@ def unregistered_keys(keys: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def lookup_records(keys: DataFrame, structures: DataFrame, registry: DataFrame | None = None) -> DataFrame:
-    """Raw structure of every key.
+    """Raw structure of every key; a key without one fails the job.
 
-    With a registry, a key of an unregistered source fails the job.
+    With a registry, a key of an unregistered source fails it as such.
     """
     located = locate(keys)
     if registry is not None:
@@ -48,7 +51,10 @@ def lookup_records(keys: DataFrame, structures: DataFrame, registry: DataFrame |
         problem = F.raise_error(F.concat(F.lit("no registered source for key "), F.col("entry_key")))
         located = located.join(known, SOURCE, "left").filter(
             F.when(F.col("__known"), F.lit(True)).otherwise(problem)).drop("__known")
-    return located.join(structures.drop("entry_key"), LOCATION)
+    found = structures.drop("entry_key").withColumn("__found", F.lit(True))
+    missing = F.raise_error(F.concat(F.lit("no structure for key "), F.col("entry_key")))
+    return located.join(found, LOCATION, "left").filter(
+        F.when(F.col("__found"), F.lit(True)).otherwise(missing)).drop("__found")
 
 
 def retrieve_field(keys: DataFrame, structures: DataFrame, field: str) -> DataFrame:
@@ -57,14 +63,16 @@ def retrieve_field(keys: DataFrame, structures: DataFrame, field: str) -> DataFr
     return lookup_records(keys, structures).select("entry_key", value.alias(field))
 
 
-def attach_extras(records: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:
+def attach_extras(records: DataFrame, table: DataFrame, columns: Sequence[str],
+                  keys: DataFrame | None = None) -> DataFrame:
     """Attach query-table columns as the struct ``extras``; null where the table has no row.
 
-    Should a key repeat in the table, one of its rows is taken.
+    Should a key repeat in the table, one of its rows is taken. ``keys`` are the records' keys
+    where they are at hand, so that the records need not be made twice.
     """
     names = [c for c in columns if c != "entry_key"]
     extras = (
-        fetch(table, records, names)
+        fetch(table, records if keys is None else keys, names)
         .select("entry_key", F.struct(*names).alias("extras"))
         .groupBy("entry_key").agg(F.max("extras").alias("extras"))
     )
@@ -98,17 +106,15 @@ def training_records(records: DataFrame, field_map: Mapping[str, str]) -> DataFr
 def plan_parts(keys: DataFrame, n_parts: int) -> DataFrame:
     """Give each key its part: source files in order, cut into contiguous runs.
 
-    Only the list of source files is ordered; keys get their part by a join on the file.
+    Only the list of source files is ordered, those of one name prefix at a time; keys get their
+    part by a join on the file.
     """
     located = locate(keys).withColumn(
         "file_group", file_group(*[F.col(c) for c in LOCATION[:3]]))
     files = located.select("file_group").distinct()
     # One row per source file.
-    ranked = files.select(
-        "file_group",
-        (F.row_number().over(Window.orderBy("file_group")) - 1).alias("rank"),
-        F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))).alias("n_groups"),
-    )
+    ranked = rank_within(files, [], [F.substring("file_group", 1, PREFIX)], ["file_group"], "rank").withColumn(
+        "n_groups", files.agg(F.count(F.lit(1))).scalar())
     parts = F.least(F.lit(n_parts), F.col("n_groups"))
     # Part p starts at group floor(p * G / F); the last start at or before the rank is its part.
     part = F.ceil((F.col("rank") + 1) * parts / F.col("n_groups")) - 1
@@ -152,6 +158,6 @@ def export(keys: DataFrame, structures: DataFrame, table: DataFrame | None = Non
     """Training records of the selected keys with their part number."""
     records = lookup_records(keys, structures, registry)
     if table is not None and extras:
-        records = attach_extras(records, table, extras)
+        records = attach_extras(records, table, extras, keys)
     parts = plan_parts(keys, n_parts).select("entry_key", "part")
     return training_records(records, field_map or {}).join(parts, "entry_key")

@@ -14,6 +14,12 @@ from strucsift.operators.fields import (
 from strucsift.operators.fingerprints import bit_array, circular_fingerprint
 from strucsift.operators.geometry import neighbour_list, structure_valid, water_count
 from strucsift.schema import QUERY_SCHEMA, conform
+from strucsift.session import cut_lineage
+
+# Columns whose mapped value, where there is one, is not replaced by a derived one.
+GIVEN_FIRST = ("composition", "num_atoms")
+# Measures of a structure without atom rows; all others are null.
+WITHOUT_ATOMS = {"num_atoms": 0, "num_water_molecules": 0, "is_molecular_structure_valid": False}
 
 
 def derive(atoms: DataFrame) -> DataFrame:
@@ -31,20 +37,28 @@ def process(structures: DataFrame, atoms: DataFrame, metadata: Mapping[str, str]
     """Rows of the query table.
 
     ``structures`` has ``sid``, ``entry_key`` and the mapped columns. Metadata constants yield
-    to mapped columns, those to the transforms, and those to the derived measures.
+    to mapped columns, those to the transforms, and those to the derived measures; only a formula
+    or atom count that the source gives stays. A structure without atoms is kept, as invalid.
     """
     mapped = apply_transforms(attach_metadata(structures, metadata or {}), transforms)
     derived = derive(atoms).drop("parity_spin")
-    clash = [c for c in derived.columns if c != "sid" and c in mapped.columns]
-    rows = mapped.drop(*clash).join(derived, "sid")
+    given = [c for c in GIVEN_FIRST if c in mapped.columns]
+    clash = [c for c in derived.columns if c != "sid" and c in mapped.columns and c not in given]
+    derived = derived.withColumnsRenamed({c: f"__{c}" for c in given})
+    rows = mapped.drop(*clash).join(derived, "sid", "left")
+    rows = rows.withColumns({c: F.coalesce(F.col(c).cast(derived.schema[f"__{c}"].dataType), F.col(f"__{c}")) for c in given})
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(value)) for c, value in WITHOUT_ATOMS.items()})
     if graph:
         subset = F.col("subset") if "subset" in rows.columns else F.lit(None).cast("string")
         candidate = graph_candidate(F.col("num_atoms"), subset, atom_limit, skip_subsets)
-        bits = circular_fingerprint(atoms, neighbour_list(atoms)).select(
+        rows = cut_lineage(rows.withColumn("graph_properties_candidate", candidate), "derived")
+        chosen = atoms.join(rows.filter("graph_properties_candidate").select("sid"), "sid", "left_semi")
+        bits = circular_fingerprint(chosen, neighbour_list(chosen)).select(
             "sid", bit_array(F.col("set_bits")).alias("fingerprint"))
-        rows = rows.withColumn("graph_properties_candidate", candidate).join(bits, "sid", "left").withColumn(
-            "fingerprint", F.when(F.col("graph_properties_candidate"), F.col("fingerprint")))
-        rows = rows.withColumn("error_graph_properties", derivation_error(["fingerprint"]))
+        rows = rows.join(bits, "sid", "left")
+        # Only a candidate can lack its fingerprint by error.
+        missing = F.col("graph_properties_candidate") & derivation_error(["fingerprint"])
+        rows = rows.withColumn("error_graph_properties", F.coalesce(missing, F.lit(False)))
     else:
         rows = rows.withColumn("graph_properties_candidate", F.lit(False))
     return conform(rows, QUERY_SCHEMA)

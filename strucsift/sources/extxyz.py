@@ -57,14 +57,18 @@ def _truth(text: str) -> bool:
     return text.strip().lower() in ("t", "true", "1")
 
 
-def parse_frame(lines: list[str]) -> dict | None:
-    """One frame as a record; null when it has fewer atom lines than announced."""
-    n = int(lines[0])
-    if len(lines) < n + 2:
-        return None
-    info = parse_comment(lines[1])
+def parse_frame(lines: list[str]) -> dict:
+    """One frame as a record. Atom lines must be as many as announced; blank ones do not count."""
+    if not _COUNT_LINE.match(lines[0]):
+        raise ValueError("lines before the first count line")
+    n, comment, atoms = int(lines[0]), "".join(lines[1:2]), [line for line in lines[2:] if line.strip()]
+    if len(lines) < 2 or len(atoms) < n:
+        raise ValueError("truncated")
+    if len(atoms) > n:
+        raise ValueError(f"{len(atoms)} atom lines instead of {n}")
+    info = parse_comment(comment)
     layout = _column_spec(info.pop("Properties", "species:S:1:pos:R:3"))
-    rows = [line.split() for line in lines[2:n + 2]]
+    rows = [line.split() for line in atoms]
 
     def block(*names: str) -> list[list[str]] | None:
         for name in names:
@@ -98,14 +102,15 @@ def parse_frame(lines: list[str]) -> dict | None:
 
 
 def _assemble(lines: Iterable[str]) -> Iterator[list[str]]:
-    """Group lines into frames. The first piece may be the tail of an earlier frame."""
+    """Group lines into frames, blank lines included: a comment may be blank, and stand first in
+    a split. The first piece may be the tail of an earlier frame."""
     frame: list[str] = []
     for line in lines:
         if _COUNT_LINE.match(line):
             if frame:
                 yield frame
             frame = [line]
-        elif line.strip() or len(frame) == 1:
+        else:
             frame.append(line)
     if frame:
         yield frame
@@ -136,14 +141,21 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=names)
 
 
+def _record(path: str, frame_idx: int, lines: list[str]) -> dict:
+    try:
+        return {"path": path, "frame_idx": frame_idx, **parse_frame(lines)}
+    except (ValueError, KeyError, IndexError, TypeError) as error:
+        raise ValueError(f"frame {frame_idx} of {path} is malformed: {error}") from error
+
+
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        made = []
-        for path, frame_idx, lines in zip(batch["path"], batch["frame_idx"], batch["lines"]):
-            record = parse_frame(list(lines))
-            if record is None:
-                raise ValueError(f"frame {frame_idx} of {path} is truncated")
-            made.append({"path": path, "frame_idx": frame_idx, **record})
+        made = [
+            _record(path, frame_idx, list(lines))
+            for path, frame_idx, lines in zip(batch["path"], batch["frame_idx"], batch["lines"])
+            # Blank lines may stand before the first frame of a file.
+            if frame_idx >= 0 or any(map(str.strip, lines))
+        ]
         if made:
             yield pd.DataFrame(made)
 
@@ -175,15 +187,32 @@ def frames_of_text(lines: DataFrame) -> DataFrame:
     frame_idx = F.when(F.col("ordinal") >= 0, F.col("before") + F.col("ordinal")).otherwise(F.col("before") - 1)
     numbered = pieces.join(offsets, ["path", "block"]).withColumn("frame_idx", frame_idx)
     in_order = F.sort_array(F.collect_list(F.struct("block", "ordinal", "lines")))
-    whole = numbered.filter("frame_idx >= 0").groupBy("path", "frame_idx").agg(
+    whole = numbered.groupBy("path", "frame_idx").agg(
         F.flatten(F.transform(in_order, lambda p: p["lines"])).alias("lines"))
     return whole.mapInPandas(_parse_batches, FRAME_SCHEMA)
 
 
-def _decoded_lines(content: bytes) -> Iterator[str]:
-    decoder, rest = lzma.LZMADecompressor(), b""
+def _inflated(content: bytes) -> Iterator[bytes]:
+    """Blocks of all streams of an ``.xz`` file; zero bytes may pad the space between streams."""
+    decoder = lzma.LZMADecompressor()
     for at in range(0, len(content), _DECODE_BYTES):
-        head, *others = (rest + decoder.decompress(content[at:at + _DECODE_BYTES])).split(b"\n")
+        data = content[at:at + _DECODE_BYTES]
+        while data:
+            if decoder.eof:
+                data = data.lstrip(b"\0")
+                if not data:
+                    break
+                decoder = lzma.LZMADecompressor()
+            yield decoder.decompress(data)
+            data = decoder.unused_data
+    if not decoder.eof:
+        raise EOFError("the last xz stream is cut off")
+
+
+def _decoded_lines(content: bytes) -> Iterator[str]:
+    rest = b""
+    for block in _inflated(content):
+        head, *others = (rest + block).split(b"\n")
         if others:
             yield head.decode()
             for line in others[:-1]:
@@ -199,11 +228,10 @@ def _parse_compressed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             made = []
-            for frame_idx, lines in enumerate(_assemble(_decoded_lines(bytes(content)))):
-                record = parse_frame(lines)
-                if record is None:
-                    raise ValueError(f"frame {frame_idx} of {path} is truncated")
-                made.append({"path": path, "frame_idx": frame_idx, **record})
+            pieces = _assemble(_decoded_lines(bytes(content)))
+            frames = (lines for lines in pieces if any(map(str.strip, lines)))
+            for frame_idx, lines in enumerate(frames):
+                made.append(_record(path, frame_idx, lines))
                 if len(made) >= PIECES_PER_BATCH:
                     yield pd.DataFrame(made)
                     made = []

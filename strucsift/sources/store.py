@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strucsift.session import cut_lineage
+
 Writer = Callable[[DataFrame, str], None]
 
 
@@ -32,9 +34,10 @@ def _append(df: DataFrame, path: str) -> None:
 def append(incoming: DataFrame, path: str, check_keys: bool = True, writer: Writer = _append) -> None:
     """Append to the table at ``path``; any key that is there already rejects the whole batch.
 
-    An empty batch writes nothing.
+    The batch is made once, into a scratch table, and checked there. An empty one writes nothing.
     """
     spark = incoming.sparkSession
+    incoming = cut_lineage(incoming, "incoming")
     if incoming.isEmpty():
         return
     if check_keys:
@@ -51,11 +54,15 @@ def append(incoming: DataFrame, path: str, check_keys: bool = True, writer: Writ
 
 
 def save_keys(keys: DataFrame, path: str, settings: dict[str, str] | None = None) -> None:
-    """Write a key set and, beside it, the settings of the query that made it."""
+    """Write a key set and, beside it, the settings of the query that made it.
+
+    The keys are made once and checked before anything is written to ``path``.
+    """
     spark = keys.sparkSession
-    keys.select("entry_key").write.parquet(path)
-    if spark.read.schema("entry_key string").parquet(path).isEmpty():
+    keys = cut_lineage(keys.select("entry_key"), "keys")
+    if keys.isEmpty():
         raise ValueError("the query matched no entries")
+    keys.write.parquet(path)
     if settings is not None:
         row = spark.range(1).select(F.to_json(F.create_map(
             *[F.lit(str(x)) for kv in settings.items() for x in kv])).alias("value"))

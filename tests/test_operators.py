@@ -519,7 +519,7 @@ def test_processing_with_graph_properties(spark):
     done = {r.entry_key: r for r in process.process(rows, atoms, {"functional": "PBE"}, graph=True, atom_limit=5).collect()}
     assert done["a"].functional == "PBE" and done["a"].num_water_molecules == 1 and done["a"].composition == "H2O"
     assert done["a"].graph_properties_candidate and sum(done["a"].fingerprint) > 0 and not done["a"].error_graph_properties
-    assert done["b"].graph_properties_candidate is False and done["b"].fingerprint is None and done["b"].error_graph_properties
+    assert done["b"].graph_properties_candidate is False and done["b"].fingerprint is None and not done["b"].error_graph_properties
 
 
 def test_format_rules(spark):
@@ -537,3 +537,47 @@ def test_format_rules(spark):
     assert applied("xyz").net_charge == 5
     with pytest.raises(ValueError):
         formats.transforms_for("cif")
+
+
+def test_null_keys_are_never_drawn(spark):
+    df = spark.range(3000).select(F.when(F.col("id") >= 10, F.concat(F.lit("k"), F.col("id").cast("string"))).alias("entry_key"))
+    for n in (100, 2990):
+        paths = [{r.entry_key for r in sampling.sample_random(df, n, 1, plain_top_n=p).collect()} for p in (0, 10_000)]
+        assert paths[0] == paths[1] and len(paths[0]) == n and None not in paths[0]
+    with pytest.raises(ValueError):
+        sampling.sample_random(df, 2995, 1)
+
+
+def test_weights_may_have_any_scale(spark):
+    df = spark.range(600).select(F.col("id").cast("string").alias("entry_key"), F.when(F.col("id") < 300, 9.0).otherwise(1.0).alias("w"))
+    draws = [{r.entry_key for r in sampling.sample_weighted(df, 200, F.col("w") * scale, 3).collect()} for scale in (1.0, 1e14, 1e-14)]
+    assert draws[0] == draws[1] == draws[2] and sum(int(k) < 300 for k in draws[0]) > 150
+
+
+def test_small_periodic_cells(spark):
+    """Two atoms in a cell that is lower than the cutoff: all images, own ones too, against counting."""
+    side, cutoff = 2.0, 3.0
+    atoms = spark.createDataFrame([(1, 0, 6, 0.1, 0.2, 0.3), (1, 1, 6, 1.1, 1.2, 1.3)], "sid int, idx int, z int, px double, py double, pz double")
+    cells = spark.createDataFrame([(1, [[side, 0.0, 0.0], [0.0, side, 0.0], [0.0, 0.0, side]])], "sid int, cell array<array<double>>")
+    found = {(r.i, r.j): (round(r.dist, 6), r.images) for r in geometry.periodic_neighbour_list(atoms, cells, geometry.fixed_radius(cutoff)).collect()}
+    steps = [(a, b, c) for a in range(-3, 4) for b in range(-3, 4) for c in range(-3, 4)]
+    own = [side * math.hypot(*s) for s in steps if s != (0, 0, 0)]
+    other = [math.hypot(*(1.0 + side * x for x in s)) for s in steps]
+    count = lambda d: (round(min(d), 6), sum(x < cutoff for x in d))
+    assert found == {(0, 0): count(own), (1, 1): count(own), (0, 1): count(other)}
+
+
+def test_structures_without_atoms_and_given_formulas_stay(spark):
+    structures = spark.createDataFrame([(1, "a", "CaO2"), (2, "b", None), (3, "c", None)], "sid int, entry_key string, composition string")
+    atoms = spark.createDataFrame(
+        [(s, i, z, 1.2 * i, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0) for s in (1, 2) for i, z in enumerate((8, 6))],
+        "sid int, idx int, z int, px double, py double, pz double, fx double, fy double, fz double, charge double")
+    rows = {r.entry_key: r for r in process.process(structures, atoms).collect()}
+    assert [rows[k].composition for k in "abc"] == ["CaO2", "CO", None]
+    assert list(rows["a"].atomic_numbers) == [8, 6] and rows["c"].num_atoms == 0 and rows["c"].is_molecular_structure_valid is False
+
+
+def test_nan_is_in_no_bin(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "v double")
+    rows = stats.histogram(df, ["v"], 2).collect()
+    assert sum(r.n for r in rows) == 2 and not any(math.isnan(r.bin_start) for r in rows)

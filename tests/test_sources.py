@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from strucsift.checks.fixtures import Fixtures
+from strucsift.functions import keys
 from strucsift.operators import atoms as atom_ops
-from strucsift.sources import extxyz, sidecar
+from strucsift.plans import export
+from strucsift.sources import extxyz, sidecar, store
 from strucsift.sources.landing import number_frames
 
 FRAME = """3
@@ -96,3 +98,63 @@ def test_frame_numbers_of_a_dominant_file(spark):
     span = numbered.groupBy("file").agg(
         F.min("frame_idx").alias("lo"), F.max("frame_idx").alias("hi"), F.count_distinct("frame_idx").alias("n")).collect()
     assert all(r.lo == 0 and r.hi == r.n - 1 for r in span) and len(span) == 51
+
+
+SHORT = "2\nProperties=species:S:1:pos:R:3 energy=-1.0\nH 0 0 0\nO 0 0 1\n"
+
+
+def _frames(df):
+    return sorted((r.frame_idx, len(r.numbers)) for r in df.collect())
+
+
+def test_all_xz_streams_are_read(spark, tmp_path):
+    streams = [lzma.compress(SHORT.encode()), b"\0" * 8, lzma.compress((SHORT * 3).encode())]
+    (tmp_path / "a.extxyz.xz").write_bytes(b"".join(streams))
+    assert _frames(extxyz.read_extxyz_xz(spark, str(tmp_path))) == [(i, 2) for i in range(4)]
+    (tmp_path / "b.extxyz.xz").write_bytes(streams[2][:-9])
+    with pytest.raises(Exception, match="cut off|EOF"):
+        extxyz.read_extxyz_xz(spark, str(tmp_path / "b.extxyz.xz")).collect()
+
+
+@pytest.mark.parametrize("text", [SHORT + "H 0 0 2\n", "H 0 0 2\n" + SHORT, "3" + SHORT[1:]])
+def test_malformed_frames_fail(spark, tmp_path, text):
+    (tmp_path / "a.extxyz").write_text(text)
+    (tmp_path / "a.extxyz.xz").write_bytes(lzma.compress(text.encode()))
+    for read in (extxyz.read_extxyz, extxyz.read_extxyz_xz):
+        with pytest.raises(Exception, match="malformed"):
+            read(spark, str(tmp_path / ("a.extxyz" if read is extxyz.read_extxyz else "a.extxyz.xz"))).collect()
+
+
+def test_split_borders_do_not_matter(spark, tmp_path):
+    """Blank comments and blank lines at any border of a split."""
+    blank = "\n\n2\n\nH 0 0 0\nO 0 0 1\n\n"
+    (tmp_path / "a.extxyz").write_text((blank + SHORT) * 3)
+    whole = _frames(extxyz.read_extxyz(spark, str(tmp_path)))
+    assert whole == [(i, 2) for i in range(6)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (7, 11, 16, 23, 41):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", 1)
+            assert _frames(extxyz.read_extxyz(spark, str(tmp_path))) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_keys_without_structures_fail(spark):
+    structures = spark.createDataFrame([("db", "train", "f", 0, [1])], "database_name string, split_name string, source_file_name string, frame_idx bigint, numbers array<int>")
+    key = keys.build_key(*[F.col(c) for c in export.LOCATION]).alias("entry_key")
+    known = structures.select(key)
+    assert export.lookup_records(known, structures).count() == 1
+    missing = structures.withColumn("frame_idx", F.lit(5)).select(key)
+    with pytest.raises(Exception, match="no structure for key"):
+        export.lookup_records(known.unionByName(missing), structures).collect()
+
+
+def test_empty_key_set_leaves_nothing_behind(spark, tmp_path):
+    none = spark.createDataFrame([], "entry_key string")
+    for _ in range(2):
+        with pytest.raises(ValueError):
+            store.save_keys(none, str(tmp_path / "keys"))
+    assert not (tmp_path / "keys").exists()
