@@ -43,6 +43,8 @@ BATCH = 40
 MISS = 1e-4
 # Members of a bucket compared in one block; pairs one task of the exact check takes for a hub.
 BLOCK, SHARE = 512, 256
+# Parts of the shingle space by which shared shingles are counted.
+PARTS = 256
 SPACE = {0x20, *range(0x09, 0x0E)}
 WORD = weights(lambda b: b not in SPACE, fold_case=True)
 _SEEDS = np.random.default_rng(20_240_501)
@@ -134,10 +136,10 @@ def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
-    """(bucket, rep) of all bands."""
+    """(bucket, band, rep) of all bands."""
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     return reps.select("rep", "sig", band).select(
-        F.xxhash64("band", F.substring("sig", F.col("band") * F.lit(2 * ROWS) + 1, F.lit(2 * ROWS))).alias("bucket"), "rep")
+        F.xxhash64("band", F.substring("sig", F.col("band") * F.lit(2 * ROWS) + 1, F.lit(2 * ROWS))).alias("bucket"), "band", "rep")
 
 
 def _prune(pairs: DataFrame, reps: DataFrame, percent: int, miss: float) -> DataFrame:
@@ -194,31 +196,45 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_buckets(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """(bucket, rep, comp) of buckets that hold more than one component."""
+    """(bucket, band, rep, comp) of buckets that hold more than one component."""
     known = members.join(comps.select(F.col("id").alias("rep"), "root"), "rep", "left").select(
-        "bucket", "rep", F.coalesce("root", "rep").alias("comp"))
+        "bucket", "band", "rep", F.coalesce("root", "rep").alias("comp"))
     several = known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
     return known.join(several, "bucket", "left_semi")
 
 
 def _support(sets: DataFrame, reps: DataFrame) -> DataFrame:
-    """(rep, n, shared): how many shingles of each also occur in another of ``reps``."""
+    """(rep, n, shared, profile): how many shingles of each also occur in another of ``reps``, and
+    their numbers in each part of the shingle space."""
     own = sets.join(reps, "rep", "left_semi")
+    # No longer than the document itself.
     alone = (
         own.select("rep", F.explode("shingles").alias("s")).groupBy("s")
         .agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep")).filter("c = 1")
-        .groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
+        .groupBy("rep").agg(F.collect_list("s").alias("alone"))
     )
-    return own.select("rep", "n").join(alone, "rep", "left").select(
-        "rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    parts = lambda x: np.bincount(np.asarray(x, np.int64) & (PARTS - 1), minlength=PARTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            profile = [parts(every) - parts(few or []) for every, few in
+                       zip(batch.column("shingles").to_pylist(), batch.column("alone").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), batch.column("n"), pa.array([int(p.sum()) for p in profile], pa.int64()),
+                 pa.array([p.astype("<u4").tobytes() for p in profile], pa.binary())], ["rep", "n", "shared", "profile"])
+
+    return own.join(alone, "rep", "left").select("rep", "n", "shingles", "alone").mapInArrow(
+        run, "rep bigint, n bigint, shared bigint, profile binary")
 
 
 def _block_pairs(members: DataFrame, reps: DataFrame, support: DataFrame, percent: int, miss: float) -> DataFrame:
     """Unpruned pairs (a, b) of different components in one bucket, found block by block.
 
-    ``members``: (bucket, rep, comp). The bucket's largest component needs no comparison in itself:
+    ``members``: (bucket, band, rep, comp). The bucket's largest component needs no comparison in itself:
     its members meet the open ones only. Blocks are dealt by (bucket, block of open members, block
-    of all members); a pair of open members is compared once.
+    of all members). A pair of open members is compared once, and a pair that shares several
+    buckets is given by the one of its first band. Shared shingles in each part of the shingle
+    space bound the intersection from above, which spares pairs that differ in different places.
     """
     size = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
     plan = size.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("anchor"),
@@ -230,11 +246,11 @@ def _block_pairs(members: DataFrame, reps: DataFrame, support: DataFrame, percen
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     opens = rows.filter("is_open").withColumn("i", part("n_open")).withColumn("j", every("n_all")).withColumn("side", F.lit(0))
     others = rows.withColumn("j", part("n_all")).withColumn("i", every("n_open")).withColumn("side", F.lit(1))
-    columns = ["bucket", "i", "j", "side", "rep", "comp", "is_open"]
+    columns = ["bucket", "i", "j", "side", "band", "rep", "comp", "is_open"]
     facts = reps.select("rep", "sig").join(support, "rep")
     dealt = (
         opens.select(*columns).unionByName(others.select(*columns)).join(facts, "rep")
-        .select(*columns, "n", "shared", "sig").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side")
+        .select(*columns, "n", "shared", "profile", "sig").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side")
     )
     needed = least_matches(percent, miss)
 
@@ -242,16 +258,21 @@ def _block_pairs(members: DataFrame, reps: DataFrame, support: DataFrame, percen
         side = block["side"].to_numpy()
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         rep, comp, n, shared = (block[c].to_numpy() for c in ("rep", "comp", "n", "shared"))
-        is_open, sig = block["is_open"].to_numpy(), _signatures(block["sig"])
+        is_open, sig, band = block["is_open"].to_numpy(), _signatures(block["sig"]), int(block["band"][0].as_py())
+        profile = np.frombuffer(b"".join(block["profile"].to_pylist()), "<u4").reshape(len(rep), PARTS)
         # The shared shingles bound the intersection from above.
         most = np.minimum(shared[left][:, None], shared[right][None, :])
         able = (comp[left][:, None] != comp[right][None, :]) & (100 * most >= percent * (n[left][:, None] + n[right][None, :] - most))
         able &= ~is_open[right][None, :] | (rep[left][:, None] < rep[right][None, :])
         a, b = np.nonzero(able)
-        for k in range(0, len(a), 65_536):
-            x, y = left[a[k:k + 65_536]], right[b[k:k + 65_536]]
+        for k in range(0, len(a), 16_384):
+            x, y = left[a[k:k + 16_384]], right[b[k:k + 16_384]]
             stay = survivors(sig[x], sig[y], needed)
-            yield pa.RecordBatch.from_arrays([pa.array(rep[x[stay]]), pa.array(rep[y[stay]])], ["a", "b"])
+            x, y = x[stay], y[stay]
+            most = np.minimum(profile[x], profile[y]).sum(axis=1, dtype=np.int64)
+            same = (sig[x] == sig[y])[:, :band * ROWS].reshape(len(x), band, ROWS)
+            give = (100 * most >= percent * (n[x] + n[y] - most)) & ~same.all(axis=2).any(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(rep[x[give]]), pa.array(rep[y[give]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -291,7 +312,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, miss: float = MISS)
     )
     links = cut_lineage(_verify(_prune(first, reps, percent, miss), sets, percent), "links")
 
-    left = cut_lineage(_open_buckets(members.select("bucket", "rep"), components(links)), "open")
+    left = cut_lineage(_open_buckets(members.select("bucket", "band", "rep"), components(links)), "open")
     support = _support(sets, left.select("rep").distinct())
     support = cut_lineage(support.filter(100 * F.col("shared") >= percent * F.col("n")), "support")
     able = left.join(support.select("rep"), "rep", "left_semi")

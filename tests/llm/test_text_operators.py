@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import brute
 import numpy as np
@@ -110,19 +111,24 @@ def test_blocks_compare_what_hubs_leave(spark, monkeypatch):
     """Block pairs of one bucket, with blocks smaller than the bucket."""
     monkeypatch.setattr(minhash, "BLOCK", 16)
     rnd = random.Random(9)
-    sets = [sorted(rnd.sample(range(60), 40)) for _ in range(60)]
-    words = [" ".join(f"t{x}" for x in s for _ in range(1)) for s in sets]
-    texts = pa.array([" ".join(f"{w} . . . ." for w in t.split()) for t in words])
+    # Words far apart: each makes shingles of its own.
+    chosen = [sorted(rnd.sample(range(60), rnd.randint(46, 56))) for _ in range(60)]
+    texts = pa.array([" ".join(f"t{x} . . . . ." for x in s) for s in chosen])
     own = minhash.shingle_sets(texts)
     n = [len(s) for s in own]
     sig = [minhash.signature(s).tobytes() for s in own]
     reps = spark.createDataFrame([(i, bytes(s)) for i, s in enumerate(sig)], "rep bigint, sig binary")
-    members = spark.createDataFrame([(7, i, i % 20) for i in range(60)], "bucket bigint, rep bigint, comp bigint")
-    support = spark.createDataFrame([(i, k, k) for i, k in enumerate(n)], "rep bigint, n bigint, shared bigint")
-    found = {tuple(sorted(p)) for p in minhash._block_pairs(members, reps, support, 75, 1e-9).collect()}
-    links = {(i, j) for i in range(60) for j in range(i) if i % 20 != j % 20
-             and 100 * len(np.intersect1d(own[i], own[j])) >= 75 * len(np.union1d(own[i], own[j]))}
-    assert {tuple(sorted(x)) for x in links} <= found
+    members = minhash._buckets(reps).withColumn("comp", F.col("rep") % 20)
+    sets = spark.createDataFrame([(i, k, s.view(np.int64).tolist()) for i, (k, s) in enumerate(zip(n, own, strict=True))],
+                                 "rep bigint, n bigint, shingles array<bigint>")
+    support = minhash._support(sets, reps.select("rep"))
+    every = [x for s in own for x in s.tolist()]
+    often = {x for x, c in Counter(every).items() if c > 1}
+    assert {r.rep: r.shared for r in support.collect()} == {i: len(often & set(s.tolist())) for i, s in enumerate(own)}
+    found = [tuple(sorted(p)) for p in minhash._block_pairs(members, reps, support, 75, 1e-9).collect()]
+    same = lambda i, j: 100 * len(np.intersect1d(own[i], own[j])) >= 75 * len(np.union1d(own[i], own[j]))
+    links = {(j, i) for i in range(60) for j in range(i) if i % 20 != j % 20 and same(i, j)}
+    assert links and links <= set(found) and len(found) == len(set(found))
 
 
 def test_pruning_keeps_links_and_drops_others():
