@@ -545,6 +545,16 @@ SELECT k.entry_key, 'PBE' AS functional, k.subset, k.info_charge AS net_charge,
 FROM ({KEYED}) k LEFT JOIN V_query_db q ON k.sid = q.sid
 LEFT JOIN ({_COMPOSITION}) c ON k.sid = c.sid LEFT JOIN ({ORACLES['dipole_moment']}) d ON k.sid = d.sid
 LEFT JOIN ({ORACLES['structure_valid']}) v ON k.sid = v.sid LEFT JOIN ({_WATER}) w ON k.sid = w.sid"""
+ORACLES["process_landed"] = ORACLES["process_end_to_end"] + " WHERE q.sid IS NOT NULL"
+ORACLES["scalars_rowwise"] = f"""
+SELECT q.sid, q.num_atoms, q.atomic_symbols, c.composition, p.spin_multiplicity AS parity_spin,
+       {r('q.net_force_norm')} AS net_force_norm, {r('q.max_force_norm')} AS max_force_norm, d.dipole_moment_magnitude,
+       {r('q.molecular_weight')} AS molecular_weight
+FROM V_query_db q JOIN ({_COMPOSITION}) c ON q.sid = c.sid JOIN ({ORACLES['parity_spin']}) p ON q.sid = p.sid
+JOIN ({ORACLES['dipole_moment']}) d ON q.sid = d.sid"""
+ORACLES["validity_rowwise"] = f"""
+SELECT v.sid, v.is_molecular_structure_valid, w.num_water_molecules
+FROM ({ORACLES['structure_valid']}) v JOIN ({_WATER}) w ON v.sid = w.sid"""
 ORACLES["process_catalyst"] = f"""
 SELECT k.entry_key, 'oc20' AS database_name, 's2ef' AS subset, 'RPBE' AS functional, cast(0 AS bigint) AS net_charge,
        cast(p.spin_multiplicity AS double) AS spin_multiplicity, c.composition, f.catalyst_bulk_id, f.catalyst_class,

@@ -14,7 +14,7 @@ from strucsift import schema
 from strucsift.checks.fixtures import FILE, Fixtures
 from strucsift.functions import keys, parsers, predicates, vectors
 from strucsift.operators import (
-    atoms as atom_ops, catalyst, curation, fields, fingerprints, geometry, motifs, sampling, stats,
+    atoms as atom_ops, catalyst, curation, fields, fingerprints, geometry, motifs, rowwise, sampling, stats,
 )
 from strucsift.plans import actions, export, formats, process, select
 from strucsift.session import scratch_path, ship_package
@@ -785,6 +785,27 @@ def process_end_to_end(fx):
         "is_molecular_structure_valid", "num_water_molecules", "graph_properties_candidate")
 
 
+@query
+def scalars_rowwise(fx):
+    return rowwise.scalars(fx.landing, "sid").select(
+        "sid", "num_atoms", "atomic_symbols", "composition", F.col("parity_spin").cast("bigint"),
+        "net_force_norm", "max_force_norm", "dipole_moment_magnitude", "molecular_weight")
+
+
+@query
+def validity_rowwise(fx):
+    return rowwise.validity_and_water(fx.landing)
+
+
+@query
+def process_landed(fx):
+    rows = process.process_landed(fx.landing, "aselmdb_omol", {"functional": "PBE"})
+    return rows.select(
+        "entry_key", "functional", F.nullif("subset", F.lit("none")).alias("subset"), "net_charge", "energy", "num_atoms",
+        "composition", "atomic_symbols", "net_force_norm", "max_force_norm", "dipole_moment_magnitude", "molecular_weight",
+        "is_molecular_structure_valid", "num_water_molecules", "graph_properties_candidate")
+
+
 @query
 def process_catalyst(fx):
     slabs = fx.keyed_structures.filter(F.col("raw_database_name") == "oc20_s2ef").select(

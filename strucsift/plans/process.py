@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strucsift.operators import atoms as atom_ops
+from strucsift.operators import rowwise
 from strucsift.operators.fields import (
-    Transform, apply_transforms, attach_metadata, derivation_error, graph_candidate,
+    FIELD_MAPS, Transform, apply_transforms, attach_metadata, derivation_error, graph_candidate,
 )
 from strucsift.operators.fingerprints import bit_array, circular_fingerprint
 from strucsift.operators.geometry import neighbour_list, structure_valid, water_count
@@ -31,6 +32,31 @@ def derive(atoms: DataFrame) -> DataFrame:
     )
 
 
+def _settle(rows: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Give the measures, held with two leading underscores, their names beside the mapped columns."""
+    value = {c: F.coalesce(F.col(f"__{c}"), F.lit(WITHOUT_ATOMS[c])) if c in WITHOUT_ATOMS else F.col(f"__{c}") for c in measures}
+    for c in GIVEN_FIRST:
+        if c in rows.columns and c in value:
+            value[c] = F.coalesce(F.col(c).cast(rows.schema[f"__{c}"].dataType), value[c])
+    return rows.withColumns(value).drop(*[f"__{c}" for c in measures])
+
+
+def process_landed(landed: DataFrame, fmt: str, metadata: Mapping[str, str] | None = None,
+                   transforms: Sequence[Transform] = (), row_atoms: int = rowwise.ROW_ATOMS) -> DataFrame:
+    """Rows of the query table straight from landed structures of a format.
+
+    The format's field map reads the source fields from ``info``. All measures are taken inside the
+    row, so that nothing is shuffled but the structures of more than ``row_atoms`` atoms.
+    """
+    mapped = landed.withColumns({target: F.col("info")[source] for target, source in FIELD_MAPS[fmt].items()})
+    mapped = apply_transforms(attach_metadata(mapped, metadata or {}), transforms)
+    columns = {f"__{name}": column for name, column in rowwise.scalar_columns().items() if name != "parity_spin"}
+    flags = ("__is_molecular_structure_valid", "__num_water_molecules")
+    rows = rowwise.with_validity_and_water(mapped.withColumns(columns), row_atoms, names=flags)
+    rows = _settle(rows, [c.removeprefix("__") for c in (*columns, *flags)])
+    return conform(rows.withColumn("graph_properties_candidate", F.lit(False)), QUERY_SCHEMA)
+
+
 def process(structures: DataFrame, atoms: DataFrame, metadata: Mapping[str, str] | None = None,
             transforms: Sequence[Transform] = (), graph: bool = False, atom_limit: int = 200,
             skip_subsets: Sequence[str] = ()) -> DataFrame:
@@ -42,12 +68,8 @@ def process(structures: DataFrame, atoms: DataFrame, metadata: Mapping[str, str]
     """
     mapped = apply_transforms(attach_metadata(structures, metadata or {}), transforms)
     derived = derive(atoms).drop("parity_spin")
-    given = [c for c in GIVEN_FIRST if c in mapped.columns]
-    clash = [c for c in derived.columns if c != "sid" and c in mapped.columns and c not in given]
-    derived = derived.withColumnsRenamed({c: f"__{c}" for c in given})
-    rows = mapped.drop(*clash).join(derived, "sid", "left")
-    rows = rows.withColumns({c: F.coalesce(F.col(c).cast(derived.schema[f"__{c}"].dataType), F.col(f"__{c}")) for c in given})
-    rows = rows.withColumns({c: F.coalesce(c, F.lit(value)) for c, value in WITHOUT_ATOMS.items()})
+    measures = [c for c in derived.columns if c != "sid"]
+    rows = _settle(mapped.join(derived.withColumnsRenamed({c: f"__{c}" for c in measures}), "sid", "left"), measures)
     if graph:
         subset = F.col("subset") if "subset" in rows.columns else F.lit(None).cast("string")
         candidate = graph_candidate(F.col("num_atoms"), subset, atom_limit, skip_subsets)
