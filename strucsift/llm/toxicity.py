@@ -42,12 +42,13 @@ SHORTEST, LONGEST = 3, 8
 SIGNIFICANT = 30.0
 THRESHOLD = 0.7
 
-# Letters of other scripts that look like Latin ones, and digits read as letters.
+# Letters of other scripts that look like Latin ones, and signs read as letters. The
+# digit 1 stands for i and for l, so that these two are folded into one.
 ALIKE = dict(zip("аеорсухіјѕкмтвнԁԛԝαορνικτυεı", "aeopcyxijskmtbhdqwaopviktuei", strict=True))
-DIGITS = dict(zip("013457@$", "oieastas", strict=True))
+DIGITS = dict(zip("01345789@$!", "oieastbgasi", strict=True))
 INVISIBLE = dict.fromkeys([0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF])
 TABLE = {ord(k): v for k, v in ALIKE.items()} | INVISIBLE
-STANDING_IN = re.compile(r"(?<=[^\W\d_])[013457]+|[013457@$]+(?=[^\W\d_])")
+STANDING_IN = re.compile(r"(?<=[^\W\d_])[01345789]+|[01345789@$]+(?=[^\W\d_])|(?<=[^\W\d_])!(?=[^\W\d_])")
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -59,12 +60,15 @@ def fold(text: str | None) -> list[str]:
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text).translate(TABLE)
     text = STANDING_IN.sub(lambda m: "".join(DIGITS.get(c, c) for c in m[0]), text)
-    return WORD.findall(text)
+    return WORD.findall(text.replace("l", "i"))
 
 
 @dataclass
 class Lexicon:
-    """Word beginnings with weights, exceptions (words or phrases), and the curve's two numbers."""
+    """Word beginnings with weights, exceptions (words or phrases), and the curve's two numbers.
+
+    Entries and exceptions are words of letters; they are folded as texts are.
+    """
 
     weights: dict[str, float]
     exceptions: list[str] = default(default_factory=list)
@@ -74,9 +78,11 @@ class Lexicon:
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
         for stem, weight in self.weights.items():
-            found.add_word(f" {stem}", (len(stem) + 1, weight))
+            entry = f" {' '.join(fold(stem))}"
+            found.add_word(entry, (len(entry), weight))
         for phrase in self.exceptions:
-            found.add_word(f" {phrase} ", (len(phrase) + 2, None))
+            entry = f" {' '.join(fold(phrase))} "
+            found.add_word(entry, (len(entry), None))
         if len(found):
             found.make_automaton()
         return found

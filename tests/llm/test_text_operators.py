@@ -289,6 +289,7 @@ def test_folding_and_exceptions():
     automaton = lexicon.automaton()
     hits = lambda text: [w for _, w in lexicon.hits(automaton, toxicity.fold(text))]
     assert hits("You IDIOT! 1di0t іdіоt ｉｄｉｏｔ id​iot idiots") == [5.0] * 6
+    assert hits("id!ot idi07! ldlot") == [5.0] * 3
     assert hits("a scum pond, idiotes; no obscumt") == [] and hits("scum and pond $cum") == [4.0, 4.0]
     assert lexicon.density(automaton, None) == (0.0, 0) and toxicity.Lexicon({}).score(0.0) < 0.01
 
