@@ -304,6 +304,26 @@ FROM (SELECT a.sid, a.idx AS i, b.idx AS j, round(sqrt((4.9 * (a.px - b.px) - m.
       JOIN V_elements ea ON a.z = ea.z JOIN V_elements eb ON b.z = eb.z,
       (SELECT unnest([-1, 0, 1]) AS i) m, (SELECT unnest([-1, 0, 1]) AS i) n, (SELECT unnest([-1, 0, 1]) AS i) o)
 WHERE dist < cutoff GROUP BY sid, i, j"""
+_IMAGES = """
+SELECT a.sid, a.idx AS i, a.z AS zi, b.idx AS j, b.z AS zj, round(sqrt(
+         (4.9 * (a.px - b.px) - m.i * s.ax - 0.01 * n.i - 0.01 * o.i) ** 2
+         + (6.5 * (a.py - b.py) - 0.01 * m.i - n.i * s.bvy - 0.01 * o.i) ** 2
+         + (24.0 * (a.pz - b.pz) - m.i * (s.az + 0.02) - 0.01 * n.i - o.i * s.cz) ** 2), 9) AS dist
+FROM V_atoms a JOIN V_atoms b ON a.sid = b.sid JOIN V_structures s ON s.sid = a.sid,
+  (SELECT unnest([-2, -1, 0, 1, 2]) AS i) m, (SELECT unnest([-2, -1, 0, 1, 2]) AS i) n, (SELECT unnest([-2, -1, 0, 1, 2]) AS i) o
+WHERE a.idx <> b.idx OR m.i <> 0 OR n.i <> 0 OR o.i <> 0"""
+ORACLES["structure_valid_periodic"] = f"""
+SELECT sid, count(*) >= 2 AND min(others) >= 1 AND bool_and(z <> 1 OR degree = 1) AS is_molecular_structure_valid
+FROM (SELECT a.sid, a.idx, a.z, count(DISTINCT p.j) AS degree, count(DISTINCT p.j) FILTER (p.j <> a.idx) AS others
+      FROM V_atoms a LEFT JOIN (
+        SELECT p.* FROM ({_IMAGES}) p JOIN V_elements ei ON p.zi = ei.z JOIN V_elements ej ON p.zj = ej.z
+        WHERE p.dist < round(1.2 * (ei.cov_radius + ej.cov_radius), 9)) p ON a.sid = p.sid AND a.idx = p.i
+      GROUP BY a.sid, a.idx, a.z) GROUP BY sid"""
+ORACLES["water_count_periodic"] = f"""
+SELECT a.sid, count(*) FILTER (h = 2) AS num_water_molecules FROM (
+  SELECT a.sid, a.idx, count(p.j) AS h FROM V_atoms a
+  LEFT JOIN (SELECT * FROM ({_IMAGES}) WHERE zi = 8 AND zj = 1 AND dist < 1.2) p ON a.sid = p.sid AND a.idx = p.i
+  GROUP BY a.sid, a.idx) a GROUP BY a.sid"""
 _ENDS = "SELECT sid, i AS u, j AS v FROM V_bonds UNION ALL SELECT sid, j AS u, i AS v FROM V_bonds"
 _DEGREES = f"""
 SELECT a.sid, a.idx, a.z, a.tag, count(e.v) AS degree

@@ -429,6 +429,25 @@ def neighbour_list_periodic(fx):
     return geometry.periodic_neighbour_list(stretched, fx.cells).select("sid", "i", "j", "dist")
 
 
+def _stretched(fx):
+    """Atoms spread over a skewed cell without zero entries."""
+    atoms = fx.atoms.withColumns({"px": F.col("px") * 4.9, "py": F.col("py") * 6.5, "pz": F.col("pz") * 24.0})
+    small = F.lit(0.01)
+    cells = fx.raw_structures.select("sid", F.array(
+        F.array(F.col("ax"), small, F.col("az") + 0.02), F.array(small, "bvy", small), F.array(small, small, "cz")).alias("cell"))
+    return atoms, cells
+
+
+@query
+def structure_valid_periodic(fx):
+    return geometry.structure_valid_periodic(*_stretched(fx))
+
+
+@query
+def water_count_periodic(fx):
+    return geometry.water_count_periodic(*_stretched(fx))
+
+
 @query
 def structure_valid(fx):
     return geometry.structure_valid(fx.plain_atoms)

@@ -108,7 +108,7 @@ def neighbour_list(atoms: DataFrame, radius: Column | None = None) -> DataFrame:
 def periodic_neighbour_list(atoms: DataFrame, cells: DataFrame, radius: Column | None = None) -> DataFrame:
     """Neighbour pairs under periodic boundary conditions, nearest image of each pair.
 
-    ``cells`` gives ``(sid, cell)``. Atoms are wrapped into the cell and the right-hand side is
+    ``cells`` gives ``(sid, cell)``, and ``pbc`` where some axes are not periodic. Atoms are wrapped into the cell and the right-hand side is
     completed with the images that can reach it, as many along each lattice vector as the cutoff
     spans, so the search itself stays the open one. An atom is its own neighbour (``i = j``) when
     images of it are close enough; ``images`` counts all of them.
@@ -118,14 +118,16 @@ def periodic_neighbour_list(atoms: DataFrame, cells: DataFrame, radius: Column |
     volume = dot(a, cross(b, c))
     # Worked out once per structure: lattice, reciprocal rows, and one fraction per Å of height.
     reciprocal = [cross(b, c), cross(c, a), cross(a, b)]
+    along = [F.col("pbc")[i] if "pbc" in cells.columns else F.lit(True) for i in range(3)]
     lattice = cells.select(
-        "sid",
+        "sid", *[periodic.alias(f"on{i}") for i, periodic in enumerate(along)],
         *[v[k].alias(f"l{i}{k}") for i, v in enumerate((a, b, c)) for k in range(3)],
         *[(v[k] / volume).alias(f"g{i}{k}") for i, v in enumerate(reciprocal) for k in range(3)],
         *[(norm(v) / F.abs(volume)).alias(f"per{i}") for i, v in enumerate(reciprocal)],
     )
     position = tuple(F.col(f"p{x}") for x in _AXES)
-    rows = {f"w{i}": F.pmod(dot(position, tuple(F.col(f"g{i}{k}") for k in range(3))), F.lit(1.0)) for i in range(3)}
+    fraction = [dot(position, tuple(F.col(f"g{i}{k}") for k in range(3))) for i in range(3)]
+    rows = {f"w{i}": F.when(F.col(f"on{i}"), F.pmod(x, F.lit(1.0))).otherwise(x) for i, x in enumerate(fraction)}
     sized = atoms.withColumn("r", radius)
     reach = sized.groupBy("sid").agg((2 * F.max("r")).alias("reach"))
     wrapped = sized.join(lattice.join(reach, "sid"), "sid").withColumns(rows)
@@ -137,7 +139,7 @@ def periodic_neighbour_list(atoms: DataFrame, cells: DataFrame, radius: Column |
         most = F.coalesce(F.ceil(margin), F.lit(0)).cast("bigint") + 1
         return F.filter(
             F.transform(F.sequence(-most, most), lambda d: d.cast("double")),
-            lambda d: (d == 0) | (F.col(f"w{i}") + d).between(-margin, 1 + margin))
+            lambda d: (d == 0) | F.col(f"on{i}") & (F.col(f"w{i}") + d).between(-margin, 1 + margin))
 
     for i in range(3):
         wrapped = wrapped.withColumn(f"d{i}", F.explode(shifts(i)))
@@ -199,6 +201,53 @@ def _contacts(atoms: DataFrame) -> DataFrame:
     return settled.unionByName(met).unionByName(unknown)
 
 
+def _boxed(cells: DataFrame) -> DataFrame:
+    """The cells that have images: all nine entries are other than zero, and some axis is periodic."""
+    full = F.forall(F.flatten("cell"), lambda x: x != 0) & (F.size(F.flatten("cell")) == 9)
+    return cells.filter(full & F.exists("pbc", lambda p: p) if "pbc" in cells.columns else full)
+
+
+def structure_valid_periodic(atoms: DataFrame, cells: DataFrame, min_fragment: int = MIN_FRAGMENT) -> DataFrame:
+    """``structure_valid`` with image neighbours where :func:`_boxed` tells of a cell.
+
+    Neighbours are counted once, however many images of them are bonded; an atom bonded to an image
+    of itself counts as its own neighbour, but no atom belongs to a fragment of more for that.
+    """
+    boxed = _boxed(cells)
+    inside = atoms.join(boxed.select("sid"), "sid", "left_semi")
+    bonds = periodic_neighbour_list(inside, boxed)
+    degrees = both_ways(bonds).distinct().groupBy("sid", F.col("u").alias("idx")).agg(
+        F.count(F.lit(1)).alias("degree"), F.count_if(F.col("u") != F.col("v")).alias("others"))
+    judged = inside.select("sid", "idx", "z").join(degrees, ["sid", "idx"], "left").fillna(0, ["degree", "others"])
+    verdict = judged.groupBy("sid").agg(
+        (F.count(F.lit(1)) >= min_fragment).alias("enough"), F.min("others").alias("least"),
+        F.bool_and((F.col("z") != HYDROGEN) | (F.col("degree") == 1)).alias("hydrogens_ok"))
+    whole = F.col("least") >= min_fragment - 1
+    if min_fragment > 2:
+        smallest = fragments(inside, bonds.filter("i <> j")).groupBy("sid").agg(F.min("n_atoms").alias("smallest"))
+        verdict, whole = verdict.join(smallest, "sid"), F.col("smallest") >= min_fragment
+    closed = verdict.select("sid", (F.col("enough") & whole & F.col("hydrogens_ok")).alias("is_molecular_structure_valid"))
+    return closed.unionByName(structure_valid(atoms.join(boxed.select("sid"), "sid", "left_anti"), min_fragment))
+
+
+def water_count_periodic(atoms: DataFrame, cells: DataFrame) -> DataFrame:
+    """``water_count`` where images of hydrogens count as well, in the cells of :func:`_boxed`."""
+    boxed = _boxed(cells)
+    inside = atoms.join(boxed.select("sid"), "sid", "left_semi")
+    near = periodic_neighbour_list(inside.filter(F.col("z").isin(HYDROGEN, OXYGEN)), boxed, fixed_radius(OH_CUTOFF))
+    ends = F.explode(F.array(F.struct(F.col("i").alias("u"), F.col("j").alias("v")), F.struct(F.col("j").alias("u"), F.col("i").alias("v"))))
+    met = near.select("sid", "images", ends.alias("e")).select("sid", "images", "e.u", "e.v")
+    kind = lambda z, name: inside.filter(F.col("z") == z).select("sid", F.col("idx").alias(name))
+    waters = (
+        met.join(kind(OXYGEN, "u"), ["sid", "u"], "left_semi").join(kind(HYDROGEN, "v"), ["sid", "v"], "left_semi")
+        .groupBy("sid", "u").agg(F.sum("images").alias("h")).filter(F.col("h") == WATER_HYDROGENS)
+        .groupBy("sid").agg(F.count(F.lit(1)).alias("waters"))
+    )
+    closed = inside.select("sid").distinct().join(waters, "sid", "left").select(
+        "sid", F.coalesce("waters", F.lit(0)).cast("bigint").alias("num_water_molecules"))
+    return closed.unionByName(water_count(atoms.join(boxed.select("sid"), "sid", "left_anti")))
+
+
 def structure_valid(atoms: DataFrame, min_fragment: int = MIN_FRAGMENT) -> DataFrame:
     """Whether every fragment has ``min_fragment`` atoms and every hydrogen one neighbour.
 

@@ -13,7 +13,9 @@ from strucsift.operators.fields import (
     FIELD_MAPS, Transform, apply_transforms, attach_metadata, derivation_error, graph_candidate,
 )
 from strucsift.operators.fingerprints import bit_array, circular_fingerprint
-from strucsift.operators.geometry import neighbour_list, structure_valid, water_count
+from strucsift.operators.geometry import (
+    neighbour_list, structure_valid, structure_valid_periodic, water_count, water_count_periodic,
+)
 from strucsift.schema import QUERY_SCHEMA, conform
 from strucsift.session import cut_lineage
 
@@ -23,13 +25,15 @@ GIVEN_FIRST = ("composition", "num_atoms")
 WITHOUT_ATOMS = {"num_atoms": 0, "num_water_molecules": 0, "is_molecular_structure_valid": False}
 
 
-def derive(atoms: DataFrame) -> DataFrame:
-    """All per-structure measures of the atom table, one row per ``sid``."""
-    return (
-        atom_ops.scalar_measures(atoms)
-        .join(structure_valid(atoms), "sid")
-        .join(water_count(atoms), "sid")
-    )
+def derive(atoms: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """All per-structure measures of the atom table, one row per ``sid``.
+
+    With ``cells`` (sid, cell, pbc) neighbours are searched across periodic borders as well; the
+    atoms then need their ``idx``.
+    """
+    valid = structure_valid(atoms) if cells is None else structure_valid_periodic(atoms, cells)
+    water = water_count(atoms) if cells is None else water_count_periodic(atoms, cells)
+    return atom_ops.scalar_measures(atoms).join(valid, "sid").join(water, "sid")
 
 
 def _settle(rows: DataFrame, measures: Sequence[str]) -> DataFrame:
@@ -59,7 +63,7 @@ def process_landed(landed: DataFrame, fmt: str, metadata: Mapping[str, str] | No
 
 def process(structures: DataFrame, atoms: DataFrame, metadata: Mapping[str, str] | None = None,
             transforms: Sequence[Transform] = (), graph: bool = False, atom_limit: int = 200,
-            skip_subsets: Sequence[str] = ()) -> DataFrame:
+            skip_subsets: Sequence[str] = (), cells: DataFrame | None = None) -> DataFrame:
     """Rows of the query table.
 
     ``structures`` has ``sid``, ``entry_key`` and the mapped columns. Metadata constants yield
@@ -67,7 +71,7 @@ def process(structures: DataFrame, atoms: DataFrame, metadata: Mapping[str, str]
     or atom count that the source gives stays. A structure without atoms is kept, as invalid.
     """
     mapped = apply_transforms(attach_metadata(structures, metadata or {}), transforms)
-    derived = derive(atoms).drop("parity_spin")
+    derived = derive(atoms, cells).drop("parity_spin")
     measures = [c for c in derived.columns if c != "sid"]
     rows = _settle(mapped.join(derived.withColumnsRenamed({c: f"__{c}" for c in measures}), "sid", "left"), measures)
     if graph:
