@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strucsift.llm.common import if_small
+from strucsift.llm.common import BROADCAST_ROWS
 from strucsift.session import cut_lineage
 
 # A line is boilerplate on more than this share of a host's pages, and on so many at least.
@@ -67,9 +67,8 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int =
     """
     own = [c for c in pages.columns if c not in ("text", "n_lines", "n_dropped")]
     found = cut_lineage(boilerplate(pages, ratio, least_pages), "boilerplate")
-    # Bounded by hosts times lines of a host.
-    few = found.select(F.explode("lines")).withColumnRenamed("col", "line")
-    marked = pages.select(*own, "text").join(found if if_small(few) is few else F.broadcast(found), "host", "left")
+    few = found.select(F.explode("lines")).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    marked = pages.select(*own, "text").join(F.broadcast(found) if few else found, "host", "left")
     lines, listed = F.split("text", "\n"), F.coalesce("lines", F.array().cast("array<bigint>"))
     kept = F.filter(lines, lambda line: ~F.array_contains(listed, F.xxhash64(_trim(line))) | (_trim(line) == ""))
     n_lines = F.size(F.filter(lines, lambda line: _trim(line) != ""))
