@@ -4,9 +4,10 @@ import pytest
 from harness import compare, connect
 
 import __spark_entry__ as entry_file
+from strucsift.checks.oracles import oracle_statements
+from strucsift.checks.queries import QUERIES
 
-QUERIES = entry_file.queries()
-ORACLES = entry_file.oracle_sql()
+ORACLES = oracle_statements()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def connection(small):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_file.queries()) and set(ORACLES) <= set(entry_file.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
