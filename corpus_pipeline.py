@@ -21,7 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(F.col("quality") == 1).select("doc_id")
-    out = quality.quality_rules(docs, trusted).filter(~F.col("kept")).select("doc_id").distinct()
+    out = cut_lineage(quality.quality_rules(docs, trusted).filter(~F.col("kept")).select("doc_id").distinct(), "rejected")
     return docs.join(if_small(out), "doc_id", "left_anti").select(*COLUMNS)
 
 

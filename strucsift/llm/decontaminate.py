@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from strucsift.llm.common import field, if_small, map_texts, prepare
 from strucsift.llm.textscan import Words, weights, windows, words_of
+from strucsift.session import cut_lineage
 
 WINDOW = 13
 # Windows sent to the executors at a time: with ids and words about 100 MB.
@@ -203,7 +204,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, spans: bool = False, window: i
     own = docs.columns
     found = scan(docs, benchmark, window).select("doc_id", "span_start", "span_end", contaminated().alias("__out"))
     if not spans:
-        gone = found.filter("__out").select("doc_id").distinct()
+        gone = cut_lineage(found.filter("__out").select("doc_id").distinct(), "contaminated")
         return docs.join(if_small(gone), "doc_id", "left_anti").select(*own)
     hit = found.filter(F.size("span_start") > 0).drop("__out")
     # The text between the end of one span and the start of the next.
