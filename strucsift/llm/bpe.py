@@ -36,7 +36,7 @@ from strucsift.llm.pieces import Memory, tokenize
 
 VOCABULARY = "word_bpe_49k.json"
 # Pairs of tokens whose compatibility a worker remembers.
-MOST_PAIRS = 2_000_000
+MOST_PAIRS = 500_000
 END = "\n"  # stands for the end of a word inside this module; no byte is written like this
 NEVER = 1 << 40
 LATIN = "\u024f"

@@ -17,7 +17,7 @@ BATCH_ROWS = 512
 # A side of at most this many rows of a few numbers (some 50 MB) may be sent to every executor.
 BROADCAST_ROWS = 1_000_000
 # Bytes of text that one vectorised step works on.
-STEP_BYTES = 4_000_000
+STEP_BYTES = 2_000_000
 
 
 def prepare(spark: SparkSession) -> None:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from strucsift.llm.textscan import Words, weights, words_of
 
 # Chunks remembered in a worker: some 30 bytes each. Beyond, the memory starts anew.
-MOST_CHUNKS = 1_500_000
+MOST_CHUNKS = 1_000_000
 SPACE = {0x20, *range(0x09, 0x0E)}
 CHUNK = weights(lambda b: b not in SPACE, fold_case=False)
 
