@@ -26,12 +26,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source; one that consisted of such lines
-    only goes, and lengths are counted anew."""
+    """Documents without the boilerplate lines of their source and without all but one copy of long
+    passages that documents of any source share; one that consisted of boilerplate only goes, and
+    lengths are counted anew."""
     found = lines.drop_boilerplate(docs.withColumnRenamed("source", "host"))
     emptied = (F.col("n_dropped") > 0) & (F.col("n_dropped") == F.col("n_lines"))
-    length = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return found.filter(~emptied).withColumn("n_chars", length).withColumnRenamed("host", "source").select(*COLUMNS)
+    cut = lines.drop_passages(found.filter(~emptied).withColumnRenamed("host", "source"))
+    changed = (F.col("n_dropped") > 0) | (F.col("n_passages") > 0)
+    length = F.when(changed, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", length).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,11 @@ boilerplate, so that a host's list stays small whatever its number of pages.
 Defined results: blank lines are not counted and stay as they are. Rows without a host belong to no
 site and keep all lines. A null text stays null and counts as a page without lines. Pages are rows:
 repeated rows count each. Other columns are kept by ``drop_boilerplate``.
+
+``drop_passages`` takes what no share of a site shows: long lines that several rows of the whole
+table have, whatever their hosts. One copy stays, in the row of the least id (nulls last). A row
+that consists of shared lines nearly whole is a copy of a document and stays whole: near-duplicate
+search judges it. Rows of equal id and text are treated alike.
 """
 
 from __future__ import annotations
@@ -15,12 +20,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strucsift.llm.common import BROADCAST_ROWS
+from strucsift.llm.common import BROADCAST_ROWS, if_small
 from strucsift.session import cut_lineage
 
 # A line is boilerplate on more than this share of a host's pages, and on so many at least.
 RATIO = 0.05
 LEAST_PAGES = 10
+# A line of more characters (every line of over 50 words has more) on so many rows is a shared
+# passage. In sf0.1 long lines stand on 1 to 4 rows or on 19 and more; 5 does not grow with the table.
+PASSAGE_CHARS = 100
+PASSAGE_ROWS = 5
+# Two texts of equal length that share 8/9 of their words have the Jaccard index 0.8 of near copies.
+COPY_SHARE = (8, 9)
 
 # HTML elements that end a line, and those without text.
 BLOCKS = ("address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|hr|html|"
@@ -46,11 +57,15 @@ def _trim(line: Column) -> Column:
     return F.trim(line, F.lit(SPACES))
 
 
+def _filled() -> Column:
+    """The trimmed lines of ``text`` that are not blank."""
+    return F.filter(F.transform(F.split("text", "\n"), _trim), lambda line: line != "")
+
+
 def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(host, lines): the hashes of every host's boilerplate; ``pages`` has host and text."""
     sites = pages.filter(F.col("host").isNotNull())
-    filled = F.filter(F.transform(F.split("text", "\n"), _trim), lambda line: line != "")
-    seen = sites.select("host", F.explode(F.array_distinct(F.transform(filled, lambda line: F.xxhash64(line)))).alias("line"))
+    seen = sites.select("host", F.explode(F.array_distinct(F.transform(_filled(), lambda line: F.xxhash64(line)))).alias("line"))
     totals = sites.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     counted = seen.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
     return (
@@ -81,6 +96,43 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int =
     )
 
 
+def drop_passages(docs: DataFrame, least_rows: int = PASSAGE_ROWS, chars: int = PASSAGE_CHARS) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with all copies of shared passages but one dropped, and n_passages.
+
+    The hashes of all lines are written once with the id and text hash of their row. No task gathers
+    a line's rows: counts and the row that keeps a copy are aggregates.
+    """
+    own = [c for c in docs.columns if c != "n_passages"]
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    each = F.transform(_filled(), lambda line: F.struct(F.xxhash64(line).alias("line"), (F.char_length(line) > chars).alias("long")))
+    seen = cut_lineage(docs.select(row.alias("row"), F.explode(F.array_distinct(each)).alias("e")).select("row", "e.*"), "lines")
+    shared = cut_lineage(
+        seen.groupBy("line", "long").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("keeper"))
+        .filter(F.col("n") >= least_rows).select("line", "long", "keeper"), "shared")
+    gone = F.col("long") & ~F.col("row").eqNullSafe(F.col("keeper"))
+    # A list is at most as long as its text.
+    hits = cut_lineage(
+        seen.drop("long").join(if_small(shared), "line").groupBy("row").agg(
+            F.collect_set("line").alias("__common"), F.collect_set(F.when(gone, F.col("line"))).alias("__gone"))
+        .filter(F.size("__gone") > 0).select(F.col("row.id").alias("__id"), F.col("row.hash").alias("__hash"), "__common", "__gone"),
+        "passages")
+    few = hits.select(F.explode("__common")).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    marked = docs.select(*own).join(
+        F.broadcast(hits) if few else hits,
+        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left")
+    lines = F.split("text", "\n")
+    length = lambda every: F.aggregate(every, F.lit(0).cast("bigint"), lambda n, line: n + F.char_length(_trim(line)))
+    common = F.filter(lines, lambda line: F.array_contains("__common", F.xxhash64(_trim(line))))
+    partly = COPY_SHARE[1] * length(common) <= COPY_SHARE[0] * length(lines)
+    kept = F.filter(lines, lambda line: ~F.array_contains("__gone", F.xxhash64(_trim(line))))
+    return (
+        marked.withColumn("__kept", F.when(F.col("__gone").isNotNull(), F.when(partly, kept)))
+        .withColumn("n_passages", F.coalesce(F.size(lines) - F.when(F.col("__kept").isNotNull(), F.size("__kept")), F.lit(0)).cast("bigint"))
+        .withColumn("text", F.coalesce(F.array_join("__kept", "\n"), F.col("text")))
+        .select(*own, "n_passages")
+    )
+
+
 def oracle(ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> str:
     """The query over ``pages`` in SQL."""
     quote = lambda text: text.replace("'", "''")

@@ -51,3 +51,22 @@ def test_stages_keep_columns_and_bear_odd_rows(spark):
             found = stage(spark, source, SMALL)
             assert found.columns == corpus_pipeline.COLUMNS and found.count() <= source.count()
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == len(rows)
+
+
+def test_line_dedup_drops_long_passages_of_any_source(spark):
+    """A passage on 6 of 600 documents of six sources falls but for one copy; copies of documents stay whole."""
+    words = lambda seed, n: " ".join(f"w{seed}x{i}" for i in range(n))
+    passage, copied = words("p", 60), f"{words('c', 60)}\n{words('d', 60)}"
+    rows = [(i, f"{words(i, 20)}\n{words(-i - 1, 20)}", f"s{i % 6}") for i in range(600)]
+    for i in range(6):
+        rows[90 + i] = (90 + i, f"{words(90 + i, 20)}\n  {passage} \nend {i}", f"s{i}")
+        rows[300 + i] = (300 + i, copied, f"s{i}")
+        rows[400 + i] = (None, f"{words(400 + i, 20)}\n{passage}\nend {i}", None)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumns(
+        {"lang": F.lit("en"), "n_chars": F.char_length("text").cast("bigint")})
+    found = corpus_pipeline.line_dedup(spark, docs, SMALL).collect()
+    assert len(found) == 600 and all(r.n_chars == len(r.text) for r in found)
+    assert [r.doc_id for r in found if passage in r.text] == [90]
+    assert sum(r.text == copied for r in found) == 6
+    assert sorted(r.text for r in found if "end " in r.text and passage not in r.text) == sorted(
+        [f"{words(90 + i, 20)}\nend {i}" for i in range(1, 6)] + [f"{words(400 + i, 20)}\nend {i}" for i in range(6)])
