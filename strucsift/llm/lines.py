@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from strucsift.llm.common import BROADCAST_ROWS, if_small
 from strucsift.session import cut_lineage
 
-# A line is boilerplate on more than this share of a host's pages, and on so many at least.
+# A line is boilerplate on more than this share of a host's pages. Fewer pages with the line than the
+# floor are no frequency; a site of at least so many pages can lose its navigation.
 RATIO = 0.05
-LEAST_PAGES = 10
+LEAST_PAGES = 3
 # A line of more characters (every line of over 50 words has more) on so many rows is a shared
 # passage. In sf0.1 long lines stand on 1 to 4 rows or on 19 and more; 5 does not grow with the table.
 PASSAGE_CHARS = 100

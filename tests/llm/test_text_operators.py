@@ -266,6 +266,14 @@ def test_line_dedup_equals_brute_force(spark, documents):
     assert lines.drop_boilerplate(source.limit(0)).count() == 0
 
 
+def test_line_dedup_of_small_sites(spark):
+    """Navigation on every page of a site falls from three pages on; two pages have no frequency."""
+    rows = [(f"h{n}", f"Home | About\npage {i} of {n}") for n in (1, 2, 3, 9) for i in range(n)]
+    found = lines.drop_boilerplate(spark.createDataFrame(rows, "host string, text string")).collect()
+    assert {(r.host, r.n_dropped) for r in found} == {("h1", 0), ("h2", 0), ("h3", 1), ("h9", 1)}
+    assert all(r.text.startswith("Home") == (r.host in ("h1", "h2")) and "page " in r.text for r in found)
+
+
 def test_hosts(spark):
     urls = ["http://A.example.com/x", "https://u:p@b.org:80/?q", "c.net/x", None, "ftp://", "http://d.example?x#y"]
     df = spark.createDataFrame([(u,) for u in urls], "url string").select(lines.host_of(F.col("url")).alias("h"))
