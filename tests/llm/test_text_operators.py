@@ -250,6 +250,27 @@ def test_chat_of_odd_turns(spark):
     assert chat.rotate_perspectives(df.limit(0)).count() == 0
 
 
+def test_chat_bounds_parts_of_repeated_and_null_turns(spark):
+    """Parts hold at most the given turns whatever their numbers; none is lost and none changes its order."""
+    said = [(1, None, "ann", f"n{i % 7}") for i in range(23)] + [(1, 3, "bob", f"r{i:02}") for i in range(11)]
+    said += [(1, 9, "ann", "late"), (2, 0, "ann", "other")] + [(2, 5, "bob", "same")] * 9
+    rows = said + [(None, i % 2, "ann", f"alone {i}") for i in range(20)] + [(None, 1, "system", "s")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    found = chat.rotate_perspectives(df, 4).collect()
+    assert max(r.n_turns for r in found) == 4
+    keyed = {(r.conv_id, r.perspective, r.part): r for r in found if r.conv_id is not None}
+    assert len(keyed) == sum(r.conv_id is not None for r in found)
+    assert sorted(k[2] for k in keyed if k[:2] == (1, "ann")) == [-1, 0, 1, 2, 3, 4, 5, 6, 7, 9 // 4 + 7]
+    for conv, who in ((1, "ann"), (1, "bob"), (2, "ann"), (2, "bob")):
+        order = sorted((r for r in said if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        parts = [keyed[k] for k in sorted(keyed) if k[:2] == (conv, who)]
+        assert "".join(p.text for p in parts) == "".join(
+            ("<|im_start|>assistant\n" if r[2] == who else f"<|im_start|>user name={r[2]}\n") + f"{r[3]}<|im_end|>\n" for r in order)
+        assert sum(p.n_own for p in parts) == sum(r[2] == who for r in order)
+    alone = [r for r in found if r.conv_id is None]
+    assert sorted(r.text for r in alone) == sorted(f"<|im_start|>assistant\nalone {i}<|im_end|>\n" for i in range(20))
+
+
 def test_chat_uses_no_python(spark):
     plan = chat.with_mask_text(chat.rotate_perspectives(spark.read.parquet(f"{SMALL}/conversations.parquet")))
     text = plan._jdf.queryExecution().executedPlan().toString()
