@@ -3,7 +3,8 @@
 A landed row holds all atoms of its structure as arrays, so that every measure is an expression over
 them: nothing is exploded, grouped or exchanged. Pair searches compare all atoms of a row with each
 other; structures of more than ``ROW_ATOMS`` atoms take the long form, which places atoms in cells.
-Both forms give the same values.
+Both forms give the same values. A structure whose ``numbers`` are null or empty has no atoms: it is
+kept, as invalid with 0 atoms and waters, and its other measures are null.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ def _axis(vectors: str, k: int) -> Column:
     return F.transform(vectors, lambda v: v[k])
 
 
+def num_atoms() -> Column:
+    return F.coalesce(F.size("numbers"), F.lit(0)).cast("bigint")
+
+
 def _symbols() -> Column:
     return F.transform("numbers", elements.symbol)
 
@@ -85,13 +90,13 @@ def parity_spin() -> Column:
 
 def scalar_columns() -> dict[str, Column]:
     """All scalar measures by name."""
-    return {
-        "num_atoms": F.size("numbers").cast("bigint"),
+    measures = {
         "atomic_numbers": F.transform("numbers", lambda z: z.cast("bigint")),
         "net_force_norm": net_force_norm(), "max_force_norm": max_force_norm(),
         "dipole_moment_magnitude": dipole_moment(), "molecular_weight": molecular_weight(),
         "atomic_symbols": atomic_symbols(), "composition": composition(), "parity_spin": parity_spin(),
     }
+    return {"num_atoms": num_atoms(), **{name: F.when(num_atoms() > 0, c) for name, c in measures.items()}}
 
 
 def scalars(landed: DataFrame, *keep: str) -> DataFrame:
@@ -138,9 +143,11 @@ def with_validity_and_water(landed: DataFrame, row_atoms: int = ROW_ATOMS, min_f
     if min_fragment > 2:
         raise ValueError("larger fragments need the component search of the long form")
     valid, water = names
-    small = landed.filter(F.size("numbers") <= row_atoms).withColumn("__atoms", _atoms()).withColumns({
-        valid: _valid(F.col("__atoms"), min_fragment), water: _waters(F.col("__atoms")).cast("bigint")}).drop("__atoms")
-    large = landed.filter(F.size("numbers") > row_atoms)
+    found = lambda measure, none: F.coalesce(F.when(num_atoms() > 0, measure), F.lit(none))
+    small = landed.filter(num_atoms() <= row_atoms).withColumn("__atoms", _atoms()).withColumns({
+        valid: found(_valid(F.col("__atoms"), min_fragment), False),
+        water: found(_waters(F.col("__atoms")).cast("bigint"), 0).cast("bigint")}).drop("__atoms")
+    large = landed.filter(num_atoms() > row_atoms)
     atoms = explode_structures(large, "sid")
     measured = geometry.structure_valid(atoms, min_fragment).join(geometry.water_count(atoms), "sid").withColumnsRenamed(
         {"is_molecular_structure_valid": valid, "num_water_molecules": water})

@@ -606,3 +606,22 @@ def test_row_form_equals_long_form_without_exchange(spark, tmp_path):
         assert {r.sid: (r.is_molecular_structure_valid, r.num_water_molecules) for r in found.collect()} == expected
     plan = rowwise.scalars(landed, "sid")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Generate" not in plan
+
+
+def test_landed_rows_without_atoms_stay(spark):
+    """Null or empty ``numbers``: kept as invalid with 0 atoms, on both sides of the row limit."""
+    point = [[0.0, 0.0, 0.0], [0.0, 0.0, 0.7]]
+    rows = [(1, None, None, None, None, None), (2, None, point, point, [0.0, 0.0], [0, 0]), (3, [], [], [], [], []), (4, [1, 1], point, point, [0.0, 0.0], [0, 0])]
+    landed = spark.createDataFrame(rows, "sid bigint, numbers array<int>, positions array<array<double>>, forces array<array<double>>, "
+                                   "charges array<double>, tags array<int>")
+    for limit in (0, 1, 256):
+        found = {tuple(r) for r in rowwise.validity_and_water(landed, limit).collect()}
+        assert found == {(1, False, 0), (2, False, 0), (3, False, 0), (4, True, 0)}
+    scalars = {r.sid: r.asDict() for r in rowwise.scalars(landed, "sid").collect()}
+    assert [scalars[i]["num_atoms"] for i in (1, 2, 3, 4)] == [0, 0, 0, 2]
+    assert all(v is None for i in (1, 2, 3) for k, v in scalars[i].items() if k not in ("sid", "num_atoms"))
+    done = process.process_landed(landed.withColumns({
+        "entry_key": F.concat(F.lit("k"), "sid"), "info": F.create_map(F.lit("data_id"), F.lit("x"))}).withColumn(
+        "info", F.from_json(F.to_json("info"), "data_id string, charge double, num_atoms bigint, spin double, composition string")), "aselmdb_omol")
+    assert {(r.entry_key, r.num_atoms, r.is_molecular_structure_valid, r.num_water_molecules) for r in done.collect()} == {
+        ("k1", 0, False, 0), ("k2", 0, False, 0), ("k3", 0, False, 0), ("k4", 2, True, 0)}
