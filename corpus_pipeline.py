@@ -12,17 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strucsift.llm import bpe, decontaminate, lines, minhash, quality
-from strucsift.llm.common import if_small
+from strucsift.llm.common import ROW_HASH, with_row_hash, without_rows
 from strucsift.session import cut_lineage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. A verdict holds for the rows of its id and text, so that
+    rows without an id have their own, and so have different texts under one id."""
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(F.col("quality") == 1).select("doc_id")
-    out = cut_lineage(quality.quality_rules(docs, trusted).filter(~F.col("kept")).select("doc_id").distinct(), "rejected")
-    return docs.join(if_small(out), "doc_id", "left_anti").select(*COLUMNS)
+    judged = quality.quality_rules(with_row_hash(docs), trusted, keep=("doc_id", ROW_HASH))
+    out = cut_lineage(judged.filter(~F.col("kept")).select("doc_id", ROW_HASH).distinct(), "rejected")
+    return without_rows(docs, out).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a contaminated share of benchmark words."""
+    """Documents without a contaminated share of benchmark words, judged like by the quality rules."""
     return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 

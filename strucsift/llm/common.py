@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,8 @@ BATCH_ROWS = 512
 BROADCAST_ROWS = 1_000_000
 # Bytes of text that one vectorised step works on.
 STEP_BYTES = 2_000_000
+# A verdict on a text holds for the rows of its id and text: ids may be null or repeat.
+ROW_HASH = "__row_hash"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -32,6 +34,21 @@ def if_small(side: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(side) if side.limit(limit + 1).count() <= limit else side
 
 
+def with_row_hash(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(ROW_HASH, F.xxhash64("text"))
+
+
+def same_row(doc_id: str, row_hash: str) -> Column:
+    """Whether a row of documents has this id, null included, and this text."""
+    return F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(row_hash))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows that have the id and the text of a row of ``gone`` (doc_id, ROW_HASH)."""
+    named = gone.select(F.col("doc_id").alias("__gone_id"), F.col(ROW_HASH).alias("__gone_hash"))
+    return docs.join(if_small(named), same_row("__gone_id", "__gone_hash"), "left_anti")
+
+
 def steps(batch: pa.RecordBatch, column: str = "text", most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` whose texts hold at most ``most`` bytes, or one text each."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

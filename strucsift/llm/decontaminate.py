@@ -15,13 +15,14 @@ table are ignored by ``scan`` and kept by ``remove``.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strucsift.llm.common import field, if_small, map_texts, prepare
+from strucsift.llm.common import ROW_HASH, field, map_texts, prepare, same_row, with_row_hash, without_rows
 from strucsift.llm.textscan import Words, weights, windows, words_of
 from strucsift.session import cut_lineage
 
@@ -98,7 +99,7 @@ class _Index:
         return out
 
 
-def _pass(docs: DataFrame, index: _Index) -> DataFrame:
+def _pass(docs: DataFrame, index: _Index, keep: Sequence[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def work(batch: pa.RecordBatch) -> dict:
@@ -128,23 +129,24 @@ def _pass(docs: DataFrame, index: _Index) -> DataFrame:
             "span_end": pa.array([e for _, e in spans], pa.list_(pa.int64())),
         }
 
-    return map_texts(docs, FIELDS, work)
+    return map_texts(docs, FIELDS, work, keep)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
-    """Per document: n_words, n_hit, items (sorted ids), and hit spans in characters.
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_windows: int = SLICE_WINDOWS,
+         keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Per document: the columns ``keep``, n_words, n_hit, items (sorted ids), and hit spans in characters.
 
     Several slices mean several passes, joined by document. Then ``doc_id`` must be unique, and
     words hit by two slices are united by their spans.
     """
     found = test_windows(benchmark, window)
     n_slices = max(1, -(-found.count() // slice_windows))
-    source = docs.select("doc_id", "text")
+    source = docs.select(*keep, "text")
     parts = []
     for s in range(n_slices):
         # One slice: a share of the windows with at most about slice_windows rows.
         rows = found.filter(F.pmod(F.col("hash"), F.lit(n_slices)) == s).collect()
-        parts.append(_pass(source, _Index(rows)))
+        parts.append(_pass(source, _Index(rows), keep))
     if n_slices == 1:
         return parts[0]
     return _unite(docs, parts)
@@ -200,16 +202,21 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, spans: bool = False, window: int = WINDOW) -> DataFrame:
-    """``docs`` (unique doc_id) without contaminated documents, or without the hit spans of all."""
+    """``docs`` without contaminated documents, or without the hit spans of all.
+
+    A verdict holds for the rows of its id and text: null and repeated ids are judged row by row.
+    """
     own = docs.columns
-    found = scan(docs, benchmark, window).select("doc_id", "span_start", "span_end", contaminated().alias("__out"))
+    found = scan(with_row_hash(docs), benchmark, window, keep=("doc_id", ROW_HASH)).select(
+        "doc_id", ROW_HASH, "span_start", "span_end", contaminated().alias("__out"))
     if not spans:
-        gone = cut_lineage(found.filter("__out").select("doc_id").distinct(), "contaminated")
-        return docs.join(if_small(gone), "doc_id", "left_anti").select(*own)
-    hit = found.filter(F.size("span_start") > 0).drop("__out")
+        gone = cut_lineage(found.filter("__out").select("doc_id", ROW_HASH).distinct(), "contaminated")
+        return without_rows(docs, gone).select(*own)
+    hit = found.filter(F.size("span_start") > 0).select(
+        F.col("doc_id").alias("__id"), F.col(ROW_HASH).alias("__hash"), "span_start", "span_end").dropDuplicates(["__id", "__hash"])
     # The text between the end of one span and the start of the next.
     starts = F.concat(F.array(F.lit(0).cast("bigint")), F.col("span_end"))
     ends = F.concat(F.col("span_start"), F.array(F.char_length("text").cast("bigint")))
     rest = F.array_join(F.zip_with(starts, ends, lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), (b - a).cast("int"))), "")
-    return docs.join(hit, "doc_id", "left").withColumn(
+    return docs.join(hit, same_row("__id", "__hash"), "left").withColumn(
         "text", F.when(F.col("span_start").isNull(), F.col("text")).otherwise(rest)).select(*own)

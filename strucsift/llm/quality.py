@@ -12,6 +12,8 @@ Columns other than the id and the text are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -102,8 +104,9 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log(share(target)) - np.log(share(raw))
 
 
-def quality_rules(docs: DataFrame, target: DataFrame | None, threshold: float = THRESHOLD) -> DataFrame:
-    """Per document: base counts, base_failed, the length-normalised ratio ``llr`` and ``kept``."""
+def quality_rules(docs: DataFrame, target: DataFrame | None, threshold: float = THRESHOLD,
+                  keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Per document: the columns ``keep``, base counts, base_failed, the length-normalised ratio ``llr`` and ``kept``."""
     ratio = log_ratio(*gram_counts(docs, target))
 
     def work(batch: pa.RecordBatch) -> dict:
@@ -113,6 +116,6 @@ def quality_rules(docs: DataFrame, target: DataFrame | None, threshold: float =
         llr = (total[border[1:]] - total[border[:-1]]) / np.maximum(np.diff(border), 1)
         return base_counts(column) | {"llr": llr}
 
-    scored = map_texts(docs, [*BASE, field("llr", "double")], work)
+    scored = map_texts(docs, [*BASE, field("llr", "double")], work, keep)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return scored.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))

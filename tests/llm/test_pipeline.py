@@ -70,3 +70,18 @@ def test_line_dedup_drops_long_passages_of_any_source(spark):
     assert sum(r.text == copied for r in found) == 6
     assert sorted(r.text for r in found if "end " in r.text and passage not in r.text) == sorted(
         [f"{words(90 + i, 20)}\nend {i}" for i in range(1, 6)] + [f"{words(400 + i, 20)}\nend {i}" for i in range(6)])
+
+
+def test_verdicts_reach_null_ids_and_spare_repeated_ones(spark):
+    """A rejected or contaminated row goes without an id too; a clean text under its id stays."""
+    test = spark.read.parquet(f"{SMALL}/benchmark.parquet").filter("size(split(text, ' ')) >= 13").first().text
+    good = {n: " ".join(f"{n}{i}" for i in range(30)) for n in "abcd"}
+    n = -10**12
+    rows = [(None, "junk"), (None, good["a"]), (n, "junk"), (n, good["b"]), (n, good["b"]), (n + 1, None)]
+    table = lambda rows: spark.createDataFrame(rows, "doc_id bigint, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(5).cast("bigint")})
+    found = corpus_pipeline.quality_rules(spark, table(rows), SMALL).collect()
+    assert sorted(r.text for r in found) == sorted([good["a"], good["b"], good["b"]])
+    rows = [(None, test), (None, good["c"]), (n, test), (n, good["d"]), (n, good["d"]), (None, None)]
+    found = corpus_pipeline.decontamination(spark, table(rows), SMALL).collect()
+    assert sorted(str(r.text) for r in found) == sorted([good["c"], good["d"], good["d"], "None"])
