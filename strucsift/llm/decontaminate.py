@@ -99,6 +99,21 @@ class _Index:
         return out
 
 
+def _spans(words: Words, hit: np.ndarray, judged: list) -> list[tuple[list[int], list[int]]]:
+    """Begins and ends, in characters, of the runs of hit words in every text that ``judged`` names."""
+    spans = [([], [])] * len(judged)
+    if hit.any():
+        ends, char = words.ends(), np.cumsum((words.data & 0xC0) != 0x80)
+        for i in range(len(judged)):
+            if judged[i]:
+                lo, hi = words.first[i], words.first[i + 1]
+                step = np.diff(np.concatenate([[0], hit[lo:hi].astype(np.int8), [0]]))
+                before = char[words.edges[i] - 1] if words.edges[i] else 0
+                spans[i] = ((char[words.start[lo + np.flatnonzero(step == 1)]] - 1 - before).tolist(),
+                            (char[ends[lo + np.flatnonzero(step == -1) - 1] - 1] - before).tolist())
+    return spans
+
+
 def _pass(docs: DataFrame, index: _Index, keep: Sequence[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -111,16 +126,7 @@ def _pass(docs: DataFrame, index: _Index, keep: Sequence[str]) -> DataFrame:
             cover[first + k] -= 1
             items[int(np.searchsorted(words.first, first, "right")) - 1] |= found
         hit = np.cumsum(cover)[:-1] > 0
-        spans = [([], [])] * n
-        if hit.any():
-            ends, char = words.ends(), np.cumsum((words.data & 0xC0) != 0x80)
-            for i in range(n):
-                if items[i]:
-                    lo, hi = words.first[i], words.first[i + 1]
-                    step = np.diff(np.concatenate([[0], hit[lo:hi].astype(np.int8), [0]]))
-                    before = char[words.edges[i] - 1] if words.edges[i] else 0
-                    spans[i] = ((char[words.start[lo + np.flatnonzero(step == 1)]] - 1 - before).tolist(),
-                                (char[ends[lo + np.flatnonzero(step == -1) - 1] - 1] - before).tolist())
+        spans = _spans(words, hit, items)
         hits = np.concatenate([[0], np.cumsum(hit)])
         return {
             "n_words": words.count, "n_hit": hits[words.first[1:]] - hits[words.first[:-1]],
@@ -136,57 +142,59 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_wind
          keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Per document: the columns ``keep``, n_words, n_hit, items (sorted ids), and hit spans in characters.
 
-    Several slices mean several passes, joined by document. Then ``doc_id`` must be unique, and
-    words hit by two slices are united by their spans.
+    Several slices mean several passes, joined by id and text, on which alone hits depend: null and
+    repeated ids give what one pass gives. Words hit by two slices are united by their spans.
     """
     found = test_windows(benchmark, window)
     n_slices = max(1, -(-found.count() // slice_windows))
-    source = docs.select(*keep, "text")
-    parts = []
+    if n_slices == 1:
+        return _pass(docs.select(*keep, "text"), _Index(found.collect()), keep)
+    source, parts = with_row_hash(docs.select("doc_id", "text")), []
     for s in range(n_slices):
-        # One slice: a share of the windows with at most about slice_windows rows.
+        # A share of the windows with at most about slice_windows rows.
         rows = found.filter(F.pmod(F.col("hash"), F.lit(n_slices)) == s).collect()
-        parts.append(_pass(source, _Index(rows), keep))
-    if n_slices == 1:
-        return parts[0]
-    return _unite(docs, parts)
+        parts.append(_pass(source, _Index(rows), ("doc_id", ROW_HASH)))
+    return _unite(docs, parts, keep)
 
 
-def _unite(docs: DataFrame, parts: list[DataFrame]) -> DataFrame:
-    """Unite the passes of all slices: rows with hits are gathered by document, others need not."""
+def _unite(docs: DataFrame, parts: list[DataFrame], keep: Sequence[str]) -> DataFrame:
+    """Unite the passes of all slices: rows with hits are gathered by id and text, others need not.
+
+    Rows of equal id and text give equal hits, so that a group has one set of them for each slice.
+    """
     some = [p.filter(F.size("items") > 0) for p in parts]
     every = some[0]
     for p in some[1:]:
         every = every.unionByName(p)
-    united = every.groupBy("doc_id").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.flatten(F.collect_list(F.arrays_zip("span_start", "span_end")))).alias("spans"))
-    merged = F.aggregate(
-        "spans", F.expr("cast(array() as array<struct<span_start:bigint,span_end:bigint>>)"),
-        lambda acc, s: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["span_end"] >= s["span_start"]), F.concat(
-            F.slice(acc, 1, F.size(acc) - 1),
-            F.array(F.struct(F.element_at(acc, -1)["span_start"].alias("span_start"),
-                             F.greatest(F.element_at(acc, -1)["span_end"], s["span_end"]).alias("span_end")))))
-        .otherwise(F.concat(acc, F.array(s))))
-    texts = docs.select("doc_id", "text").join(united.select("doc_id", "items", merged.alias("spans")), "doc_id", "left")
+    hits = F.collect_set(F.struct("items", F.arrays_zip("span_start", "span_end").alias("spans")))
+    united = every.groupBy(F.col("doc_id").alias("__id"), F.col(ROW_HASH).alias("__hash")).agg(hits.alias("hits")).select(
+        "__id", "__hash", F.array_sort(F.array_distinct(F.flatten("hits.items"))).alias("__items"),
+        F.array_distinct(F.flatten("hits.spans")).alias("__spans"))
+    texts = docs.select(*dict.fromkeys([*keep, "doc_id", "text"])).join(
+        united, same_row("__id", "__hash"), "left")
 
     def work(batch: pa.RecordBatch) -> dict:
         column = batch.column("text")
         words = words_of(column, WORD)
-        spans = batch.column("spans").to_pylist()
-        hit = [0] * len(spans)
+        found = batch.column("__spans").to_pylist()
+        hit = np.zeros(len(words.hash), bool)
         char = np.cumsum((words.data & 0xC0) != 0x80)
-        for i, own in enumerate(spans):
+        for i, own in enumerate(found):
             if own:
+                lo, hi = words.first[i], words.first[i + 1]
                 before = char[words.edges[i] - 1] if words.edges[i] else 0
-                at = char[words.start[words.first[i]:words.first[i + 1]]] - 1 - before
-                hit[i] = int(sum(((at >= s["span_start"]) & (at < s["span_end"])).sum() for s in own))
-        return {"n_words": words.count, "n_hit": pa.array(hit, pa.int64()),
-                "items": pa.array([x or [] for x in batch.column("items").to_pylist()], pa.list_(pa.string())),
-                "span_start": pa.array([[s["span_start"] for s in x or []] for x in spans], pa.list_(pa.int64())),
-                "span_end": pa.array([[s["span_end"] for s in x or []] for x in spans], pa.list_(pa.int64()))}
-
-    return map_texts(texts, FIELDS, work, also=("items", "spans"))
+                at = char[words.start[lo:hi]] - 1 - before
+                for s in own:
+                    hit[lo:hi] |= (at >= s["span_start"]) & (at < s["span_end"])
+        # Runs of hit words, so that spans of two slices that touch are one, as in a single pass.
+        spans = _spans(words, hit, found)
+        hits = np.concatenate([[0], np.cumsum(hit)])
+        return {"n_words": words.count, "n_hit": hits[words.first[1:]] - hits[words.first[:-1]],
+                "items": pa.array([x or [] for x in batch.column("__items").to_pylist()], pa.list_(pa.string())),
+                "span_start": pa.array([x for x, _ in spans], pa.list_(pa.int64())),
+                "span_end": pa.array([x for _, x in spans], pa.list_(pa.int64()))}
+
+    return map_texts(texts, FIELDS, work, keep, also=("__items", "__spans"))
 
 
 def contaminated() -> F.Column:

@@ -349,6 +349,19 @@ def test_decontamination_equals_brute_force(spark, documents, benchmark_items):
     assert pairs(decontaminate.digest(sliced), *columns) == sorted((known[r.doc_id] for r in unique.collect()), key=str)
 
 
+def test_slices_agree_on_null_and_repeated_ids(spark):
+    """Several slices give each row what one slice gives, whatever its id."""
+    first, second = " ".join(WORDS[:14]), " ".join(reversed(WORDS[:16]))
+    items = spark.createDataFrame([(1, first), (2, second)], "item_id int, text string")
+    rows = [(None, f"x {first} y"), (None, "clean"), (None, second), (7, f"{first} {second}"), (7, "clean"), (7, second), (7, second), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    one, many = (decontaminate.scan(docs, items, slice_windows=n) for n in (1000, 2))
+    key = lambda df: sorted(map(str, df.select(*one.columns).collect()))
+    assert key(many) == key(one) and sum(r.n_hit > 0 for r in many.collect()) == 5
+    named = decontaminate.scan(docs.withColumns({"items": F.lit("x"), "spans": F.lit(0)}), items, slice_windows=2)
+    assert key(named) == key(one)
+
+
 def test_decontamination_removes_spans_or_documents(spark):
     test = " ".join(WORDS[:15])
     docs = spark.createDataFrame([(1, f"Ünd, {test.upper()}! end"), (2, "fine"), (3, None), (4, f"{test} " + "word " * 400)], "doc_id int, text string")
