@@ -3,17 +3,22 @@
 Texts are read as UTF-8 bytes straight from Arrow's buffers. A word is a run of bytes that a table
 maps to non-zero weights; equal weights make bytes equal (as upper and lower case). Words and
 windows are known by 64-bit hashes: within one document, or among the windows of a test set, two
-unequal ones share a hash with a chance of about n * n / 2**65.
+unequal ones share a hash with a chance of about n * n / 2**65. A byte enters the sum that is a
+word's hash scattered together with its place, so that no rearrangement of bytes keeps the sum;
+words of over ``LONG`` bytes, among which such arrangements could be sought, have a BLAKE2 digest.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-SPAN = 1 << 16
+# Words of more bytes are hashed one by one by a cryptographic function.
+LONG = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,13 +40,13 @@ def weights(is_word, fold_case: bool) -> np.ndarray:
     return table
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
 
-
-FINE, COARSE = _powers(0x9FB21C651E98DF25, SPAN), _powers(0xD6E8FEB86659FD93, SPAN)
+@functools.lru_cache(maxsize=8)
+def _scattered(table: bytes) -> np.ndarray:
+    """What every byte value adds at every place of a word, place by place."""
+    place = np.arange(1, LONG + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25)
+    value = np.frombuffer(table, np.uint64)
+    return np.where(value != 0, mix(value[None, :] ^ place[:, None]), np.uint64(0)).ravel()
 
 
 @dataclass
@@ -94,8 +99,7 @@ def per_text(flags: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 def words_of(column: pa.Array, table: np.ndarray) -> Words:
     data, edges = text_bytes(column)
-    value = table[data]
-    inside = value != 0
+    inside = (table != 0)[data]
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
     border = edges[:-1][edges[:-1] < len(data)]
@@ -106,12 +110,19 @@ def words_of(column: pa.Array, table: np.ndarray) -> Words:
         return Words(empty.astype(np.uint64), empty, np.zeros(len(edges), np.int64), inside, data, edges)
     at = np.arange(len(data), dtype=np.int32)
     at -= np.maximum.accumulate(np.where(begin, at, 0))
-    at[~inside] = 0
-    if at.max() < SPAN:
-        value *= FINE[at]
-    else:
-        value *= FINE[at % SPAN] * COARSE[(at // SPAN) % SPAN]
-    return Words(mix(np.add.reduceat(value, start)), start, np.searchsorted(start, edges), inside, data, edges)
+    at &= LONG - 1
+    long = inside & (at == LONG - 1)
+    at <<= 8
+    at += data
+    sums = np.add.reduceat(_scattered(table.tobytes())[at], start)
+    found = Words(mix(sums), start, np.searchsorted(start, edges), inside, data, edges)
+    if long.any():
+        ends = found.ends()
+        equal = np.array([int(np.flatnonzero(table == w)[0]) for w in table], np.uint8)
+        for i in np.flatnonzero(ends - start > LONG).tolist():
+            digest = hashlib.blake2b(equal[data[start[i]:ends[i]]].tobytes(), digest_size=8).digest()
+            found.hash[i] = int.from_bytes(digest, "little")
+    return found
 
 
 def windows(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

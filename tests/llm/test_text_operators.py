@@ -80,6 +80,32 @@ def test_words_of_slices_and_long_words():
     assert (words.ends() - words.start).tolist() == [2, 200_000, 2]
 
 
+def twins(n):
+    """A text of two letters and its complement, whose polynomial hashes are equal from 1,024 letters on."""
+    first = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return first, first.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [64, 65, 1024, 4096])
+def test_rearranged_letters_are_other_words(spark, tmp_path, n):
+    texts = [*twins(n), twins(n)[0].upper()]
+    column = pa.array(texts)
+    one, other, upper = textscan.words_of(column, minhash.WORD).hash
+    assert one == upper != other
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    assert [r.component_id for r in minhash.near_duplicates(df).orderBy("doc_id").collect()] == [0, 1, 0]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(bpe.VOCABULARY))
+    ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [r.ids_sha256 for r in bpe.round_trip(df).orderBy("doc_id").collect()] == [
+        hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in ids]
+    tokenfile.write_tokens(df, str(tmp_path / "store"))
+    assert [r.ids[:-1] for r in tokenfile.read_tokens(spark, str(tmp_path / "store")).orderBy("doc_id").collect()] == ids
+    pieces = SentencePieceProcessor(model_file=public_tokenizers.path(tokencount.VOCABULARY))
+    assert [r.n_tokens for r in tokencount.count_tokens(df).orderBy("doc_id").collect()] == [len(x) for x in pieces.encode(texts)]
+    lines_of = pa.array(["\n".join(texts[:2]), "\n".join(texts[:1] * 2)])
+    assert quality.base_counts(lines_of)["n_dup_lines"].tolist() == [0, 1]
+
+
 # --- 1
 
 
