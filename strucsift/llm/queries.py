@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strucsift.llm import bpe, chat, decontaminate, language, lines, minhash, quality, tokencount, tokenfile, toxicity
+from strucsift.llm import bpe, chat, decontaminate, language, lines, minhash, quality, tokencount, tokenfile, toxicity, whitening
 from strucsift.session import scratch_path
 
 
@@ -67,11 +67,16 @@ def op10_quality(spark: SparkSession, directory: str) -> DataFrame:
     return quality.quality_rules(_table(spark, directory, "documents"), trusted)
 
 
+def op11_embedding_whitening(spark: SparkSession, directory: str) -> DataFrame:
+    return whitening.whiten(_table(spark, directory, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates, "op2_token_files": op2_token_files, "op3_token_counts": op3_token_counts,
     "op4_chat_perspectives": op4_chat_perspectives, "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate, "op8_bpe": op8_bpe, "op9_language": op9_language, "op10_quality": op10_quality,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 ORACLES: dict[str, str] = {"op4_chat_perspectives": chat.ORACLE, "op5_line_dedup": lines.oracle()}
