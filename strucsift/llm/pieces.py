@@ -70,9 +70,9 @@ class Memory:
         return self.values[np.repeat(self.first[slots] - before, sizes) + np.arange(int(sizes.sum()))]
 
 
-def tokenize(column: pa.Array, memory: Memory,
-             encode: Callable[[list[str]], Sequence[Sequence[int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all texts of ``column``, and the border of every text among them."""
+def tokenized_chunks(column: pa.Array, memory: Memory, encode: Callable[[list[str]], Sequence[Sequence[int]]],
+                     ) -> tuple[Words, np.ndarray, np.ndarray]:
+    """The chunks of all texts of ``column``, the bytes after them, and their slots in ``memory``."""
     words: Words = words_of(column, CHUNK)
     ends, data = words.ends(), words.data.tobytes()
 
@@ -80,6 +80,12 @@ def tokenize(column: pa.Array, memory: Memory,
         spans = zip(words.start[places].tolist(), ends[places].tolist(), strict=True)
         return encode([data[a:b].decode("utf-8", "surrogatepass") for a, b in spans])
 
-    slots = memory.lookup(words.hash, compute)
+    return words, ends, memory.lookup(words.hash, compute)
+
+
+def tokenize(column: pa.Array, memory: Memory,
+             encode: Callable[[list[str]], Sequence[Sequence[int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all texts of ``column``, and the border of every text among them."""
+    words, _, slots = tokenized_chunks(column, memory, encode)
     total = np.concatenate([[0], np.cumsum(memory.sizes(slots))])
     return memory.gather(slots), total[words.first]

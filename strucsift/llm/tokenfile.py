@@ -54,7 +54,7 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path), Memory()
 
 
-def _encoder(path: str) -> tuple[Callable, Memory]:
+def encoder(path: str) -> tuple[Callable, Memory]:
     tokenizer, memory = _tokenizer(path)
     return lambda chunks: [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)], memory
 
@@ -64,7 +64,7 @@ def _place(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else os.path.abspath(folder))
 
 
-def _with_end(ids: np.ndarray, border: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def with_end(ids: np.ndarray, border: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Every text's ids with the end id appended, and the new borders."""
     n = len(border) - 1
     out = np.full(len(ids) + n, end_id, np.uint32)
@@ -86,7 +86,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end_id:
     ranged = source.repartitionByRange(max(1, -(-total // part_bytes)), *order[:2]).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, memory = _encoder(path)
+        encode, memory = encoder(path)
         system, root = _place(folder)
         part, name = TaskContext.get().partitionId(), uuid.uuid4().hex
         first = next(batches, None)
@@ -97,7 +97,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end_id:
         files[1].write(np.zeros(1, "<u8").tobytes())
         for whole in itertools.chain([first], batches):
             for batch in steps(whole):
-                ids, border = _with_end(*tokenize(batch.column("text"), memory, encode), end_id)
+                ids, border = with_end(*tokenize(batch.column("text"), memory, encode), end_id)
                 files[0].write(ids.astype(f"<u{width}").tobytes())
                 files[1].write((border[1:] + n_ids).astype("<u8").tobytes())
                 files[2].write(batch.column("doc_id").fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
