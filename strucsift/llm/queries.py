@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strucsift.llm import bpe, chat, decontaminate, language, lines, minhash, packing, quality, tokencount, tokenfile, toxicity, whitening
+from strucsift.llm import bpe, chat, decontaminate, language, lines, minhash, packing, phrases, quality, tokencount, tokenfile, toxicity, whitening
 from strucsift.session import scratch_path
 
 
@@ -76,12 +76,17 @@ def op12_packing(spark: SparkSession, directory: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op13_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    return phrases.collocations(_table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates, "op2_token_files": op2_token_files, "op3_token_counts": op3_token_counts,
     "op4_chat_perspectives": op4_chat_perspectives, "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate, "op8_bpe": op8_bpe, "op9_language": op9_language, "op10_quality": op10_quality,
     "op11_embedding_whitening": op11_embedding_whitening, "op12_packing": op12_packing,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {"op4_chat_perspectives": chat.ORACLE, "op5_line_dedup": lines.oracle()}

@@ -118,9 +118,10 @@ def words_of(column: pa.Array, table: np.ndarray) -> Words:
     found = Words(mix(sums), start, np.searchsorted(start, edges), inside, data, edges)
     if long.any():
         ends = found.ends()
+        key = table[table != 0][:8].tobytes()
         equal = np.array([int(np.flatnonzero(table == w)[0]) for w in table], np.uint8)
         for i in np.flatnonzero(ends - start > LONG).tolist():
-            digest = hashlib.blake2b(equal[data[start[i]:ends[i]]].tobytes(), digest_size=8).digest()
+            digest = hashlib.blake2b(equal[data[start[i]:ends[i]]].tobytes(), digest_size=8, key=key).digest()
             found.hash[i] = int.from_bytes(digest, "little")
     return found
 
