@@ -566,6 +566,51 @@ FROM ({KEYED}) k LEFT JOIN V_query_db q ON k.sid = q.sid
 LEFT JOIN ({_COMPOSITION}) c ON k.sid = c.sid LEFT JOIN ({ORACLES['dipole_moment']}) d ON k.sid = d.sid
 LEFT JOIN ({ORACLES['structure_valid']}) v ON k.sid = v.sid LEFT JOIN ({_WATER}) w ON k.sid = w.sid"""
 ORACLES["process_landed"] = ORACLES["process_end_to_end"] + " WHERE q.sid IS NOT NULL"
+
+
+def _ingested(file: str, key: str, columns: str) -> str:
+    """Structures with atoms numbered in ``file``, their key, and what is derived of them."""
+    return f"""
+WITH placed AS (
+  SELECT s.*, cast(row_number() OVER (PARTITION BY {file} ORDER BY s.sid) - 1 AS bigint) AS place
+  FROM V_structures s WHERE s.sid IN (SELECT sid FROM V_query_db))
+SELECT concat({key}, '_', cast(k.place AS varchar)) AS entry_key, {columns}
+FROM placed k JOIN V_query_db q ON k.sid = q.sid JOIN ({_COMPOSITION}) c ON k.sid = c.sid
+JOIN ({ORACLES['dipole_moment']}) d ON k.sid = d.sid JOIN ({ORACLES['structure_valid']}) v ON k.sid = v.sid
+JOIN ({_WATER}) w ON k.sid = w.sid JOIN ({ORACLES['parity_spin']}) p ON k.sid = p.sid
+JOIN ({ORACLES['tag_slice']}) t ON k.sid = t.sid"""
+
+
+_DERIVED = f"""{r('k.info_energy')} AS energy, q.num_atoms, q.atomic_symbols,
+       {r('q.net_force_norm')} AS net_force_norm, {r('q.max_force_norm')} AS max_force_norm, d.dipole_moment_magnitude,
+       {r('q.molecular_weight')} AS molecular_weight, v.is_molecular_structure_valid, w.num_water_molecules"""
+ORACLES["process_xyz"] = _ingested("s.source_file_name", "'fixture-db_full_' || replace(k.source_file_name, '_', '$')", f"""
+       'fixture-db' AS database_name, 'full' AS split_name, 'PBE' AS functional, coalesce(k.subset, 'none') AS subset,
+       k.info_charge AS net_charge, cast(1 AS double) AS spin_multiplicity, c.composition, 'extxyz' AS file_extension, {_DERIVED}""")
+ORACLES["process_omat"] = _ingested("s.source_file_name", "'omat24-rattled-1000_train_' || replace(k.source_file_name, '_', '$')", f"""
+       'omat24' AS database_name, 'train' AS split_name, 'PBE' AS functional, 'rattled-1000' AS subset, cast(0 AS bigint) AS net_charge,
+       cast(NULL AS double) AS spin_multiplicity, 'X' AS composition, 'parquet' AS file_extension, {_DERIVED}""")
+ORACLES["process_oc_xz"] = _ingested("s.sid // 4096", "'oc20-fixture_s2ef_shard-' || cast(k.sid // 4096 AS varchar)", """
+       'oc20-fixture' AS database_name, 's2ef' AS split_name, 'RPBE' AS functional, cast(0 AS bigint) AS net_charge,
+       cast(p.spin_multiplicity AS double) AS spin_multiplicity, q.num_atoms, c.composition, cast(k.info_charge AS varchar) AS catalyst_bulk_id,
+       CASE q.num_atoms % 5 WHEN 0 THEN 'intermetallics' WHEN 1 THEN 'metalloids' WHEN 2 THEN 'non-metals' WHEN 3 THEN 'halides' END
+         AS catalyst_class,
+       CASE q.num_atoms % 6 WHEN 0 THEN 'no_anomaly' WHEN 1 THEN 'adsorbate_dissociation' WHEN 2 THEN 'adsorbate_desorption'
+         WHEN 3 THEN 'surface_reconstruction' WHEN 4 THEN 'uninteracting_hydrogen' END AS catalyst_anomaly,
+       k.sid % 300 AS catalyst_relaxation_frame_idx, t.n_adsorbate AS catalyst_num_adsorbate_atoms,
+       t.n_slab AS catalyst_num_bulk_atoms, 'extxyz.xz' AS file_extension""")
+ORACLES["motifs_of_text"] = """
+WITH places AS (SELECT doc_id AS id, text, unnest(range(0, len(text))) AS s FROM documents WHERE text <> ''),
+patterns AS (SELECT * FROM (VALUES ('ala', 'thed'), ('ala', 'the'), ('gly', 'ana'), ('gly', 'anan'), ('ser', 'on'), ('ade', 'ti'),
+  ('ade', 'tion'), ('cyt', 'de la')) AS t(code, pattern)),
+letters AS (SELECT id, s, substr(text, s + 1, 5) AS ahead FROM places),
+found AS (SELECT l.id, p.code, l.s, l.s + len(p.pattern) - 1 AS e FROM letters l JOIN patterns p ON starts_with(l.ahead, p.pattern)),
+kept AS (SELECT * FROM found m WHERE NOT EXISTS (
+  SELECT 1 FROM found o WHERE o.id = m.id AND o.code = m.code AND m.s >= o.s AND m.e <= o.e AND (m.s > o.s OR m.e < o.e)))
+SELECT id, count(*) FILTER (code = 'ala') AS num_ala, count(*) FILTER (code = 'gly') AS num_gly, count(*) FILTER (code = 'ser') AS num_ser,
+       count(*) FILTER (code IN ('ala', 'gly', 'ser')) > 3 AS is_protein, count(*) FILTER (code = 'ade') AS num_ade,
+       count(*) FILTER (code = 'cyt') AS num_cyt, count(*) FILTER (code IN ('ade', 'cyt')) > 2 AS is_nucleobase
+FROM kept GROUP BY id"""
 ORACLES["scalars_rowwise"] = f"""
 SELECT q.sid, q.num_atoms, q.atomic_symbols, c.composition, p.spin_multiplicity AS parity_spin,
        {r('q.net_force_norm')} AS net_force_norm, {r('q.max_force_norm')} AS max_force_norm, d.dipole_moment_magnitude,
@@ -593,6 +638,11 @@ ORACLES["export_end_to_end"] = f"""
 SELECT q.entry_key, p.part, q.num_atoms AS n_elements, {r('q.energy')} AS energy, cast(q.net_charge AS varchar) AS charge,
        q.num_atoms, {r('q.net_force_norm')} AS net_force_norm
 FROM ({SELECTED}) q JOIN ({_parts(4)}) p ON q.entry_key = p.entry_key"""
+ORACLES["export_omol"] = f"""
+SELECT x.entry_key, x.part, k.info_charge AS charge, cast(2 AS double) AS spin_multiplicity, q.num_atoms AS n_atoms, k.subset,
+       m.mulliken, m.mulliken AS lowdin, q.num_atoms AS extra_atoms
+FROM ({ORACLES['export_end_to_end']}) x JOIN ({KEYED}) k ON x.entry_key = k.entry_key JOIN V_query_db q ON q.sid = k.sid
+JOIN (SELECT sid, {r('sum(charge)')} AS mulliken FROM V_atoms GROUP BY sid) m ON m.sid = k.sid"""
 ORACLES["ingest_incremental"] = f"SELECT entry_key, subset, {r('info_energy')} AS energy FROM ({KEYED})"
 
 

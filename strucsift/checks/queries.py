@@ -16,7 +16,8 @@ from strucsift.functions import keys, parsers, predicates, vectors
 from strucsift.operators import (
     atoms as atom_ops, catalyst, curation, fields, fingerprints, geometry, motifs, rowwise, sampling, stats,
 )
-from strucsift.plans import actions, export, formats, process, select
+from strucsift.operators.info import as_variant
+from strucsift.plans import actions, export, formats, ingest, process, select
 from strucsift.session import scratch_path, ship_package
 from strucsift.sources import extxyz, landing, querydb, sidecar, store
 from strucsift.streaming import incremental
@@ -28,6 +29,8 @@ QUERIES: dict[str, Query] = {}
 LIGHT_HYDROXYL = "max_force_norm < 4 AND atomic_symbols ~ '^[HO]+$'"
 SELECTED = "energy < -1000 AND num_atoms >= 3"
 DIGITS = 6
+# Codes and letters that stand for motifs in texts; some lie inside others of their code, or overlap themselves.
+MOTIF_PATTERNS = [("ala", "thed"), ("ala", "the"), ("gly", "ana"), ("gly", "anan"), ("ser", "on"), ("ade", "ti"), ("ade", "tion"), ("cyt", "de la")]
 SIDECAR_SHARD = 1000
 FILE_SHARD = 4096
 
@@ -825,6 +828,77 @@ def process_landed(fx):
         "is_molecular_structure_valid", "num_water_molecules", "graph_properties_candidate")
 
 
+def _with_info(fx: Fixtures, **fields) -> DataFrame:
+    """Landed structures with more metadata."""
+    pairs = [x for name, value in fields.items() for x in (F.lit(name), value.cast("string"))]
+    return fx.landing.withColumn("info", F.map_concat("info", F.create_map(*pairs)))
+
+
+def _one_file_each(df: DataFrame) -> DataFrame:
+    """Structures of a source file together and in order, as one writer leaves them."""
+    return df.repartition("source_file_name").sortWithinPartitions("source_file_name", "sid")
+
+
+# Source files are the folders that the fixture's files are written to.
+FOLDER = r"source_file_name=([^/]+)/"
+INGESTED = ["entry_key", "database_name", "split_name", "functional", "subset", "net_charge", "spin_multiplicity", "energy", "num_atoms",
+            "composition", "atomic_symbols", "net_force_norm", "max_force_norm", "dipole_moment_magnitude", "molecular_weight",
+            "is_molecular_structure_valid", "num_water_molecules"]
+
+
+def _committed(fx: Fixtures, table: str) -> DataFrame:
+    """The table's rows with the file extension that its registry has."""
+    registry = store.read_registry(fx.spark, table)
+    return store.committed(fx.spark, table, schema.QUERY_SCHEMA).withColumn(
+        "file_extension", registry.select("file_extension").scalar())
+
+
+@query
+def process_xyz(fx):
+    path, table = scratch_path(fx.spark, "xyz"), scratch_path(fx.spark, "table")
+    source = _with_info(fx, config_type=F.coalesce(F.col("info")["data_id"], F.lit("none")), total_charge=F.col("info")["charge"],
+                        num_atoms=F.size("numbers"), spin=F.lit(1))
+    text = extxyz.extxyz_text(_one_file_each(source), F.col("source_file_name"))
+    text.select("source_file_name", F.col("value")).write.partitionBy("source_file_name").option("compression", "none").format("text").save(path)
+    ingest.process_files(fx.spark, path, "xyz", table, "Fixture_DB", "Full", glob="*.txt", name=F.regexp_extract("path", FOLDER, 1),
+                         metadata={"functional": "PBE"})
+    return _committed(fx, table).select(*INGESTED, "file_extension")
+
+
+@query
+def process_oc_xz(fx):
+    table = scratch_path(fx.spark, "table")
+    ship_package(fx.spark)
+    source = _with_info(fx, bulk_id=F.col("info")["charge"], anomaly=F.size("numbers") % 6, num_atoms=F.size("numbers"),
+                        **{"class": F.size("numbers") % 5})
+    shard = F.floor(F.col("sid") / FILE_SHARD).alias("shard")
+    files = extxyz.extxyz_text(source, shard, F.col("sid")).groupBy("shard").applyInPandas(
+        lambda group: _compress(group.sort_values("sid")), "path string, content binary")
+    rows = ingest.derive_frames(extxyz.frames_of_compressed(files), "xyz_oc", "oc20_fixture", "s2ef", metadata={"functional": "RPBE"})
+    store.commit(rows, table, ingest.source_entry(fx.spark, "shards", "extxyz.xz", "oc20_fixture", "s2ef"))
+    return _committed(fx, table).select(
+        "entry_key", "database_name", "split_name", "functional", "net_charge", "spin_multiplicity", "num_atoms", "composition",
+        "catalyst_bulk_id", "catalyst_class", "catalyst_anomaly", "catalyst_relaxation_frame_idx", "catalyst_num_adsorbate_atoms",
+        "catalyst_num_bulk_atoms", "file_extension")
+
+
+@query
+def process_omat(fx):
+    path, table = scratch_path(fx.spark, "landed"), scratch_path(fx.spark, "table")
+    source = _with_info(fx, task_type=F.lit("relax"), composition_reduced=F.lit("X"))
+    _one_file_each(source).drop("database_name", "split_name", "frame_idx", "entry_key").write.partitionBy("source_file_name").parquet(path)
+    ingest.process_files(fx.spark, path, "aselmdb_omat", table, "omat24_rattled_1000", "Train",
+                         name=F.regexp_extract("path", FOLDER, 1), metadata={"functional": "PBE"})
+    return _committed(fx, table).select(*INGESTED, "file_extension")
+
+
+@query
+def motifs_of_text(fx):
+    found = motifs.find_motifs(fx.table("documents").select(F.col("doc_id").alias("id"), "text"), MOTIF_PATTERNS)
+    return motifs.motif_columns(found).select(
+        "id", "num_ala", "num_gly", "num_ser", "is_protein", "num_ade", "num_cyt", "is_nucleobase")
+
+
 @query
 def process_catalyst(fx):
     slabs = fx.keyed_structures.filter(F.col("raw_database_name") == "oc20_s2ef").select(
@@ -832,7 +906,8 @@ def process_catalyst(fx):
         F.col("custkey").alias("bulk_id"), F.col("class_code").alias("class"), F.col("anomaly_code").alias("anomaly"),
         "frame_number")
     transforms = formats.transforms_for("aselmdb_oc", fx.plain_atoms, fx.cells)
-    rows = process.process(slabs, fx.plain_atoms, {"functional": "RPBE"}, transforms)
+    # Slabs without atoms are kept by the library; the oracle has those with atoms.
+    rows = process.process(slabs, fx.plain_atoms, {"functional": "RPBE"}, transforms).filter("num_atoms > 0")
     return rows.select(
         "entry_key", "database_name", "subset", "functional", "net_charge", "spin_multiplicity", "composition",
         "catalyst_bulk_id", "catalyst_class", "catalyst_anomaly", "catalyst_relaxation_frame_idx",
@@ -857,6 +932,21 @@ def export_end_to_end(fx):
         "extras.num_atoms", "extras.net_force_norm")
 
 
+@query
+def export_omol(fx):
+    source = _with_info(fx, spin=F.lit("2"), num_atoms=F.size("numbers"), mulliken_charges=F.to_json("charges"))
+    # Lists as extended XYZ writes them, without commas.
+    source = source.withColumn("info", F.map_concat("info", F.create_map(F.lit("lowdin_charges"), F.array_join(
+        F.transform("charges", lambda c: c.cast("string")), " "))))
+    registry = querydb.source_registry(fx.structures.select("database_name", "split_name", F.lit("/landing").alias("files_path")))
+    records = export.export_format(
+        selected_keys(fx), source.withColumn("info", as_variant(F.col("info"))), "aselmdb_omol", registry, fx.query_table, ["num_atoms"], 4)
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    return records.select(
+        "entry_key", "part", "charge", "spin_multiplicity", F.col("num_atoms").alias("n_atoms"), F.nullif("subset", F.lit("none")).alias("subset"),
+        total("mulliken_charges").alias("mulliken"), total("lowdin_charges").alias("lowdin"), F.col("extras.num_atoms").alias("extra_atoms"))
+
+
 @query
 def ingest_incremental(fx):
     spark = fx.spark

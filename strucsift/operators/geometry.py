@@ -201,10 +201,15 @@ def _contacts(atoms: DataFrame) -> DataFrame:
     return settled.unionByName(met).unionByName(unknown)
 
 
-def _boxed(cells: DataFrame) -> DataFrame:
-    """The cells that have images: all nine entries are other than zero, and some axis is periodic."""
+def has_images(pbc: bool = True) -> Column:
+    """Whether the cell has images: all nine entries are other than zero, and some axis is periodic."""
     full = F.forall(F.flatten("cell"), lambda x: x != 0) & (F.size(F.flatten("cell")) == 9)
-    return cells.filter(full & F.exists("pbc", lambda p: p) if "pbc" in cells.columns else full)
+    return full & F.exists("pbc", lambda p: p) if pbc else full
+
+
+def _boxed(cells: DataFrame) -> DataFrame:
+    """The cells that have images."""
+    return cells.filter(has_images("pbc" in cells.columns))
 
 
 def structure_valid_periodic(atoms: DataFrame, cells: DataFrame, min_fragment: int = MIN_FRAGMENT) -> DataFrame:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strucsift.schema import AMINO_ACID_CODES, NUCLEOBASE_CODES
+
 # A structure counts as a protein / nucleobase when it has more matches than this.
 PROTEIN_THRESHOLD = 3
 NUCLEOBASE_THRESHOLD = 2
@@ -42,3 +48,41 @@ def motif_counts(matches: DataFrame, codes: list[str], threshold: int, flag: str
     ])
     total = sum((F.col(f"num_{c.lower()}") for c in codes), F.lit(0))
     return counts.withColumn(flag, total > threshold)
+
+
+def match_members(matches: DataFrame) -> DataFrame:
+    """Matches ``(id, code, s, e)``, inclusive, as ``(id, code, members)`` for ``maximal_matches``."""
+    return matches.select("id", "code", F.sequence("s", "e").alias("members"))
+
+
+def motif_columns(matches: DataFrame) -> DataFrame:
+    """The motif columns of the query table from matches ``(id, code, s, e)``: counts of residues and bases, and
+    whether there are enough for a protein or for nucleobases. Codes of neither list are ignored."""
+    members = match_members(matches)
+    proteins = motif_counts(members, AMINO_ACID_CODES, PROTEIN_THRESHOLD, "is_protein")
+    bases = motif_counts(members, NUCLEOBASE_CODES, NUCLEOBASE_THRESHOLD, "is_nucleobase")
+    return proteins.join(bases, "id")
+
+
+def find_motifs(texts: DataFrame, patterns: Sequence[tuple[str, str]]) -> DataFrame:
+    """Matches ``(id, code, pattern, s, e)`` of a dictionary of (code, regular expression) in ``texts`` (id, text).
+
+    Matches of one pattern may overlap: one is sought from every place. Places are characters from 0,
+    ``e`` the last one. Empty matches do not count; a null text has none.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = [(code, pattern, re.compile(f"(?=({pattern}))")) for code, pattern in patterns]
+        for batch in batches:
+            # Matches are handed on text by text, so that only one text's are held.
+            for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                found = [(code, pattern, m.start(1), m.end(1) - 1) for code, pattern, finder in every
+                         for m in finder.finditer(text or "") if m.end(1) > m.start(1)]
+                if found:
+                    code, pattern, s, e = zip(*found, strict=True)
+                    yield pa.RecordBatch.from_pydict({
+                        "id": pa.array([key] * len(found), batch.schema.field("id").type), "code": code, "pattern": pattern,
+                        "s": pa.array(s, pa.int64()), "e": pa.array(e, pa.int64())})
+
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.select("id", F.col("text").cast("string").alias("text")).mapInArrow(
+        run, f"id {kind}, code string, pattern string, s bigint, e bigint")

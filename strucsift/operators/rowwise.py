@@ -2,8 +2,9 @@
 
 A landed row holds all atoms of its structure as arrays, so that every measure is an expression over
 them: nothing is exploded, grouped or exchanged. Pair searches compare all atoms of a row with each
-other; structures of more than ``ROW_ATOMS`` atoms take the long form, which places atoms in cells.
-Both forms give the same values. A structure whose ``numbers`` are null or empty has no atoms: it is
+other; structures of more than ``ROW_ATOMS`` atoms, and those with periodic images, take the long form,
+which places atoms in cells. They are written to the shared folder first: when there are none, no plan
+of the long form is made and nothing is exchanged. Both forms give the same values. A structure whose ``numbers`` are null or empty has no atoms: it is
 kept, as invalid with 0 atoms and waters, and its other measures are null.
 """
 
@@ -16,6 +17,7 @@ from strucsift.functions import elements
 from strucsift.functions.vectors import norm
 from strucsift.operators import geometry
 from strucsift.operators.atoms import DEBYE, FORMULA_ELEMENTS_FIRST, explode_structures
+from strucsift.session import cut_lineage
 
 # Atoms up to which pairs are searched in the row.
 ROW_ATOMS = 256
@@ -69,18 +71,22 @@ def atomic_symbols() -> Column:
 
 def composition() -> Column:
     """Formula in Hill order: carbon then hydrogen when there is carbon, the rest alphabetical."""
-    symbols, first = _symbols(), F.array(*[F.lit(s) for s in FORMULA_ELEMENTS_FIRST])
+    first = F.array(*[F.lit(s) for s in FORMULA_ELEMENTS_FIRST])
 
-    def entry(symbol: Column) -> Column:
-        rank = F.array_position(first, symbol)
-        leads = F.array_contains(symbols, "C") & (rank > 0)
-        count = F.size(F.filter(symbols, lambda s: s == symbol))
-        return F.struct(
-            F.when(leads, rank).otherwise(F.lit(len(FORMULA_ELEMENTS_FIRST) + 1)).alias("rank"), symbol.alias("symbol"),
-            F.when(count > 1, count.cast("string")).otherwise(F.lit("")).alias("count"))
+    def formula(symbols: Column) -> Column:
+        def entry(symbol: Column) -> Column:
+            rank = F.array_position(first, symbol)
+            leads = F.array_contains(symbols, "C") & (rank > 0)
+            count = F.size(F.filter(symbols, lambda s: s == symbol))
+            return F.struct(
+                F.when(leads, rank).otherwise(F.lit(len(FORMULA_ELEMENTS_FIRST) + 1)).alias("rank"), symbol.alias("symbol"),
+                F.when(count > 1, count.cast("string")).otherwise(F.lit("")).alias("count"))
 
-    entries = F.array_sort(F.transform(F.array_distinct(symbols), entry))
-    return F.array_join(F.transform(entries, lambda e: F.concat(e["symbol"], e["count"])), "")
+        entries = F.array_sort(F.transform(F.array_distinct(symbols), entry))
+        return F.array_join(F.transform(entries, lambda e: F.concat(e["symbol"], e["count"])), "")
+
+    # The symbols are looked up once, as the only element of an outer array.
+    return F.get(F.transform(F.array(_symbols()), formula), F.lit(0))
 
 
 def parity_spin() -> Column:
@@ -138,19 +144,28 @@ def with_validity_and_water(landed: DataFrame, row_atoms: int = ROW_ATOMS, min_f
                             names: tuple[str, str] = ("is_molecular_structure_valid", "num_water_molecules")) -> DataFrame:
     """``landed`` (unique ``sid``) with both measures, for fragments of at most two atoms.
 
-    Rows of more than ``row_atoms`` atoms are exploded and take the long form.
+    Rows of more than ``row_atoms`` atoms, or with a periodic cell of the long form, are exploded.
     """
     if min_fragment > 2:
         raise ValueError("larger fragments need the component search of the long form")
     valid, water = names
     found = lambda measure, none: F.coalesce(F.when(num_atoms() > 0, measure), F.lit(none))
-    small = landed.filter(num_atoms() <= row_atoms).withColumn("__atoms", _atoms()).withColumns({
+    long = num_atoms() > row_atoms
+    if {"cell", "pbc"} <= set(landed.columns):
+        long |= F.coalesce(geometry.has_images(), F.lit(False))
+    small = landed.filter(~long).withColumn("__atoms", _atoms()).withColumns({
         valid: found(_valid(F.col("__atoms"), min_fragment), False),
         water: found(_waters(F.col("__atoms")).cast("bigint"), 0).cast("bigint")}).drop("__atoms")
-    large = landed.filter(num_atoms() > row_atoms)
+    large = cut_lineage(landed.filter(long), "large")
+    if large.isEmpty():
+        return small
     atoms = explode_structures(large, "sid")
-    measured = geometry.structure_valid(atoms, min_fragment).join(geometry.water_count(atoms), "sid").withColumnsRenamed(
-        {"is_molecular_structure_valid": valid, "num_water_molecules": water})
+    if {"cell", "pbc"} <= set(landed.columns):
+        cells = large.select("sid", "cell", "pbc")
+        measured = geometry.structure_valid_periodic(atoms, cells, min_fragment).join(geometry.water_count_periodic(atoms, cells), "sid")
+    else:
+        measured = geometry.structure_valid(atoms, min_fragment).join(geometry.water_count(atoms), "sid")
+    measured = measured.withColumnsRenamed({"is_molecular_structure_valid": valid, "num_water_molecules": water})
     return small.unionByName(large.join(measured, "sid"))
 
 

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from strucsift.functions.keys import file_group, parse_key
 from strucsift.functions.vectors import voigt_to_full
+from strucsift.operators.fields import EXPORT_MAPS
+from strucsift.operators.info import typed_field
 from strucsift.operators.ranking import rank_within
 from strucsift.plans.select import fetch
+from strucsift.session import cut_lineage
 
 LOCATION = ["database_name", "split_name", "source_file_name", "frame_idx"]
 SOURCE = ["database_name", "split_name"]
@@ -85,13 +88,15 @@ def stress_tensor(stress: Column) -> Column:
     return F.when(F.size(stress) == 6, voigt_to_full(stress)).when(F.size(stress) == 9, rows)
 
 
-def training_records(records: DataFrame, field_map: Mapping[str, str]) -> DataFrame:
-    """Structure rows as training records. A structure without forces fails the job."""
+def training_records(records: DataFrame, field_map: Mapping[str, str], typed: bool = False) -> DataFrame:
+    """Structure rows as training records. A structure without forces fails the job.
+
+    Mapped fields are texts, or with ``typed`` have the types of their format: integers, numbers and
+    lists (``operators.info``). One that a structure lacks is null, as nothing is stored for it.
+    """
     problem = F.raise_error(F.concat(F.lit("no forces for "), F.col("entry_key")))
-    mapped = [
-        F.col("info")[source].alias(target)
-        for source, target in field_map.items() if source != "stress"
-    ]
+    value = (lambda source: typed_field(records, source)) if typed else (lambda source: F.col("info")[source])
+    mapped = [value(source).alias(target) for source, target in field_map.items() if source != "stress"]
     return records.select(
         "entry_key",
         F.col("numbers").alias("elements"), "positions",
@@ -161,3 +166,17 @@ def export(keys: DataFrame, structures: DataFrame, table: DataFrame | None = Non
         records = attach_extras(records, table, extras, keys)
     parts = plan_parts(keys, n_parts).select("entry_key", "part")
     return training_records(records, field_map or {}).join(parts, "entry_key")
+
+
+def export_format(keys: DataFrame, structures: DataFrame, fmt: str, registry: DataFrame, table: DataFrame | None = None,
+                  extras: Sequence[str] = (), n_parts: int = 1) -> DataFrame:
+    """Training records of one format: its field map, typed, for keys whose sources are all registered.
+
+    The keys are made once and written, since lookup, extras and parts all start from them.
+    """
+    keys = cut_lineage(keys.select("entry_key").filter(F.col("entry_key").isNotNull()).distinct(), "keys")
+    records = lookup_records(keys, structures, registry)
+    if table is not None and extras:
+        records = attach_extras(records, table, extras, keys)
+    parts = plan_parts(keys, n_parts).select("entry_key", "part")
+    return training_records(records, EXPORT_MAPS[fmt], typed=True).join(parts, "entry_key")

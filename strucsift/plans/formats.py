@@ -45,7 +45,9 @@ def slab_fields(atoms: DataFrame, cells: DataFrame) -> Transform:
             F.count_if(F.col("tag") == catalyst.ADSORBATE).alias("catalyst_num_adsorbate_atoms"),
             F.count_if(F.col("tag").isin(catalyst.SLAB_TAGS)).alias("catalyst_num_bulk_atoms"),
             atom_ops.parity_spin().alias("__parity"))
-        out = df.select("*", *catalyst.catalyst_fields(info)).join(counts, "sid")
+        # A slab without atoms stays, with none of each kind.
+        n_atoms = ("catalyst_num_adsorbate_atoms", "catalyst_num_bulk_atoms")
+        out = df.select("*", *catalyst.catalyst_fields(info)).join(counts, "sid", "left").fillna(0, list(n_atoms))
         out = out.join(catalyst.substrate_height(atoms, cells), "sid", "left")
         out = out.join(catalyst.adsorbate_valid(atoms, cells), "sid", "left")
         return out

@@ -1,8 +1,8 @@
 """Extended-XYZ text files: frames of a count line, a comment line and one line per atom.
 
-Plain files are read as text, so Spark splits them like any other. A task assembles the frames
-that start in its split; a frame that runs over the end of a split is completed by key from
-the pieces that follow. Compressed files cannot be split and are decoded as a stream.
+Plain files are read as text, so Spark splits them like any other. A task parses the frames that are
+whole in its split where it reads them; only the first and the last piece of a split, which may be
+parts of one frame, move to be joined. Compressed files cannot be split and are decoded as a stream.
 """
 
 from __future__ import annotations
@@ -14,18 +14,32 @@ from itertools import groupby
 from operator import itemgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from strucsift.functions.elements import SYMBOLS
-from strucsift.session import ship_package
-
-FRAME_SCHEMA = """
-path string, frame_idx bigint, numbers array<int>, positions array<array<double>>,
-forces array<array<double>>, tags array<int>, cell array<array<double>>, pbc array<boolean>,
-energy double, info map<string,string>
-"""
-_PIECE_SCHEMA = "path string, block bigint, ordinal bigint, lines array<string>"
+from strucsift.session import cut_lineage, ship_package
+
+_D = T.DoubleType()
+_ROWS = T.ArrayType(T.ArrayType(_D))
+FRAME_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("frame_idx", T.LongType()),
+    T.StructField("numbers", T.ArrayType(T.IntegerType())), T.StructField("positions", _ROWS), T.StructField("forces", _ROWS),
+    T.StructField("tags", T.ArrayType(T.IntegerType())), T.StructField("charges", T.ArrayType(_D)), T.StructField("cell", _ROWS),
+    T.StructField("pbc", T.ArrayType(T.BooleanType())), T.StructField("energy", _D), T.StructField("stress", T.ArrayType(_D)),
+    T.StructField("info", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("arrays", T.MapType(T.StringType(), T.ArrayType(_D))),
+])
+# A whole frame, or the lines of a piece at the border of a split.
+_PIECE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("block", T.LongType()), T.StructField("ordinal", T.LongType()),
+    T.StructField("lines", T.ArrayType(T.StringType())), T.StructField("begins", T.BooleanType()), *FRAME_SCHEMA.fields[2:]])
+# Columns of a frame that have a place of their own in a record.
+_KNOWN = {"species", "Z", "numbers", "pos", "positions", "forces", "force", "tags"}
+CHARGES = ("charges", "mulliken_charges", "initial_charges")
 
 ATOMIC_NUMBER = {s: z for z, s in enumerate(SYMBOLS)}
 
@@ -67,7 +81,8 @@ def parse_frame(lines: list[str]) -> dict:
     if len(atoms) > n:
         raise ValueError(f"{len(atoms)} atom lines instead of {n}")
     info = parse_comment(comment)
-    layout = _column_spec(info.pop("Properties", "species:S:1:pos:R:3"))
+    spec = info.pop("Properties", "species:S:1:pos:R:3")
+    layout = _column_spec(spec)
     rows = [line.split() for line in atoms]
 
     def block(*names: str) -> list[list[str]] | None:
@@ -88,19 +103,31 @@ def parse_frame(lines: list[str]) -> dict:
         flat = [float(x) for x in lattice.split()]
         cell = [flat[0:3], flat[3:6], flat[6:9]]
     pbc = info.pop("pbc", None)
-    energy = info.get("energy")
+    energy, stress = info.get("energy"), info.get("stress")
+    charges = next((numbers(c) for c in CHARGES if c in layout), None)
+    kinds = dict(zip(spec.split(":")[0::3], spec.split(":")[1::3], strict=False))
+    # Other numeric columns, the values of an atom one after the other.
+    others = {c: [x for row in numbers(c) for x in row] for c in layout if c not in _KNOWN and kinds.get(c) in ("R", "I")}
     return {
-        "numbers": [ATOMIC_NUMBER[s[0]] for s in species] if species else [int(v[0]) for v in z],
+        "numbers": [ATOMIC_NUMBER[s[0]] for s in species] if species is not None else [int(v[0]) for v in z],
         "positions": numbers("pos", "positions"),
         "forces": numbers("forces", "force"),
-        "tags": [int(t[0]) for t in tags] if tags else None,
+        "tags": [int(t[0]) for t in tags] if tags is not None else None,
+        "charges": [c[0] for c in charges] if charges is not None else _listed(info.get("mulliken_charges")),
         "cell": cell,
         "pbc": [_truth(v) for v in re.split(r"[\s,]+", pbc.strip("[] "))] if pbc else [cell is not None] * 3,
         "energy": float(energy) if energy is not None else None,
+        "stress": _listed(stress),
         "info": info,
+        "arrays": others,
     }
 
 
+def _listed(text: str | None) -> list[float] | None:
+    """The numbers of a list, nested or not, written with spaces or commas."""
+    return None if text is None else [float(x) for x in re.split(r"[\s,\[\]]+", text) if x]
+
+
 def _assemble(lines: Iterable[str]) -> Iterator[list[str]]:
     """Group lines into frames, blank lines included: a comment may be blank, and stand first in
     a split. The first piece may be the tail of an earlier frame."""
@@ -116,32 +143,53 @@ def _assemble(lines: Iterable[str]) -> Iterator[list[str]]:
         yield frame
 
 
-def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Frames, or parts of frames at split borders, numbered within each split.
+def _is_whole(lines: list[str]) -> bool:
+    """Whether a piece with a count line has all its atoms, so that nothing need follow."""
+    return len(lines) > 1 and sum(1 for line in lines[2:] if line.strip()) >= int(lines[0])
 
-    A piece without a count line continues the frame before it and has ordinal -1.
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Frames numbered within each split, and the pieces at its borders as lines.
+
+    A piece without a count line continues the frame before it and has ordinal -1. Frames but the
+    last of a split are parsed: no line of theirs can be elsewhere.
     """
+    schema = to_arrow_schema(_PIECE_SCHEMA)
     rows = (
         ((path, block), text)
         for batch in batches
-        for path, block, text in zip(batch["path"], batch["block"], batch["value"])
+        for path, block, text in zip(*[batch.column(c).to_pylist() for c in ("path", "block", "value")], strict=True)
     )
-    names = ["path", "block", "ordinal", "lines"]
     out = []
-    for split, members in groupby(rows, key=itemgetter(0)):
-        starts = 0
+    for (path, block), members in groupby(rows, key=itemgetter(0)):
+        starts, held = 0, None
         for piece in _assemble(text for _, text in members):
-            begins = bool(_COUNT_LINE.match(piece[0]))
-            out.append((*split, starts if begins else -1, piece))
-            starts += begins
+            if held is not None:
+                out.append(_whole(path, block, *held))
+                held = None
+            if _COUNT_LINE.match(piece[0]):
+                held = starts, piece
+                starts += 1
+            elif any(map(str.strip, piece)):
+                out.append({"path": path, "block": block, "ordinal": -1, "lines": piece, "begins": False})
             if len(out) >= PIECES_PER_BATCH:
-                yield pd.DataFrame(out, columns=names)
+                yield pa.RecordBatch.from_pylist(out, schema)
                 out = []
+        if held is not None and _is_whole(held[1]):
+            out.append(_whole(path, block, *held))
+        elif held is not None:
+            out.append({"path": path, "block": block, "ordinal": held[0], "lines": held[1], "begins": True})
     if out:
-        yield pd.DataFrame(out, columns=names)
+        yield pa.RecordBatch.from_pylist(out, schema)
+
+
+def _whole(path: str, block: int, ordinal: int, lines: list[str]) -> dict:
+    record = _record(path, f"{ordinal} of the split at {block}", lines)
+    return record | {"block": block, "ordinal": ordinal, "begins": True, "info": list(record["info"].items()),
+                     "arrays": list(record["arrays"].items())}
 
 
-def _record(path: str, frame_idx: int, lines: list[str]) -> dict:
+def _record(path: str, frame_idx: int | str, lines: list[str]) -> dict:
     try:
         return {"path": path, "frame_idx": frame_idx, **parse_frame(lines)}
     except (ValueError, KeyError, IndexError, TypeError) as error:
@@ -153,8 +201,6 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = [
             _record(path, frame_idx, list(lines))
             for path, frame_idx, lines in zip(batch["path"], batch["frame_idx"], batch["lines"])
-            # Blank lines may stand before the first frame of a file.
-            if frame_idx >= 0 or any(map(str.strip, lines))
         ]
         if made:
             yield pd.DataFrame(made)
@@ -174,22 +220,24 @@ def read_extxyz(spark: SparkSession, path: str, glob: str | None = None) -> Data
 def frames_of_text(lines: DataFrame) -> DataFrame:
     """Frames from text lines ``(path, block, value)`` read split by split, in file order.
 
-    A first scan only counts the frame starts of each split, to know where its frame numbers
-    begin. Then the pieces move once: a frame that begins in a split is joined with the headless
-    pieces of the splits after it.
+    The text is read once, into a table of parsed frames and border pieces in the shared folder, and
+    no line of it is exchanged. How many frames begin in each split, one row each, tells where its
+    numbers begin. Only border pieces are gathered: the last of a split, if it lacks atoms, with
+    the headless ones that follow it.
     """
     ship_package(lines.sparkSession)
-    pieces = lines.mapInPandas(_pieces, _PIECE_SCHEMA)
+    read = cut_lineage(lines.select("path", "block", "value").mapInArrow(_pieces, _PIECE_SCHEMA), "frames")
     # One row per split: its frame count and its place in the file.
-    splits = lines.groupBy("path", "block").agg(F.count_if(F.col("value").rlike(COUNT_LINE)).alias("frames"))
+    splits = read.groupBy("path", "block").agg(F.count_if("begins").alias("frames"))
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("path", "block", F.coalesce(F.sum("frames").over(earlier), F.lit(0)).alias("before"))
-    frame_idx = F.when(F.col("ordinal") >= 0, F.col("before") + F.col("ordinal")).otherwise(F.col("before") - 1)
-    numbered = pieces.join(offsets, ["path", "block"]).withColumn("frame_idx", frame_idx)
+    numbered = read.join(offsets, ["path", "block"]).withColumn(
+        "frame_idx", F.col("before") + F.when(F.col("begins"), F.col("ordinal")).otherwise(-1))
+    pieces = numbered.filter(F.col("lines").isNotNull())
     in_order = F.sort_array(F.collect_list(F.struct("block", "ordinal", "lines")))
-    whole = numbered.groupBy("path", "frame_idx").agg(
-        F.flatten(F.transform(in_order, lambda p: p["lines"])).alias("lines"))
-    return whole.mapInPandas(_parse_batches, FRAME_SCHEMA)
+    joined = pieces.groupBy("path", "frame_idx").agg(F.flatten(F.transform(in_order, lambda p: p["lines"])).alias("lines"))
+    completed = joined.mapInPandas(_parse_batches, FRAME_SCHEMA)
+    return numbered.filter(F.col("lines").isNull()).select(*FRAME_SCHEMA.names).unionByName(completed)
 
 
 def _inflated(content: bytes) -> Iterator[bytes]:
@@ -256,20 +304,22 @@ def read_extxyz_xz(spark: SparkSession, path: str, glob: str = "*.extxyz.xz") ->
 def extxyz_text(structures: DataFrame, *keep: Column) -> DataFrame:
     """One ``value`` per structure in extended-XYZ form, for writing with the text sink.
 
-    Expects ``numbers, positions, forces, tags`` arrays, ``energy`` and an ``info`` map.
+    Expects ``numbers, positions, forces, tags`` arrays, ``charges`` if there are any, ``energy`` and an ``info`` map.
     """
     def numbers(row: Column) -> Column:
         return F.array_join(F.transform(row, lambda x: x.cast("string")), " ")
 
     i = F.sequence(F.lit(0), F.size("numbers") - 1)
     symbols = F.expr("array(" + ",".join(f"'{s}'" for s in SYMBOLS) + ")")
+    charged = "charges" in structures.columns
     atom = F.transform(i, lambda k: F.concat_ws(
         "\t", F.get(symbols, F.get("numbers", k)), numbers(F.get("positions", k)),
-        numbers(F.get("forces", k)), F.get("tags", k).cast("string")))
+        numbers(F.get("forces", k)), F.get("tags", k).cast("string"),
+        *([F.get("charges", k).cast("string")] if charged else [])))
     info = F.array_join(F.transform(
         F.map_entries("info"), lambda e: F.concat(e["key"], F.lit('="'), e["value"], F.lit('"'))), " ")
     comment = F.concat_ws(
-        " ", F.lit("Properties=species:S:1:pos:R:3:forces:R:3:tags:I:1"), info,
+        " ", F.lit("Properties=species:S:1:pos:R:3:forces:R:3:tags:I:1" + (":charges:R:1" if charged else "")), info,
         F.concat(F.lit("energy="), F.col("energy").cast("string")), F.lit('pbc="F F F"'))
     return structures.select(*keep, F.concat_ws(
         "\n", F.size("numbers").cast("string"), comment, F.array_join(atom, "\n")).alias("value"))
