@@ -2,7 +2,7 @@
 
 The token ids of documents, each with an end id, form one stream in the order of the rows of a
 partition. A cut may lie after a document, after a sentence for a penalty, and inside a sentence, for
-a larger one, only where no other place is within ``GAP`` tokens. The cuts minimise padding plus
+a larger one, only where no other place is within ``GAP`` tokens, at every ``STRIDE``-th token. The cuts minimise padding plus
 penalties plus a small cost of each sequence: the cheapest way to a cut comes from the cheapest
 earlier cut at most ``limit`` tokens before it, kept in a monotone queue by cost + place, or from
 one a power of two before it, since a sequence of such a length is not padded.
@@ -44,8 +44,8 @@ END_ID = 2
 LIMIT = 4096
 # In tokens of padding: a cut after a sentence, one inside a sentence, and a sequence.
 SENTENCE, INSIDE, SEQUENCE = 32, 256, 64
-# Without another place to cut for so many tokens any token may be cut after.
-GAP = 256
+# Without another place to cut for so many tokens any token of this stride may be cut after.
+GAP, STRIDE = 256, 8
 # Shortest power of two looked for before a partition's end.
 LEAST_POWER = 64
 # Tokens of a task that are not yet cut before it looks for a trunk.
@@ -152,13 +152,14 @@ def sentence_ends(words: Words, ends: np.ndarray) -> np.ndarray:
     return found
 
 
-def fill_gaps(places: np.ndarray, penalties: np.ndarray, begin: int, gap: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places with every token between two of them that are more than ``gap`` apart; ``begin`` is the place before."""
+def fill_gaps(places: np.ndarray, penalties: np.ndarray, begin: int, gap: int, stride: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places with every ``stride``-th token back from one that is more than ``gap`` after the one before it;
+    ``begin`` is the place before the first."""
     size = np.diff(places, prepend=begin)
-    repeat = np.where(size > gap, size, 1)
+    repeat = np.where(size > gap, -(-size // stride), 1)
     out, cost = np.repeat(places, repeat), np.repeat(penalties, repeat)
     back = np.repeat(np.cumsum(repeat), repeat) - 1 - np.arange(len(out))
-    return out - back, np.where(back > 0, INSIDE, cost)
+    return out - stride * back, np.where(back > 0, INSIDE, cost)
 
 
 class Packer:
@@ -181,18 +182,18 @@ class Packer:
         self.places = np.concatenate([self.places, places + base])
         self.penalties = np.concatenate([self.penalties, penalties])
         ready = int(np.searchsorted(self.places, self.starts[-1] - self.limit))
-        self._extend(ready, GAP, LEAST_POWER)
+        self._extend(ready, GAP, STRIDE, LEAST_POWER)
 
-    def _extend(self, n: int, gap: int, least_power: int) -> None:
+    def _extend(self, n: int, gap: int, stride: int, least_power: int) -> None:
         if n:
-            found = fill_gaps(self.places[:n], self.penalties[:n], self.cuts.places[-1], min(gap, self.limit))
+            found = fill_gaps(self.places[:n], self.penalties[:n], self.cuts.places[-1], min(gap, self.limit), stride)
             self.cuts.extend(*found, least_power)
             self.places, self.penalties = self.places[n:], self.penalties[n:]
 
     def pieces(self, finish: bool = False) -> pa.RecordBatch | None:
         """The pieces of the sequences that are settled, all of them if the stream is at its end."""
         if finish:
-            self._extend(len(self.places), 1, 1)
+            self._extend(len(self.places), 1, 1, 1)
             way = self.cuts.finish()
         elif len(self.ids) < HELD_TOKENS:
             return None

@@ -103,8 +103,10 @@ def test_sentences_and_gaps():
     column = pa.array(["One two. Three! (Four?) five\nsix 3.5 end.", None, "単。語", "a。 b"])
     words = words_of(column, CHUNK)
     assert np.flatnonzero(packing.sentence_ends(words, words.ends())).tolist() == [1, 2, 3, 4, 9]
-    places, penalties = packing.fill_gaps(np.array([3, 4, 9]), np.array([0, 32, 0]), 0, 4)
+    places, penalties = packing.fill_gaps(np.array([3, 4, 9]), np.array([0, 32, 0]), 0, 4, 1)
     assert places.tolist() == [3, 4, 5, 6, 7, 8, 9] and penalties.tolist() == [0, 32, 256, 256, 256, 256, 0]
+    places, penalties = packing.fill_gaps(np.array([3, 14, 18]), np.array([0, 32, 0]), 0, 4, 3)
+    assert places.tolist() == [3, 5, 8, 11, 14, 18] and penalties.tolist() == [0, 256, 256, 256, 32, 0]
 
 
 def test_held_tokens_do_not_change_the_cuts(spark, monkeypatch):
