@@ -31,7 +31,7 @@ def prepare(spark: SparkSession) -> None:
 
 def if_small(side: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``side`` with a broadcast hint when it is counted to hold at most ``limit`` rows."""
-    return F.broadcast(side) if side.limit(limit + 1).count() <= limit else side
+    return F.broadcast(side) if side.count() <= limit else side
 
 
 def with_row_hash(docs: DataFrame) -> DataFrame:

@@ -10,13 +10,16 @@ site and keep all lines. A null text stays null and counts as a page without lin
 repeated rows count each. Other columns are kept by ``drop_boilerplate``.
 
 ``drop_passages`` takes what no share of a site shows: long lines that several rows of the whole
-table have, whatever their hosts. One copy stays, in the row of the least id (nulls last). A row
+table have, whatever their hosts. One copy stays, in the row of the least id (nulls last) among those
+that are to stay: a row named in ``leaving`` keeps the copy only if all its rows leave. A row
 that consists of shared lines nearly whole is a copy of a document and stays whole: near-duplicate
 search judges it. Rows of equal id and text are treated alike.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,9 +86,10 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int =
     """
     own = [c for c in pages.columns if c not in ("text", "n_lines", "n_dropped")]
     found = cut_lineage(boilerplate(pages, ratio, least_pages), "boilerplate")
-    few = found.select(F.explode("lines")).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    marked = pages.select(*own, "text").join(F.broadcast(found) if few else found, "host", "left")
-    lines, listed = F.split("text", "\n"), F.coalesce("lines", F.array().cast("array<bigint>"))
+    few = (found.agg(F.sum(F.size("lines"))).first()[0] or 0) <= BROADCAST_ROWS
+    listed = found.select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
+    marked = pages.select(*own, "text").join(F.broadcast(listed) if few else listed, F.col("host") == F.col("__host"), "left")
+    lines, listed = F.split("text", "\n"), F.coalesce("__lines", F.array().cast("array<bigint>"))
     kept = F.filter(lines, lambda line: ~F.array_contains(listed, F.xxhash64(_trim(line))) | (_trim(line) == ""))
     n_lines = F.size(F.filter(lines, lambda line: _trim(line) != ""))
     return (
@@ -97,11 +101,13 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int =
     )
 
 
-def drop_passages(docs: DataFrame, least_rows: int = PASSAGE_ROWS, chars: int = PASSAGE_CHARS) -> DataFrame:
+def drop_passages(docs: DataFrame, least_rows: int = PASSAGE_ROWS, chars: int = PASSAGE_CHARS,
+                  leaving: Callable[[], DataFrame] | None = None) -> DataFrame:
     """``docs`` (doc_id, text, ...) with all copies of shared passages but one dropped, and n_passages.
 
     The hashes of all lines are written once with the id and text hash of their row. No task gathers
-    a line's rows: counts and the row that keeps a copy are aggregates.
+    a line's rows: counts and the row that keeps a copy are aggregates. ``leaving`` gives the ids (doc_id)
+    that a later step is to remove; it is only called when there are shared passages.
     """
     own = [c for c in docs.columns if c != "n_passages"]
     row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
@@ -110,6 +116,14 @@ def drop_passages(docs: DataFrame, least_rows: int = PASSAGE_ROWS, chars: int =
     shared = cut_lineage(
         seen.groupBy("line", "long").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("keeper"))
         .filter(F.col("n") >= least_rows).select("line", "long", "keeper"), "shared")
+    if leaving is not None and not shared.filter("long").isEmpty():
+        going = cut_lineage(leaving().select(F.col("doc_id").alias("__going")).distinct(), "leaving")
+        holders = seen.filter("long").drop("long").join(if_small(shared.filter("long").select("line")), "line", "left_semi")
+        stays = holders.join(if_small(going), F.col("row.id") == F.col("__going"), "left").groupBy("line").agg(
+            F.min(F.struct(F.col("__going").isNotNull().alias("goes"), "row")).alias("best"))
+        chosen = stays.select("line", F.col("best.row").alias("stayer"))
+        shared = cut_lineage(shared.join(chosen, "line", "left").select(
+            "line", "long", F.when(F.col("long"), F.col("stayer")).otherwise(F.col("keeper")).alias("keeper")), "shared")
     gone = F.col("long") & ~F.col("row").eqNullSafe(F.col("keeper"))
     # A list is at most as long as its text.
     hits = cut_lineage(
@@ -117,7 +131,7 @@ def drop_passages(docs: DataFrame, least_rows: int = PASSAGE_ROWS, chars: int =
             F.collect_set("line").alias("__common"), F.collect_set(F.when(gone, F.col("line"))).alias("__gone"))
         .filter(F.size("__gone") > 0).select(F.col("row.id").alias("__id"), F.col("row.hash").alias("__hash"), "__common", "__gone"),
         "passages")
-    few = hits.select(F.explode("__common")).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = (hits.agg(F.sum(F.size("__common"))).first()[0] or 0) <= BROADCAST_ROWS
     marked = docs.select(*own).join(
         F.broadcast(hits) if few else hits,
         F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left")

@@ -14,8 +14,9 @@
 
 Defined results: texts without words have no shingles and are linked with nothing; a text of fewer
 than five words has its whole sequence as one. Rows with a null id are kept and have no component.
-Rows that repeat an id count as one document. Other columns are ignored by ``near_duplicates`` and
-kept by ``deduplicate``.
+Rows that repeat an id count as one document in ``near_duplicates``, which ignores other columns.
+``deduplicate`` judges texts: different texts under one id are documents of their own, which stand
+behind all others when one of a group is to stay. It keeps other columns.
 """
 
 from __future__ import annotations
@@ -329,7 +330,29 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, miss: float = MISS)
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _vertices(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__vertex``: the id, or where an id has several texts a number of its own for each,
+    above all ids. Those numbers are written once, so that a task that is run again finds the same."""
+    marked = docs.withColumn("__text_hash", F.xxhash64("text"))
+    texts = marked.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min("__text_hash").alias("lo"), F.max("__text_hash").alias("hi"), F.max("doc_id").alias("id"))
+    several = cut_lineage(texts.filter("lo < hi").select("doc_id"), "repeated")
+    id_type = F.col("doc_id").cast("bigint")
+    if several.isEmpty():
+        return marked.drop("__text_hash").withColumn("__vertex", id_type)
+    top = docs.agg(F.max(id_type)).first()[0]
+    pairs = marked.select("doc_id", "__text_hash").join(if_small(several), "doc_id", "left_semi").distinct()
+    numbered = cut_lineage(pairs.select(
+        F.col("doc_id").alias("__id"), F.col("__text_hash").alias("__hash"),
+        (F.monotonically_increasing_id() + F.lit(top) + 1).alias("__own")), "vertices")
+    same = (F.col("doc_id") == F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
+    return marked.join(if_small(numbered), same, "left").withColumn("__vertex", F.coalesce("__own", id_type)).drop(
+        "__text_hash", "__id", "__hash", "__own")
+
+
 def deduplicate(docs: DataFrame, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
     """``docs`` with one document of every group: the one of the smallest id."""
-    gone = cut_lineage(near_duplicates(docs, percent, miss).filter(~F.col("kept")).select("doc_id").distinct(), "copies")
-    return docs.join(if_small(gone), "doc_id", "left_anti").select(*docs.columns)
+    placed = _vertices(docs)
+    judged = near_duplicates(placed.select(F.col("__vertex").alias("doc_id"), "text"), percent, miss)
+    gone = cut_lineage(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("__vertex")).distinct(), "copies")
+    return placed.join(if_small(gone), "__vertex", "left_anti").select(*docs.columns)

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strucsift.llm import bpe, chat, decontaminate, language, lines, minhash, packing, phrases, quality, tokencount, tokenfile, toxicity, whitening
 from strucsift.session import scratch_path
 
 
+def _held_out(folds: int, fold: int) -> Column:
+    """Whether a document belongs to the fold that is not learnt from; one without an id does not."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
+
+
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
@@ -41,7 +46,7 @@ def op5_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held_out = _held_out(3, 1)
     lexicon = toxicity.learn(docs, _table(spark, directory, "labels").filter(~held_out))
     return toxicity.score(docs, lexicon).withColumn("held_out", held_out)
 
@@ -57,7 +62,7 @@ def op8_bpe(spark: SparkSession, directory: str) -> DataFrame:
 
 def op9_language(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = _held_out(5, 0)
     model = language.learn(docs.filter(~held_out).select("text", "lang"))
     return language.predict(docs, model).withColumn("held_out", held_out)
 

@@ -107,6 +107,30 @@ def contamination(text, benchmark):
     return len(words), len(hit), len(items), digest, bool(hit) and 20 * len(hit) >= len(words)
 
 
+def drop_passages(texts, least, chars, share):
+    """{doc_id: text} without all copies of long shared lines but the one in the least document that stays."""
+    trim = lambda x: x.strip(" \t\n\x0b\x0c\r")
+    own = {i: [trim(x) for x in (t or "").split("\n")] for i, t in texts.items()}
+    holders = defaultdict(set)
+    for i, every in own.items():
+        for x in every:
+            if x:
+                holders[x].add(i)
+    common = {x for x, h in holders.items() if len(h) >= least}
+    groups = near_groups(texts)
+    keeper = {x: min(holders[x], key=lambda i: (groups[i][1] != i, i)) for x in common if len(x) > chars}
+    out = {}
+    for i, text in texts.items():
+        if text is None:
+            out[i] = None
+            continue
+        most = sum(len(x) for x in own[i])
+        partly = share[1] * sum(len(x) for x in own[i] if x in common) <= share[0] * most
+        gone = {x for x in own[i] if x in keeper and keeper[x] != i} if partly else set()
+        out[i] = "\n".join(x for x in text.split("\n") if trim(x) not in gone)
+    return out
+
+
 def drop_lines(rows, ratio, least):
     """rows: (key, host, text) -> {key: (text, n_lines, n_dropped)}."""
     trim = lambda x: x.strip(" \t\n\x0b\x0c\r")
