@@ -30,10 +30,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the boilerplate lines of their source and without all but one copy of long
     passages that documents of any source share; one that consisted of boilerplate only goes, and
-    lengths are counted anew."""
-    found = lines.drop_boilerplate(docs.withColumnRenamed("source", "host"))
+    lengths are counted anew. The copy that stays is in a document that near-duplicate removal keeps."""
+    found = lines.drop_boilerplate(docs.select(*COLUMNS).withColumnRenamed("source", "host"))
     emptied = (F.col("n_dropped") > 0) & (F.col("n_dropped") == F.col("n_lines"))
-    cut = lines.drop_passages(found.filter(~emptied).withColumnRenamed("host", "source"))
+    left = cut_lineage(found.filter(~emptied).withColumnRenamed("host", "source"), "lines")
+    cut = lines.drop_passages(left, leaving=lambda: minhash.near_duplicates(left).filter(~F.col("kept")))
     changed = (F.col("n_dropped") > 0) | (F.col("n_passages") > 0)
     length = F.when(changed, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", length).select(*COLUMNS)
@@ -41,12 +42,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies."""
-    return minhash.deduplicate(docs).select(*COLUMNS)
+    return minhash.deduplicate(docs.select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a contaminated share of benchmark words, judged like by the quality rules."""
-    return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
+    return decontaminate.remove(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
