@@ -48,6 +48,8 @@ SENTENCE, INSIDE, SEQUENCE = 32, 256, 64
 GAP, STRIDE = 256, 8
 # Shortest power of two looked for before a partition's end.
 LEAST_POWER = 64
+# Chunks a worker remembers with their ids: some 60 bytes each.
+KNOWN_CHUNKS = 2_000_000
 # Tokens of a task that are not yet cut before it looks for a trunk.
 HELD_TOKENS = 1 << 18
 SEQUENCE_BITS = 33
@@ -251,7 +253,7 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = END_ID, limit:
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, memory = encoder(path)
+        encode, memory = encoder(path, KNOWN_CHUNKS)
         packer = Packer(limit)
         packer.sequences = TaskContext.get().partitionId() << SEQUENCE_BITS
         for whole in batches:

@@ -8,6 +8,7 @@ Python worker knows already it looks up by a 64-bit hash.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +40,14 @@ class Memory:
         return np.where(self.keys[at] == hashes, self.slots[at], -1)
 
     def add(self, hashes: np.ndarray, runs: Sequence[Sequence[int]]) -> None:
+        """Remember the runs of ascending hashes that are not known yet."""
         lengths = np.fromiter(map(len, runs), np.int64, len(runs))
-        flat = np.fromiter((v for run in runs for v in run), np.uint32, int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(runs), np.uint32, int(lengths.sum()))
         slots = len(self.first) - 1 + np.arange(len(runs))
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
         self.values = np.concatenate([self.values, flat])
-        keys = np.concatenate([self.keys, hashes])
-        order = np.argsort(keys)
-        self.keys, self.slots = keys[order], np.concatenate([self.slots, slots])[order]
+        place = np.searchsorted(self.keys, hashes)
+        self.keys, self.slots = np.insert(self.keys, place, hashes), np.insert(self.slots, place, slots)
 
     def lookup(self, hashes: np.ndarray, compute: Callable[[np.ndarray], Sequence[Sequence[int]]]) -> np.ndarray:
         """Slots of all ``hashes``; ``compute`` gets the places of one occurrence of each unknown."""

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strucsift.llm.common import field, prepare, steps
-from strucsift.llm.pieces import Memory, tokenize
+from strucsift.llm.pieces import MOST_CHUNKS, Memory, tokenize
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -47,15 +47,16 @@ KINDS = ("ids", "offsets", "docs")
 
 
 @functools.lru_cache(maxsize=2)
-def _tokenizer(path: str):
+def _tokenizer(path: str, most: int = MOST_CHUNKS):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), Memory()
+    return Tokenizer.from_file(path), Memory(most)
 
 
-def encoder(path: str) -> tuple[Callable, Memory]:
-    tokenizer, memory = _tokenizer(path)
+def encoder(path: str, most: int = MOST_CHUNKS) -> tuple[Callable, Memory]:
+    """The encoding of chunks, and a worker's memory of at most so many of them."""
+    tokenizer, memory = _tokenizer(path, most)
     return lambda chunks: [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)], memory
 
 
