@@ -382,6 +382,7 @@ WITH ends AS ({_ENDS}), r0 AS (SELECT sid, idx, {_ID0} AS id FROM ({_DEGREES})),
      r1 AS ({_round('r0', 1)}), r2 AS ({_round('r1', 2)}),
      bits AS (SELECT DISTINCT sid, id % 1024 AS bit FROM (SELECT * FROM r0 UNION ALL SELECT * FROM r1 UNION ALL SELECT * FROM r2))
 SELECT sid, count(*) AS n_bits, string_agg(cast(bit AS varchar), ',' ORDER BY bit) AS set_bits FROM bits GROUP BY sid"""
+ORACLES["fingerprint_rowwise"] = ORACLES["circular_fingerprint"]
 ORACLES["pack_fingerprint"] = "SELECT entry_key, array_to_string(bits, '') AS bits FROM V_fp"
 
 

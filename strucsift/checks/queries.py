@@ -497,6 +497,13 @@ def circular_fingerprint(fx):
                        F.array_join(F.col("set_bits").cast("array<string>"), ",").alias("set_bits"))
 
 
+@query
+def fingerprint_rowwise(fx):
+    bits = rowwise.with_fingerprint(fx.landing.select("sid", "numbers", "positions"))
+    return bits.select("sid", F.size("set_bits").cast("bigint").alias("n_bits"),
+                       F.array_join(F.col("set_bits").cast("array<string>"), ",").alias("set_bits"))
+
+
 @query
 def pack_fingerprint(fx):
     wide = fx.fingerprints.select("entry_key", *[

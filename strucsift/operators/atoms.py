@@ -20,10 +20,14 @@ FORMULA_ELEMENTS_FIRST = ("C", "H")
 
 
 def explode_structures(structures: DataFrame, id_column: str = "entry_key") -> DataFrame:
-    """Landing rows to atom rows, numbered by their place in the arrays."""
+    """Landing rows to atom rows, numbered by their place in the arrays.
+
+    Forces, charges and tags are null where the structures have no such column.
+    """
     at = F.posexplode("numbers").alias("idx", "z")
-    carried = ["positions", "forces", "charges", "tags"]
-    rows = structures.select(F.col(id_column).alias("sid"), *carried, at)
+    optional = {"forces": "array<array<double>>", "charges": "array<double>", "tags": "array<int>"}
+    carried = [F.col(c) if c in structures.columns else F.lit(None).cast(kind).alias(c) for c, kind in optional.items()]
+    rows = structures.select(F.col(id_column).alias("sid"), "positions", *carried, at)
     i = F.col("idx")
 
     def component(column: str, k: int) -> Column:

@@ -10,13 +10,16 @@ kept, as invalid with 0 atoms and waters, and its other measures are null.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strucsift.functions import elements
 from strucsift.functions.vectors import norm
-from strucsift.operators import geometry
+from strucsift.operators import fingerprints, geometry
 from strucsift.operators.atoms import DEBYE, FORMULA_ELEMENTS_FIRST, explode_structures
+from strucsift.schema import FINGERPRINT_BITS
 from strucsift.session import cut_lineage
 
 # Atoms up to which pairs are searched in the row.
@@ -173,3 +176,59 @@ def validity_and_water(landed: DataFrame, row_atoms: int = ROW_ATOMS, min_fragme
     """(sid, is_molecular_structure_valid, num_water_molecules) of landed structures."""
     return with_validity_and_water(landed, row_atoms, min_fragment).select(
         "sid", "is_molecular_structure_valid", "num_water_molecules")
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, as the only element of an array."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def set_bits(radius: int = fingerprints.RADIUS, n_bits: int = FINGERPRINT_BITS) -> Column:
+    """Sorted set bits of the fingerprint of a row's structure; null without atoms.
+
+    Each atom's bonded neighbours are an array of places. A round of hashing maps the identifiers of
+    the round before; all rounds stay in one array of arrays.
+    """
+    def neighbours(atoms: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(atoms) - 1)
+        near = lambda i, a: F.filter(places, lambda j: (j != i) & (
+            _apart(a, F.get(atoms, j)) < F.round(a["r"] + F.get(atoms, j)["r"], 9)))
+        return F.transform(atoms, lambda a, i: F.struct(a["z"].alias("z"), near(i, a).alias("near")))
+
+    def begin(atom: Column) -> Column:
+        return fingerprints.digest(F.lit("atom"), atom["z"], F.size(atom["near"]))
+
+    def advance(r: int, linked: Column, ids: Column) -> Column:
+        def fresh(atom: Column, i: Column) -> Column:
+            total = F.aggregate(atom["near"], F.lit(0).cast("bigint"), lambda acc, j: acc + F.get(ids, j))
+            return fingerprints.digest(F.lit(r), F.get(ids, i), total, F.size(atom["near"]))
+
+        return F.transform(linked, fresh)
+
+    def rounds(r: int, linked: Column, ids: Column) -> Column:
+        if r > radius:
+            return ids
+        return F.concat(ids, _bound(advance(r, linked, ids), lambda later: rounds(r + 1, linked, later)))
+
+    ids = _bound(_atoms(), lambda atoms: _bound(neighbours(atoms), lambda linked: _bound(
+        F.transform(linked, begin), lambda first: rounds(1, linked, first))))
+    bits = F.array_sort(F.array_distinct(F.transform(ids, lambda i: F.pmod(i, F.lit(n_bits)).cast("int"))))
+    return F.when(num_atoms() > 0, bits)
+
+
+def with_fingerprint(landed: DataFrame, name: str = "set_bits", row_atoms: int = ROW_ATOMS,
+                     where: Column | None = None) -> DataFrame:
+    """``landed`` (unique ``sid``) with the sorted set bits of the structures that ``where`` chooses, else null.
+
+    Structures without atoms have none either. Chosen rows of more than ``row_atoms`` atoms are written
+    apart and take the long form; without such rows nothing is exchanged.
+    """
+    chosen = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    giant = chosen & (num_atoms() > row_atoms)
+    small = landed.filter(~giant).withColumn(name, F.when(chosen, set_bits()))
+    large = cut_lineage(landed.filter(giant), "large")
+    if large.isEmpty():
+        return small
+    atoms = explode_structures(large, "sid")
+    bits = fingerprints.circular_fingerprint(atoms, geometry.neighbour_list(atoms)).withColumnRenamed("set_bits", name)
+    return small.unionByName(large.join(bits, "sid"))

@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strucsift.functions.hashing import hex_to_long, seeded_md5, uniform
-from strucsift.operators.fingerprints import min_distance_to_pool
+from strucsift.operators.fingerprints import longest, pack, packed_minimum
 from strucsift.operators.ranking import BUCKET_DIGITS, PLAIN_TOP_N, rank_within, row_at, smallest_n
 from strucsift.schema import expand_presets
-from strucsift.session import scratch_path
+from strucsift.session import cut_lineage, scratch_path
 
 logger = logging.getLogger(__name__)
 
@@ -135,6 +135,14 @@ def pick_row(df: DataFrame, position: int, key: str = "entry_key") -> DataFrame:
     return row
 
 
+def _far_from(rows: DataFrame, pool: DataFrame, n_rows: int, n_pool: int, n_words: int,
+              threshold: float) -> tuple[DataFrame, int]:
+    """The packed rows of which no pool member is within ``threshold``, written once, and their count."""
+    near = packed_minimum(rows, pool, n_rows, n_pool, n_words, cutoff=threshold)
+    left = cut_lineage(rows.join(near, "entry_key", "left_anti"), "left")
+    return left, left.count()
+
+
 def greedy_diverse(df: DataFrame, n: int | None = None, start: int | None = None,
                    seed: int | str | None = None, block_size: int = GREEDY_BLOCK,
                    threshold: float = GREEDY_THRESHOLD) -> DataFrame:
@@ -145,9 +153,12 @@ def greedy_diverse(df: DataFrame, n: int | None = None, start: int | None = None
     of one block are not compared with each other. ``start`` names the first member by
     position; without it ``seed`` draws one from the first block, else it is the first row.
 
-    Candidates are written once, laid out by block, and each round adds one table of accepted
-    rows: the pool lives in the shared folder and can outgrow any single machine. Returns
-    ``(entry_key, position)`` of the pool members.
+    Candidates are packed and written once, laid out by block. Blocks are taken in windows: one job
+    leaves the rows of a window that are far from the whole pool, and each block of the window that
+    still has rows adds them to the pool and removes those near to them from the later blocks. A window
+    doubles as long as less than a block is left of it, so the jobs grow with the blocks that add
+    rows, not with the rows. The pool lives in the shared folder and can outgrow any single machine.
+    Returns ``(entry_key, position)`` of the pool members.
     """
     if n is not None and n <= 0:
         raise ValueError("n must be positive")
@@ -155,12 +166,12 @@ def greedy_diverse(df: DataFrame, n: int | None = None, start: int | None = None
     candidates_at = scratch_path(spark, "candidates")
     pool_at = scratch_path(spark, "pool")
     # One task, and one file, per block.
-    ordered_blocks(df.select("entry_key", "bits"), block_size).repartition("block").write.partitionBy(
-        "block").parquet(candidates_at)
+    ordered_blocks(pack(df), block_size).repartition("block").write.partitionBy("block").parquet(candidates_at)
     rows = spark.read.parquet(candidates_at)
     total = rows.count()
     if total == 0:
         raise ValueError("no rows to select from")
+    n_words = longest(rows)
 
     if start is not None:
         if not 0 <= start < total:
@@ -170,25 +181,32 @@ def greedy_diverse(df: DataFrame, n: int | None = None, start: int | None = None
         first = rows.filter(F.col("block") == 0).orderBy(seeded_md5(seed, F.col("entry_key"))).limit(1)
     else:
         first = rows.filter((F.col("block") == 0) & (F.col("position") == 0))
-    layout = ["entry_key", "bits", "position"]
+    layout = ["entry_key", "words", "n_set", "position"]
     first.select(*layout).write.parquet(f"{pool_at}/round=-1")
     first_position = spark.read.schema("position bigint").parquet(pool_at).first()["position"]
     accepted = 1
 
-    for block in range(-(-total // block_size)):
-        if n is not None and accepted >= n:
-            break
-        pool = spark.read.schema("entry_key string, bits array<int>, position bigint").parquet(pool_at)
+    n_blocks = -(-total // block_size)
+    begin, width = 0, 1
+    while begin < n_blocks and (n is None or accepted < n):
+        pool = spark.read.schema("entry_key string, words array<bigint>, n_set int, position bigint").parquet(pool_at)
         # Of the pool, only the first member can belong to a block still to come.
-        here = rows.filter((F.col("block") == block) & (F.col("position") != first_position))
-        nearest = min_distance_to_pool(here, pool, block_size, accepted)
-        far = here.join(nearest.filter(F.col("distance") > threshold), "entry_key", "left_semi").select(*layout)
-        if n is not None:
-            # A block is bounded, so ordering what is left of it is too.
-            far = far.orderBy("position").limit(n - accepted)
-        seen = Observation()
-        far.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{pool_at}/round={block}")
-        accepted += seen.get["n"]
+        window = rows.filter(F.col("block").between(begin, begin + width - 1) & (F.col("position") != first_position))
+        left, n_left = _far_from(window, pool, width * block_size, accepted, n_words, threshold)
+        begin, width = begin + width, 2 * width if n_left < block_size else max(1, width // 2)
+        while n_left and (n is None or accepted < n):
+            block = left.agg(F.min("block")).first()[0]
+            added = left.filter(F.col("block") == block).select(*layout)
+            if n is not None:
+                # A block is bounded, so ordering what is left of it is too.
+                added = added.orderBy("position").limit(n - accepted)
+            seen = Observation()
+            at = f"{pool_at}/round={block}"
+            added.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(at)
+            accepted += seen.get["n"]
+            later = left.filter(F.col("block") > block)
+            members = spark.read.schema(added.schema).parquet(at)
+            left, n_left = _far_from(later, members, n_left, seen.get["n"], n_words, threshold)
 
     if n is not None and accepted < n:
         logger.warning("selected %s of %s rows; lower the threshold or ask for fewer", accepted, n)

@@ -46,19 +46,32 @@ def _settle(rows: DataFrame, measures: Sequence[str]) -> DataFrame:
     return rows.withColumns(value).drop(*[f"__{c}" for c in measures])
 
 
-def _graph_properties(rows: DataFrame, atoms: DataFrame, atom_limit: int, skip_subsets: Sequence[str]) -> DataFrame:
-    """``rows`` (sid, num_atoms, ...) with candidate and error flags and the candidates' fingerprints."""
+def _with_candidate(rows: DataFrame, atom_limit: int, skip_subsets: Sequence[str]) -> DataFrame:
     subset = F.col("subset").cast("string") if "subset" in rows.columns else F.lit(None).cast("string")
-    candidate = graph_candidate(F.col("num_atoms"), subset, atom_limit, skip_subsets)
-    rows = cut_lineage(rows.withColumn("graph_properties_candidate", candidate), "derived")
-    chosen = atoms.join(rows.filter("graph_properties_candidate").select("sid"), "sid", "left_semi")
-    bits = circular_fingerprint(chosen, neighbour_list(chosen)).select("sid", bit_array(F.col("set_bits")).alias("fingerprint"))
-    rows = rows.join(bits, "sid", "left")
+    return rows.withColumn("graph_properties_candidate", graph_candidate(F.col("num_atoms"), subset, atom_limit, skip_subsets))
+
+
+def _with_graph_error(rows: DataFrame) -> DataFrame:
     # Only a candidate can lack its fingerprint by error.
     missing = F.col("graph_properties_candidate") & derivation_error(["fingerprint"])
     return rows.withColumn("error_graph_properties", F.coalesce(missing, F.lit(False)))
 
 
+def _graph_properties(rows: DataFrame, atoms: DataFrame, atom_limit: int, skip_subsets: Sequence[str]) -> DataFrame:
+    """``rows`` (sid, num_atoms, ...) with candidate and error flags and the candidates' fingerprints."""
+    rows = cut_lineage(_with_candidate(rows, atom_limit, skip_subsets), "derived")
+    chosen = atoms.join(rows.filter("graph_properties_candidate").select("sid"), "sid", "left_semi")
+    bits = circular_fingerprint(chosen, neighbour_list(chosen)).select("sid", bit_array(F.col("set_bits")).alias("fingerprint"))
+    return _with_graph_error(rows.join(bits, "sid", "left"))
+
+
+def _graph_properties_in_row(rows: DataFrame, atom_limit: int, skip_subsets: Sequence[str], row_atoms: int) -> DataFrame:
+    """The same of rows that hold their atoms, found inside the row."""
+    rows = _with_candidate(rows, atom_limit, skip_subsets)
+    rows = rowwise.with_fingerprint(rows, "__set_bits", row_atoms, F.col("graph_properties_candidate"))
+    return _with_graph_error(rows.withColumn("fingerprint", bit_array(F.col("__set_bits"))).drop("__set_bits"))
+
+
 def _motifs(rows: DataFrame, matches: DataFrame) -> DataFrame:
     """``rows`` (sid, ...) with the motif columns counted from ``matches`` (id, code, pattern, s, e)."""
     found = motifs.motif_columns(matches).withColumnRenamed("id", "sid")
@@ -90,7 +103,7 @@ def process_landed(landed: DataFrame, fmt: str, metadata: Mapping[str, str] | No
     if matches is not None:
         rows = _motifs(rows, matches)
     if graph:
-        rows = _graph_properties(rows, atom_ops.explode_structures(landed, "sid"), atom_limit, skip_subsets)
+        rows = _graph_properties_in_row(rows, atom_limit, skip_subsets, row_atoms)
     else:
         rows = rows.withColumn("graph_properties_candidate", F.lit(False))
     return conform(rows, QUERY_SCHEMA)

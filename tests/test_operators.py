@@ -1,5 +1,6 @@
 """Operators against brute force and hand-made cases."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -625,3 +626,71 @@ def test_landed_rows_without_atoms_stay(spark):
         "info", F.from_json(F.to_json("info"), "data_id string, charge double, num_atoms bigint, spin double, composition string")), "aselmdb_omol")
     assert {(r.entry_key, r.num_atoms, r.is_molecular_structure_valid, r.num_water_molecules) for r in done.collect()} == {
         ("k1", 0, False, 0), ("k2", 0, False, 0), ("k3", 0, False, 0), ("k4", 2, True, 0)}
+
+
+@pytest.mark.parametrize("pool_block, own_block", [(4_096, 25_000), (5, 11), (1, 40)])
+def test_min_distance_of_odd_fingerprints(spark, monkeypatch, pool_block, own_block):
+    monkeypatch.setattr(fingerprints, "CANDIDATE_BLOCK", own_block)
+    monkeypatch.setattr(fingerprints, "POOL_BLOCK", pool_block)
+    rng = np.random.default_rng(3)
+    rows = [(f"k{i}", (rng.random(150) < rng.random() ** 2).astype(int).tolist()) for i in range(60)]
+    # No array, no bits, a missing bit, a shorter array, a key of two rows and a row given twice.
+    rows += [("none", None), ("zero", [0] * 150), ("empty", []), ("hole", [1, None, 1]), ("k0", [1] * 150), rows[5]]
+    df = spark.createDataFrame(rows, "entry_key string, bits array<int>")
+    members = rows[::4] + rows[-3:]
+    pool = spark.createDataFrame(members, df.schema)
+    found = {r.entry_key: r.distance for r in fingerprints.min_distance_to_pool(df, pool, len(rows), len(members)).collect()}
+
+    def full(bits):
+        return np.array([b or 0 for b in bits or []] + [0] * (150 - len(bits or [])))
+
+    expected = {}
+    for key, bits in rows:
+        a = full(bits)
+        nearest = min(1 - (a @ full(b)) / (a.sum() + full(b).sum() - a @ full(b) + 1e-8) for _, b in members)
+        expected[key] = min(nearest, expected.get(key, 2.0))
+    assert found == pytest.approx(expected)
+    assert fingerprints.min_distance_to_pool(df, pool.limit(0), len(rows), 0).count() == 0
+    assert fingerprints.min_distance_to_pool(df.limit(0), pool, 0, len(members)).count() == 0
+
+
+@pytest.mark.parametrize("block_size, pool_block", [(7, 4_096), (7, 4), (30, 4), (500, 4)])
+def test_greedy_is_the_plain_block_loop(spark, monkeypatch, block_size, pool_block):
+    monkeypatch.setattr(fingerprints, "POOL_BLOCK", pool_block)
+    rng = np.random.default_rng(8)
+    seeds = rng.integers(0, 2, (9, 70))
+    # Noisy copies of a few fingerprints, so that most blocks add nothing.
+    bits = np.array([np.where(rng.random(70) < 0.1, 1 - seeds[i % 9], seeds[i % 9]) for i in range(90)])
+    df = spark.createDataFrame([(f"k{i}", row.tolist()) for i, row in enumerate(bits)], "entry_key string, bits array<int>")
+    order = sorted(range(90), key=lambda i: hashlib.md5(f"k{i}".encode()).hexdigest())
+
+    def distance(i, j):
+        common = bits[i] @ bits[j]
+        return 1 - common / (bits[i].sum() + bits[j].sum() - common + 1e-8)
+
+    picked = order[:1]
+    for at in range(0, 90, block_size):
+        picked += [i for i in order[at:at + block_size] if i != order[0] and all(distance(i, j) > 0.5 for j in list(picked))]
+    found = sampling.greedy_diverse(df, threshold=0.5, block_size=block_size)
+    assert {r.entry_key for r in found.collect()} == {f"k{i}" for i in picked}
+    if block_size == 7:
+        few = {r.entry_key for r in sampling.greedy_diverse(df, n=5, threshold=0.5, block_size=7).collect()}
+        assert few == {f"k{i}" for i in picked[:5]}
+
+
+def test_row_fingerprint_is_the_long_one(spark):
+    rng = np.random.default_rng(4)
+    elements = np.array([1, 6, 7, 8, 16, 200])
+    rows = [(sid, rng.choice(elements, n).tolist(), (rng.random((n, 3)) * 1.6 * n ** (1 / 3)).tolist())
+            for sid, n in enumerate([1, 2, 5, 12, 30, 45])]
+    schema_of = "sid bigint, numbers array<int>, positions array<array<double>>"
+    df = spark.createDataFrame([*rows, (90, [], []), (91, None, None)], schema_of)
+    atoms = atom_ops.explode_structures(spark.createDataFrame(rows, schema_of), "sid")
+    long = {r.sid: r.set_bits for r in fingerprints.circular_fingerprint(atoms, geometry.neighbour_list(atoms)).collect()}
+    for limit in (256, 20):
+        found = rowwise.with_fingerprint(df, row_atoms=limit)
+        assert {r.sid: r.set_bits for r in found.collect()} == {**long, 90: None, 91: None}
+    chosen = rowwise.with_fingerprint(df, where=F.col("sid") < 2)
+    assert {r.sid for r in chosen.filter("set_bits is not null").collect()} == {0, 1}
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
