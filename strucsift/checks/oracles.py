@@ -456,6 +456,10 @@ ORACLES["attach_sidecar"] = f"""
 SELECT s.sid, s.frame_number, {r("CASE WHEN raw_database_name = 'oc20_s2ef' THEN info_energy / 2.0 ELSE 0.0 END")} AS ref_energy,
        CASE WHEN raw_database_name = 'oc20_s2ef' THEN concat('random', cast(custkey AS varchar)) END AS oc_sid FROM V_structures s"""
 
+ORACLES["attach_sidecar_strict"] = f"""
+SELECT t.sid, {r('s.ref_energy')} AS ref_energy, s.oc_sid FROM V_structures t LEFT JOIN V_sidecar s
+ON t.database_name = s.database_name AND t.split_name = s.split_name AND t.source_file_name = s.source_file_name AND t.frame_idx = s.frame_idx
+WHERE t.database_name = 'oc20-s2ef' AND t.source_file_name IN (SELECT source_file_name FROM V_sidecar)"""
 ORACLES["describe_stats"] = _describe("SELECT * FROM V_query_db", STATISTICS, ["has_h"])
 
 

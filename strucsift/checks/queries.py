@@ -639,6 +639,16 @@ def attach_sidecar(fx):
         "sid", "frame_number", "ref_energy", "oc_sid")
 
 
+@query
+def attach_sidecar_strict(fx):
+    on = ["database_name", "split_name", "source_file_name", "frame_idx"]
+    shards = fx.sidecar.select("source_file_name").distinct()
+    rows = fx.structures.filter("database_name = 'oc20-s2ef'").join(shards, "source_file_name", "left_semi")
+    known = sidecar.resolve_sids(fx.sidecar, fx.sidecar.select("oc_sid").distinct(), strict=True)
+    found = sidecar.attach_sidecar(rows.select("sid", *on), known, ["ref_energy", "oc_sid"], on, strict=True)
+    return found.select("sid", "ref_energy", "oc_sid")
+
+
 # --- statistics ------------------------------------------------------------------------------
 
 @query

@@ -91,8 +91,9 @@ def derive_frames(frames: DataFrame, fmt: str, database_name: str, split_name: s
                   matches: DataFrame | None = None) -> DataFrame:
     """Rows of the query table from frames of a format (path, frame_idx, numbers, positions, ...).
 
-    ``sidecar`` (source_file_name, frame_idx, ...) gives columns that replace metadata of the same name.
-    With ``strict`` a mapped field that a structure lacks fails the job and names those it has.
+    ``sidecar`` (source_file_name, frame_idx, ...; see ``catalyst_sidecar``) gives columns that replace
+    metadata of the same name. With ``strict`` a mapped field that a structure lacks fails the job and
+    names those it has, and so does a file without a sidecar.
     """
     stem = name if name is not None else file_stem(F.col("path"), format_of(fmt).extension)
     landed = cut_lineage(land(frames, database_name, split_name, stem), "landed")
@@ -100,12 +101,22 @@ def derive_frames(frames: DataFrame, fmt: str, database_name: str, split_name: s
     before = _format_columns(fmt)
     if sidecar is not None:
         extra = [c for c in sidecar.columns if c not in ("source_file_name", "frame_idx")]
-        before.append(lambda df: sidecars.attach_sidecar(df, sidecar, extra, ["source_file_name", "frame_idx"]))
+        before.append(lambda df: sidecars.attach_sidecar(
+            df, sidecar, extra, ["source_file_name", "frame_idx"], strict))
     return process_landed(
         landed, fmt, metadata, [*before, *transforms_for(fmt, atoms, landed.select("sid", "cell"))],
         strict=strict, graph=graph, atom_limit=atom_limit, skip_subsets=skip_subsets, matches=matches)
 
 
+def catalyst_sidecar(spark: SparkSession, path: str, mapping: DataFrame, strict: bool = True) -> DataFrame:
+    """The compressed sidecars below ``path`` with the columns of ``mapping`` (oc_sid, ...), for ``derive_frames``.
+
+    With ``strict`` a sid that the mapping lacks fails the job; else its row has the sidecar's columns only.
+    """
+    rows = sidecars.resolve_sids(sidecars.read_sidecar_xz(spark, path), mapping, strict)
+    return rows.withColumn("source_file_name", file_stem(F.col("path"), "txt.xz")).drop("path", "known")
+
+
 def process_files(spark: SparkSession, path: str, fmt: str, table: str, database_name: str, split_name: str,
                   check_keys: bool = True, glob: str | None = None, **options) -> None:
     """Process the files of one source below ``path`` into the table at ``table`` and register the source.

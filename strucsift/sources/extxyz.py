@@ -257,7 +257,8 @@ def _inflated(content: bytes) -> Iterator[bytes]:
         raise EOFError("the last xz stream is cut off")
 
 
-def _decoded_lines(content: bytes) -> Iterator[str]:
+def decoded_lines(content: bytes) -> Iterator[str]:
+    """The lines of xz streams, decoded block by block."""
     rest = b""
     for block in _inflated(content):
         head, *others = (rest + block).split(b"\n")
@@ -276,7 +277,7 @@ def _parse_compressed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             made = []
-            pieces = _assemble(_decoded_lines(bytes(content)))
+            pieces = _assemble(decoded_lines(bytes(content)))
             frames = (lines for lines in pieces if any(map(str.strip, lines)))
             for frame_idx, lines in enumerate(frames):
                 made.append(_record(path, frame_idx, lines))

@@ -5,8 +5,8 @@ A line belongs to the frame at the same place in the structure file of the same
 
 from __future__ import annotations
 
-import lzma
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from strucsift.operators.ranking import rank_within
 from strucsift.session import ship_package
+from strucsift.sources.extxyz import decoded_lines
 
+# Lines of a compressed sidecar that are held at once.
+PART_LINES = 100_000
 SIDECAR_SCHEMA = "oc_sid string, frame_number string, ref_energy double"
 
 
@@ -56,22 +59,34 @@ def read_sidecar(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFra
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            lines = [t for t in lzma.decompress(bytes(content)).decode().splitlines() if t.strip()]
-            yield pd.DataFrame({"path": path, "frame_idx": range(len(lines)), "value": lines})
+            lines, first = (t for t in decoded_lines(bytes(content)) if t.strip()), 0
+            while part := list(islice(lines, PART_LINES)):
+                yield pd.DataFrame({"path": path, "frame_idx": range(first, first + len(part)), "value": part})
+                first += len(part)
 
 
 def read_sidecar_xz(spark: SparkSession, path: str, glob: str = "*.txt.xz") -> DataFrame:
-    """All compressed sidecar files below ``path``, one task per file."""
+    """All compressed sidecar files below ``path``, one task per file, decoded as a stream."""
     ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     lines = files.select("path", "content").mapInPandas(_decode, "path string, frame_idx bigint, value string")
     return lines.select("path", "frame_idx", *_fields(F.col("value")))
 
 
-def resolve_sids(sidecar: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Sidecar rows with the mapping's columns and ``known``, false where the sid is not mapped."""
+def resolve_sids(sidecar: DataFrame, mapping: DataFrame, strict: bool = False) -> DataFrame:
+    """Sidecar rows with the mapping's columns and ``known``, false where the sid is not mapped.
+
+    With ``strict`` such a row fails the job that reads it, naming the sid and, if the sidecar has its
+    ``path``, the file. That needs no look at the data beforehand.
+    """
     marked = mapping.withColumn("known", F.lit(True))
-    return sidecar.join(marked, "oc_sid", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    rows = sidecar.join(marked, "oc_sid", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    if not strict:
+        return rows
+    where = F.coalesce(F.col("path"), F.lit("a sidecar")) if "path" in sidecar.columns else F.lit("a sidecar")
+    problem = F.concat(F.lit("sid "), F.coalesce("oc_sid", F.lit("null")), F.lit(" of "), where, F.lit(" is not in the mapping"))
+    # As a filter, the check stays when its columns are not read.
+    return rows.filter(F.when(~F.col("known"), F.raise_error(problem).cast("boolean")).otherwise(F.lit(True)))
 
 
 def unknown_sids(sidecar: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -80,17 +95,24 @@ def unknown_sids(sidecar: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def attach_sidecar(structures: DataFrame, sidecar: DataFrame, columns: list[str],
-                   on: list[str]) -> DataFrame:
+                   on: list[str], strict: bool = False) -> DataFrame:
     """Overwrite structure columns by the sidecar's, frame by frame.
 
-    A frame without a sidecar row keeps its own values.
+    A frame without a sidecar row keeps its own values. With ``strict`` a file without a sidecar fails the
+    job that reads its first frame: ``on`` then ends with the number of the frame in its file, and a
+    sidecar numbers its lines from 0, so that frame 0 lacks a row only where the sidecar is absent or empty.
     """
-    extra = sidecar.select(*on, *[F.col(c).alias(f"__{c}") for c in columns])
+    extra = sidecar.select(*on, F.lit(True).alias("__met"), *[F.col(c).alias(f"__{c}") for c in columns])
     joined = structures.join(extra, on, "left")
+    if strict:
+        file = F.concat_ws("/", *[F.col(c).cast("string") for c in on[:-1]])
+        absent = (F.col(on[-1]) == 0) & F.col("__met").isNull()
+        problem = F.raise_error(F.concat(F.lit("no sidecar for "), file)).cast("boolean")
+        joined = joined.filter(F.when(absent, problem).otherwise(F.lit(True)))
     return joined.withColumns({
         c: F.coalesce(F.col(f"__{c}"), F.col(c)) if c in structures.columns else F.col(f"__{c}")
         for c in columns
-    }).drop(*[f"__{c}" for c in columns])
+    }).drop("__met", *[f"__{c}" for c in columns])
 
 
 def files_without_sidecar(structures: DataFrame, sidecar: DataFrame, file_columns: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strucsift.session import cut_lineage
+from strucsift.sources import keyindex
 
 Writer = Callable[[DataFrame, str], None]
 
@@ -38,16 +39,26 @@ def _append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def append(incoming: DataFrame, path: str, check_keys: bool = True, writer: Writer = _append) -> None:
+def append(incoming: DataFrame, path: str, check_keys: bool = True, writer: Writer = _append,
+           indexed: bool = False) -> None:
     """Append to the table at ``path``; any key that is there already rejects the whole batch.
 
-    The batch is made once, into a scratch table, and checked there. An empty one writes nothing.
+    The batch is made once, into a scratch table, and checked there. An empty one writes nothing. With
+    ``indexed`` the keys are looked up in the table's key index (``keyindex``) in place of the table,
+    and a null key rejects the batch too.
     """
     spark = incoming.sparkSession
     incoming = cut_lineage(incoming, "incoming")
     if incoming.isEmpty():
         return
-    if check_keys:
+    if check_keys and indexed:
+        if not incoming.filter(F.col("entry_key").isNull()).isEmpty():
+            raise ValueError("rows without an entry key")
+        keyindex.refresh(spark, path)
+        known = keyindex.known_keys(incoming, path)
+        if known is not None and not colliding_keys(incoming, known).isEmpty():
+            raise KeyCollisionError(f"some keys are already in {path}")
+    elif check_keys:
         try:
             existing = spark.read.schema("entry_key string").parquet(path)
         except AnalysisException as error:

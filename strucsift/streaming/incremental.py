@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strucsift.session import cut_lineage
+from strucsift.sources import keyindex
 from strucsift.sources.store import new_rows
 
 
@@ -17,16 +19,16 @@ def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, ta
 
     The stream's checkpoint remembers the files. A batch that is run again after a failure
     appends nothing twice, because keys already in the table are left out; a key that repeats
-    inside a batch is kept once.
+    inside a batch is kept once, and a row without a key fails the batch. Keys are looked up in the
+    table's key index, of which a batch reads the partitions of its own files only.
     """
     def write(batch: DataFrame, _batch_id: int) -> None:
-        fresh = derive(batch).dropDuplicates(["entry_key"])
-        try:
-            fresh = new_rows(fresh, batch.sparkSession.read.schema("entry_key string").parquet(table))
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
-                raise
-        fresh.write.mode("append").parquet(table)
+        no_key = F.raise_error(F.lit("rows without an entry key")).cast("string")
+        keyed = derive(batch).withColumn("entry_key", F.coalesce("entry_key", no_key))
+        fresh = cut_lineage(keyed.dropDuplicates(["entry_key"]), "batch")
+        keyindex.refresh(batch.sparkSession, table)
+        known = keyindex.known_keys(fresh, table)
+        (fresh if known is None else new_rows(fresh, known)).write.mode("append").parquet(table)
 
     query = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)

@@ -9,8 +9,9 @@ from strucsift.checks.fixtures import Fixtures
 from strucsift.functions import keys
 from strucsift.operators import atoms as atom_ops
 from strucsift.plans import export
-from strucsift.sources import extxyz, sidecar, store
+from strucsift.sources import extxyz, keyindex, sidecar, store
 from strucsift.sources.landing import number_frames
+from strucsift.streaming import incremental
 
 FRAME = """3
 Properties=species:S:1:pos:R:3:forces:R:3 conf_idx={i} config_type="My Set" total_charge=0 energy=-32.5{i} Lattice="5 0 0 0 5 0 0 0 5" pbc=[False, False, True]
@@ -158,3 +159,62 @@ def test_empty_key_set_leaves_nothing_behind(spark, tmp_path):
         with pytest.raises(ValueError):
             store.save_keys(none, str(tmp_path / "keys"))
     assert not (tmp_path / "keys").exists()
+
+
+def test_strict_sidecars(spark, tmp_path):
+    lines = "sid_0,frame0,-1.5\nsid_1,frame1,-2.5\n"
+    (tmp_path / "a.txt.xz").write_bytes(lzma.compress(lines.encode()))
+    mapping = spark.createDataFrame([("sid_0", 1)], "oc_sid string, bulk_id int")
+    rows = sidecar.read_sidecar_xz(spark, str(tmp_path))
+    assert {(r.oc_sid, r.known) for r in sidecar.resolve_sids(rows, mapping).collect()} == {("sid_0", True), ("sid_1", False)}
+    # The check stays although only another column is read.
+    with pytest.raises(Exception, match=r"sid sid_1 of .*a\.txt\.xz is not in the mapping"):
+        sidecar.resolve_sids(rows, mapping, strict=True).select("ref_energy").collect()
+    frames = spark.createDataFrame([("a", 0, 9.0), ("a", 1, 9.0), ("a", 2, 9.0), ("b", 0, 9.0)], "file string, frame_idx bigint, ref_energy double")
+    extra = rows.withColumn("file", F.lit("a"))
+    attach = lambda df, strict: {
+        (r.file, r.frame_idx): r.ref_energy
+        for r in sidecar.attach_sidecar(df, extra, ["ref_energy"], ["file", "frame_idx"], strict).collect()}
+    assert attach(frames, False) == {("a", 0): -1.5, ("a", 1): -2.5, ("a", 2): 9.0, ("b", 0): 9.0}
+    assert attach(frames.filter("file = 'a'"), True) == {("a", 0): -1.5, ("a", 1): -2.5, ("a", 2): 9.0}
+    with pytest.raises(Exception, match="no sidecar for b"):
+        attach(frames, True)
+
+
+def test_key_index_reads_the_partitions_of_a_batch(spark, tmp_path):
+    table = str(tmp_path / "table")
+    keyed = lambda *names: spark.createDataFrame(
+        [(f"db_s_{n}_{i}", i) for n in names for i in range(20)], "entry_key string, v bigint")
+    store.append(keyed("f1", "f2", "f3"), table, indexed=True)
+    store.append(keyed("f4"), table, indexed=True)
+    # Rows that were written without the index are found as well.
+    keyed("f5").write.mode("append").parquet(table)
+    for taken in ("f1", "f5"):
+        with pytest.raises(store.KeyCollisionError):
+            store.append(keyed("f6", taken), table, indexed=True)
+    with pytest.raises(ValueError, match="without an entry key"):
+        store.append(spark.createDataFrame([(None, 1)], "entry_key string, v bigint"), table, indexed=True)
+    assert spark.read.parquet(table).count() == 100
+    assert keyindex.refresh(spark, table) == 0
+    found = keyindex.known_keys(keyed("f2"), table)
+    assert {r.entry_key for r in found.collect()} >= {f"db_s_f2_{i}" for i in range(20)} and found.count() < 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(prefix" in plan
+    assert len(found.inputFiles()) > 0 and all("prefix=" in f for f in found.inputFiles())
+    # A key that names no frame has a partition of its own.
+    assert keyindex.known_keys(spark.createDataFrame([("odd",), (None,)], "entry_key string"), table).count() == 0
+
+
+def test_incremental_ingest_rejects_rows_without_a_key(spark, tmp_path):
+    landing, table, mark = (str(tmp_path / n) for n in ("landing", "table", "mark"))
+    rows = spark.createDataFrame([("a_b_f_0", 1), ("a_b_f_1", 2), ("a_b_f_1", 2)], "entry_key string, v bigint")
+    rows.coalesce(1).write.parquet(landing)
+    run = lambda m: incremental.ingest_new_files(spark, landing, rows.schema, table, m, lambda df: df)
+    run(mark)
+    # A lost checkpoint delivers all files again.
+    run(mark + "2")
+    assert spark.read.parquet(table).count() == 2
+    spark.createDataFrame([(None, 3)], rows.schema).write.mode("append").parquet(landing)
+    with pytest.raises(Exception, match="without an entry key"):
+        run(mark)
+    assert spark.read.parquet(table).count() == 2
