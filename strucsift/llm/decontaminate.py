@@ -221,10 +221,11 @@ def remove(docs: DataFrame, benchmark: DataFrame, spans: bool = False, window: i
         gone = cut_lineage(found.filter("__out").select("doc_id", ROW_HASH).distinct(), "contaminated")
         return without_rows(docs, gone).select(*own)
     hit = found.filter(F.size("span_start") > 0).select(
-        F.col("doc_id").alias("__id"), F.col(ROW_HASH).alias("__hash"), "span_start", "span_end").dropDuplicates(["__id", "__hash"])
+        F.col("doc_id").alias("__id"), F.col(ROW_HASH).alias("__hash"), F.col("span_start").alias("__from"),
+        F.col("span_end").alias("__to")).dropDuplicates(["__id", "__hash"])
     # The text between the end of one span and the start of the next.
-    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.col("span_end"))
-    ends = F.concat(F.col("span_start"), F.array(F.char_length("text").cast("bigint")))
+    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.col("__to"))
+    ends = F.concat(F.col("__from"), F.array(F.char_length("text").cast("bigint")))
     rest = F.array_join(F.zip_with(starts, ends, lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), (b - a).cast("int"))), "")
     return docs.join(hit, same_row("__id", "__hash"), "left").withColumn(
-        "text", F.when(F.col("span_start").isNull(), F.col("text")).otherwise(rest)).select(*own)
+        "text", F.when(F.col("__from").isNull(), F.col("text")).otherwise(rest)).select(*own)

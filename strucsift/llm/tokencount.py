@@ -6,11 +6,13 @@ a piece, and for each place among them the last piece before it and its count re
 transition is annotated with the number of pieces it adds (a merge takes some back, so that it may
 be negative). States and transitions are made when a text first needs them.
 
-Where no piece can span (before a space that follows another letter, around line breaks and tabs)
-the state map of what follows is constant: it starts anew whatever came before. A text is cut there
-into chunks, whose maps compose by adding their counts in a prefix sum over all chunks of a batch.
-Maps of slices cut anywhere compose as well (``StateMap``); one that never reaches such a place
-keeps its letters until it is composed with what stands before it.
+Between two letters that stand side by side in no piece, nothing can merge: the state map of what
+follows is constant, it starts anew whatever came before. So it is before a space that follows another
+letter, and around line breaks and tabs. A text is cut there into chunks, whose maps compose by adding
+their counts in a prefix sum over all chunks of a batch. A longer chunk (a script without spaces, a text
+with the model's own mark) is cut into slices of ``SLICE`` letters anywhere; their maps (``StateMap``)
+compose in pairs, level by level. A slice in which all neighbours may merge keeps its letters until
+it is composed with what stands before it.
 
 Defined results: a null or empty text has no tokens and no bytes. Repeated rows are counted each
 by itself. Other columns are ignored.
@@ -39,6 +41,8 @@ MARK = "▁"
 # Bounds of what a worker compiles; beyond them it starts anew.
 MOST_TRANSITIONS = 1_000_000
 MOST_PAIRS = 1_000_000
+# Letters up to which a chunk is one slice.
+SLICE = 4_096
 # White space that no piece holds together with other letters (carriage returns do occur in pieces).
 SPACES = " \t\n\v\f"
 CHUNK = weights(lambda b: chr(b) not in SPACES, fold_case=False)
@@ -57,6 +61,8 @@ class Transducer:
         self.score = {model.id_to_piece(i): model.get_score(i) for i in range(n) if not odd[i]}
         pieces = [p for p in self.score if len(p) > 1]
         self.prefixes = {p[:k] for p in pieces for k in range(1, len(p))}
+        # Neighbours within a piece; nothing merges across any others.
+        self.together = {p[k:k + 2] for p in pieces for k in range(len(p) - 1)}
         if any(MARK in p.lstrip(MARK) or any(s in p for s in SPACES) for p in pieces) or not any(map(model.is_byte, range(n))):
             raise ValueError(f"{path}: pieces span white space, or there are none for bytes")
         self.pairs: dict[tuple, bool] = {}
@@ -142,7 +148,8 @@ class Transducer:
 @dataclass(frozen=True)
 class StateMap:
     """How a slice of a text maps states: ``head`` is read from the state before it; behind it,
-    if ``closed``, ``count`` tokens and the letters ``tail`` from the first state on."""
+    if ``closed``, ``count`` tokens and the letters ``tail`` from the first state on. Within head and
+    tail any neighbours may merge."""
 
     head: str
     closed: bool = False
@@ -151,7 +158,8 @@ class StateMap:
 
 
 def slice_map(transducer: Transducer, letters: str) -> StateMap:
-    cuts = [i for i in range(1, len(letters)) if letters[i] == MARK and letters[i - 1] != MARK]
+    together = transducer.together
+    cuts = [i for i, (a, b) in enumerate(zip(letters, letters[1:]), 1) if a + b not in together]
     if not cuts:
         return StateMap(letters)
     inner = letters[cuts[0]:cuts[-1]]
@@ -159,22 +167,21 @@ def slice_map(transducer: Transducer, letters: str) -> StateMap:
 
 
 def compose(transducer: Transducer, first: StateMap, second: StateMap) -> StateMap:
-    """The map of two adjacent slices; associative."""
-    if first.closed and second.closed:
-        middle = slice_map(transducer, first.tail + second.head)
-        between = transducer.count(middle.head) + (middle.count + transducer.count(middle.tail) if middle.closed else 0)
-        return StateMap(first.head, True, first.count + between + second.count, second.tail)
-    if first.closed:
-        joined = slice_map(transducer, first.tail + second.head)
-        if not joined.closed:
-            return StateMap(first.head, True, first.count, joined.head)
-        return StateMap(first.head, True, first.count + transducer.count(joined.head) + joined.count, joined.tail)
-    joined = slice_map(transducer, first.head + second.head)
+    """The map of two adjacent slices; associative. Only their border is looked at."""
+    if not first.head or not second.head:
+        return second if not first.head else first
+    before, behind = first.tail if first.closed else first.head, second.head
+    if before[-1] + behind[0] in transducer.together:
+        if not first.closed:
+            return StateMap(before + behind, second.closed, second.count, second.tail)
+        if not second.closed:
+            return StateMap(first.head, True, first.count, before + behind)
+        return StateMap(first.head, True, first.count + transducer.count(before + behind) + second.count, second.tail)
+    # What is complete on either side of the border is counted.
+    total = (first.count + transducer.count(before) if first.closed else 0)
     if not second.closed:
-        return joined
-    if not joined.closed:
-        return StateMap(joined.head, True, second.count, second.tail)
-    return StateMap(joined.head, True, joined.count + transducer.count(joined.tail) + second.count, second.tail)
+        return StateMap(first.head, True, total, behind)
+    return StateMap(first.head, True, total + transducer.count(behind) + second.count, second.tail)
 
 
 def count_slices(transducer: Transducer, slices: list[str]) -> int:
@@ -188,6 +195,13 @@ def count_slices(transducer: Transducer, slices: list[str]) -> int:
     return transducer.count(last.head) + (last.count + transducer.count(last.tail) if last.closed else 0)
 
 
+def count_letters(transducer: Transducer, letters: str) -> int:
+    """Tokens of letters that start where the state is the first, long ones in slices."""
+    if len(letters) <= SLICE:
+        return transducer.count(letters)
+    return count_slices(transducer, [letters[i:i + SLICE] for i in range(0, len(letters), SLICE)])
+
+
 @functools.lru_cache(maxsize=2)
 def compiled(path: str) -> tuple[Transducer, Memory]:
     return Transducer(path), Memory()
@@ -222,7 +236,7 @@ def count_batch(column: pa.Array, transducer: Transducer, memory: Memory) -> np.
         out = []
         for i in places.tolist():
             own = b" " * bool(first[i]) + data[before[i]:words.start[i]]
-            out.append([transducer.count(spelled(own, data[words.start[i]:ends[i]]))])
+            out.append([count_letters(transducer, spelled(own, data[words.start[i]:ends[i]]))])
         return out
 
     slots = memory.lookup(key, compute)
@@ -234,10 +248,10 @@ def count_batch(column: pa.Array, transducer: Transducer, memory: Memory) -> np.
     last[filled] = ends[words.first[filled + 1] - 1]
     for i in np.flatnonzero(last < edges[1:]).tolist():
         rest = b" " * bool(words.count[i] == 0) + data[last[i]:edges[i + 1]]
-        counts[i] += transducer.count(spelled(rest, b""))
-    # A text with the mark itself, which the model takes for a space, is read as one chunk.
+        counts[i] += count_letters(transducer, spelled(rest, b""))
+    # A text with the mark itself, which the model takes for a space, is one chunk.
     for i in np.flatnonzero(pc.match_substring(column.fill_null(""), MARK).to_numpy(zero_copy_only=False)).tolist():
-        counts[i] = transducer.count(spelled(b" ", data[edges[i]:edges[i + 1]]))
+        counts[i] = count_letters(transducer, spelled(b" ", data[edges[i]:edges[i + 1]]))
     return counts
 
 

@@ -243,6 +243,21 @@ def test_state_maps_compose(spark):
         assert ab_c == a_bc
 
 
+def test_long_chunks_are_composed(monkeypatch):
+    path = public_tokenizers.path(tokencount.VOCABULARY)
+    transducer, memory = tokencount.compiled(path)
+    library, rnd, composed = SentencePieceProcessor(model_file=path), random.Random(5), []
+    plain = tokencount.compose
+    monkeypatch.setattr(tokencount, "compose", lambda *maps: composed.append(1) or plain(*maps))
+    words = ["straße", "internation", "数据", "処理する", "Σύνολο", "👍", "данные", "xqz", "a", "\r", "don't"]
+    unspaced = "".join(rnd.choice(words) for _ in range(200_000))
+    texts = [unspaced, "ab" * 50_000, "▁".join(rnd.choice(words) for _ in range(3_000)), "数" * 5_000 + " tail", " " * 9_000 + "x", "short", None]
+    assert len(unspaced.encode()) > 1_000_000
+    counts = tokencount.count_batch(pa.array(texts), transducer, memory)
+    assert counts.tolist() == [len(library.encode(t)) if t else 0 for t in texts]
+    assert len(composed) > len(unspaced) // tokencount.SLICE
+
+
 def test_transducer_starts_anew_when_full(monkeypatch):
     monkeypatch.setattr(tokencount, "MOST_TRANSITIONS", 50)
     monkeypatch.setattr(tokencount, "MOST_PAIRS", 50)
@@ -395,6 +410,11 @@ def test_decontamination_removes_spans_or_documents(spark):
     assert {r.doc_id for r in decontaminate.remove(docs, items).collect()} == {2, 3, 4}
     cut = {r.doc_id: r.text for r in decontaminate.remove(docs, items, spans=True).collect()}
     assert cut == {1: "Ünd, ! end", 2: "fine", 3: None, 4: " " + "word " * 400}
+    # Columns of the same names as the operator's own come through.
+    named = docs.withColumns({"span_start": F.lit("s"), "span_end": F.lit(7)})
+    for spans in (False, True):
+        kept = decontaminate.remove(named, items, spans=spans)
+        assert kept.columns == named.columns and {(r.span_start, r.span_end) for r in kept.collect()} == {("s", 7)}
     assert decontaminate.scan(docs, items.limit(0)).filter("n_hit > 0").count() == 0
     assert decontaminate.scan(docs.limit(0), items).count() == 0
 
