@@ -10,6 +10,7 @@ from strucsift.functions.vectors import (
     Vector, cell_of, cross, dot, norm, surface_normal, z_axis,
 )
 from strucsift.operators.geometry import bond_radius, close_pairs, structure_valid
+from strucsift.session import cut_lineage
 
 SURFACE, ADSORBATE = 1, 2
 SLAB_TAGS = [0, 1]
@@ -173,12 +174,15 @@ def nearby_surface(atoms: DataFrame) -> DataFrame:
 
 
 def adsorbate_structure_valid(atoms: DataFrame) -> DataFrame:
-    """Structure validity of the adsorbate together with the surface atoms it touches."""
+    """Structure validity of the adsorbate together with the surface atoms it touches.
+
+    The atoms that are judged are written once, as they follow from a search of their own.
+    """
     touched = nearby_surface(atoms).withColumn("touched", F.lit(True))
     kept = (
         atoms.join(touched, ["sid", "idx"], "left")
         .filter((F.col("tag") == ADSORBATE) | F.col("touched"))
         .drop("touched")
     )
-    return structure_valid(kept).withColumnRenamed(
+    return structure_valid(cut_lineage(kept, "touched")).withColumnRenamed(
         "is_molecular_structure_valid", "adsorbate_structure_valid")

@@ -3,6 +3,8 @@
 Structures above ``GRID_ABOVE`` atoms are cut into cubic cells no smaller than their largest
 cutoff, and an atom meets only the atoms of the 27 cells around it. Smaller structures are
 one cell. The join key is (structure, cell), so a huge structure spreads over many tasks.
+Where all points stand on both sides each pair is met once, over a cell and the 13 cells ahead of it.
+Placed points are written once and everything that follows reads that table.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ CROWD_SIDE = 2 * BOND_SCALE * min(elements.COVALENT_RADII) / 3 ** 0.5
 _AXES = "xyz"
 _CELL = ["cx", "cy", "cz"]
 _AROUND = list(product((-1, 0, 1), repeat=3))
+# A cell and those ahead of it: of two cells side by side each is ahead of the other in one direction only.
+_AHEAD = [offset for offset in _AROUND if offset >= (0, 0, 0)]
 
 
 def bond_radius(scale: float = BOND_SCALE) -> Column:
@@ -60,15 +64,20 @@ def _with_cells(points: DataFrame, radius: Column) -> DataFrame:
     return sized.join(large, "sid", "left").withColumns(cells)
 
 
-def _reach(points: DataFrame) -> DataFrame:
-    """Repeat each point for every cell in which it can have a neighbour."""
-    here = F.array(F.struct(*[F.lit(0).alias(c) for c in _CELL]))
-    around = F.array(*[
-        F.struct(*[F.lit(d).alias(c) for c, d in zip(_CELL, offset)]) for offset in _AROUND
-    ])
-    shift = F.explode(F.when(F.col("side").isNull(), here).otherwise(around))
-    return points.withColumn("shift", shift).withColumns(
-        {c: F.col(c) + F.col("shift")[c] for c in _CELL}).drop("shift")
+def _place(points: DataFrame, radius: Column) -> DataFrame:
+    """The points with their half-cutoff and cell, written once."""
+    return cut_lineage(_with_cells(points, radius), "placed")
+
+
+def _reach(points: DataFrame, offsets: list[tuple[int, int, int]]) -> DataFrame:
+    """Repeat each point for the cells at ``offsets``; ``home`` marks the copy in its own cell."""
+    def at(offset: tuple[int, int, int]) -> Column:
+        return F.struct(*[F.lit(d).alias(c) for c, d in zip(_CELL, offset)])
+
+    shift = F.explode(F.when(F.col("side").isNull(), F.array(at((0, 0, 0)))).otherwise(F.array(*map(at, offsets))))
+    return points.withColumn("shift", shift).withColumns({
+        "home": F.forall(F.array(*[F.col("shift")[c] for c in _CELL]), lambda d: d == 0),
+        **{c: F.col(c) + F.col("shift")[c] for c in _CELL}}).drop("shift")
 
 
 def close_pairs(points: DataFrame, radius: Column, left: Column, right: Column, carry: list[str]) -> DataFrame:
@@ -77,20 +86,27 @@ def close_pairs(points: DataFrame, radius: Column, left: Column, right: Column,
     ``left`` and ``right`` say which points may stand on each side. The result holds ``sid``,
     the carried columns as ``a_*`` and ``b_*``, and ``dist``.
     """
-    placed = _with_cells(points, radius)
+    placed = _place(points, radius)
     return _matched(placed.filter(left), placed.filter(right), carry)
 
 
-def _matched(left: DataFrame, right: DataFrame, carry: list[str]) -> DataFrame:
-    """The pairs of two frames that :func:`_with_cells` has placed."""
-    fields = list(dict.fromkeys([*carry, "px", "py", "pz", "r"]))
+def _matched(left: DataFrame, right: DataFrame, carry: list[str], once: list[str] | None = None) -> DataFrame:
+    """The pairs of two frames that :func:`_with_cells` has placed.
+
+    With ``once``, columns that tell the points of a structure apart, both frames are the same one and
+    every pair of different points is given in one order only.
+    """
+    fields = list(dict.fromkeys([*carry, *(once or []), "px", "py", "pz", "r"]))
     a = left.select("sid", *_CELL, *[F.col(c).alias(f"a_{c}") for c in fields])
-    b = _reach(right).select("sid", *_CELL, *[F.col(c).alias(f"b_{c}") for c in fields])
+    moved = _reach(right.withColumnsRenamed({c: f"b_{c}" for c in fields}), _AHEAD if once else _AROUND)
+    b = moved.select("sid", *_CELL, *[f"b_{c}" for c in fields], F.col("home").alias("b__home"))
+    met = a.join(b, ["sid", *_CELL])
+    if once:
+        first, second = (F.struct(*[F.col(f"{s}_{c}").alias(c) for c in once]) for s in "ab")
+        met = met.filter(~F.col("b__home") | (first < second))
     gap = [F.col(f"a_p{x}") - F.col(f"b_p{x}") for x in _AXES]
-    dist = F.round(norm(tuple(gap)), 9)
     return (
-        a.join(b, ["sid", *_CELL])
-        .withColumn("dist", dist)
+        met.withColumn("dist", F.round(norm(tuple(gap)), 9))
         .filter(F.col("dist") < F.round(F.col("a_r") + F.col("b_r"), 9))
         .select("sid", *[f"{s}_{c}" for c in carry for s in "ab"], "dist")
     )
@@ -98,11 +114,13 @@ def _matched(left: DataFrame, right: DataFrame, carry: list[str]) -> DataFrame:
 
 def neighbour_list(atoms: DataFrame, radius: Column | None = None) -> DataFrame:
     """Neighbour pairs ``i < j`` with both atomic numbers and the distance."""
-    radius = bond_radius() if radius is None else radius
-    placed = close_pairs(atoms, radius, F.lit(True), F.lit(True), ["idx", "z"])
-    return placed.filter("a_idx < b_idx").select(
-        "sid", F.col("a_idx").alias("i"), F.col("b_idx").alias("j"),
-        F.col("a_z").alias("zi"), F.col("b_z").alias("zj"), "dist")
+    placed = _place(atoms, bond_radius() if radius is None else radius)
+    pairs = _matched(placed, placed, ["idx", "z"], once=["idx"])
+    forward = F.col("a_idx") < F.col("b_idx")
+    return pairs.select(
+        "sid", F.least("a_idx", "b_idx").alias("i"), F.greatest("a_idx", "b_idx").alias("j"),
+        F.when(forward, F.col("a_z")).otherwise(F.col("b_z")).alias("zi"),
+        F.when(forward, F.col("b_z")).otherwise(F.col("a_z")).alias("zj"), "dist")
 
 
 def periodic_neighbour_list(atoms: DataFrame, cells: DataFrame, radius: Column | None = None) -> DataFrame:
@@ -164,13 +182,16 @@ def coordination(atoms: DataFrame, radius: Column | None = None) -> DataFrame:
     """
     radius = bond_radius() if radius is None else radius
     site = ["sid", "z", "px", "py", "pz"]
-    sites = atoms.groupBy(*site).agg(F.count(F.lit(1)).alias("n"))
-    pairs = close_pairs(sites, radius, F.lit(True), F.lit(True), ["z", "px", "py", "pz", "n"])
-    met = pairs.groupBy("sid", *[f"a_{c}" for c in site[1:]], "a_n").agg((F.sum("b_n") - 1).alias("degree"))
+    placed = _place(atoms.groupBy(*site).agg(F.count(F.lit(1)).alias("n")), radius)
+    pairs = _matched(placed, placed, [*site[1:], "n"], once=site[1:])
+
+    def end(own: str, other: str) -> Column:
+        return F.struct(*[F.col(f"{own}_{c}").alias(c) for c in (*site[1:], "n")], F.col(f"{other}_n").alias("met"))
+
+    both = pairs.select("sid", F.explode(F.array(end("a", "b"), end("b", "a"))).alias("e")).select("sid", "e.*")
     # An atom of an unknown element has no cutoff and so meets nobody, itself included.
-    counted = met.select("sid", *[F.col(f"a_{c}").alias(c) for c in site[1:]], F.col("a_n").alias("n"), "degree")
-    unknown = sites.filter(radius.isNull()).withColumn("degree", F.lit(0).cast("bigint"))
-    return counted.unionByName(unknown)
+    alone = placed.select(*site, "n", F.when(F.col("r").isNull(), F.lit(0)).otherwise(F.col("n") - 1).cast("bigint").alias("met"))
+    return both.unionByName(alone).groupBy(*site, "n").agg(F.sum("met").alias("degree"))
 
 
 def _contacts(atoms: DataFrame) -> DataFrame:
@@ -183,22 +204,25 @@ def _contacts(atoms: DataFrame) -> DataFrame:
     site = ["sid", "z", "px", "py", "pz"]
     sites = atoms.groupBy(*site).agg(F.count(F.lit(1)).alias("n"))
     fine = {f"g{a}": F.floor(F.col(f"p{a}") / CROWD_SIDE) for a in _AXES}
-    placed = _with_cells(sites, bond_radius()).withColumns(fine)
-    crowds = (
-        placed.filter(F.col("side").isNotNull() & F.col("r").isNotNull())
-        .groupBy("sid", *fine).agg(F.sum("n").alias("crowd")).filter("crowd > 2")
-    )
-    judged = placed.join(crowds, ["sid", *fine], "left")
-    crowded = F.col("crowd").isNotNull() & F.col("r").isNotNull()
-    settled = judged.filter(crowded).select("sid", "z", "n", (F.col("crowd") - 1).alias("degree"))
+    judged = placed = cut_lineage(_with_cells(sites, bond_radius()).withColumns(fine), "placed")
+    known, in_grid = F.col("r").isNotNull(), placed.filter(F.col("side").isNotNull() & F.col("r").isNotNull())
+    if in_grid.isEmpty():
+        settled = None
+    else:
+        crowds = in_grid.groupBy("sid", *fine).agg(F.sum("n").alias("crowd")).filter("crowd > 2")
+        judged = cut_lineage(placed.join(crowds, ["sid", *fine], "left"), "judged")
+        crowded = F.col("crowd").isNotNull() & known
+        settled = judged.filter(crowded).select("sid", "z", "n", (F.col("crowd") - 1).alias("degree"))
+        judged = judged.filter(~crowded)
     met = (
-        _matched(judged.filter(~crowded), placed, ["z", "px", "py", "pz", "n"])
+        _matched(judged, placed, ["z", "px", "py", "pz", "n"])
         .groupBy("sid", *[f"a_{c}" for c in site[1:]], "a_n").agg((F.sum("b_n") - 1).alias("degree"))
         .select("sid", F.col("a_z").alias("z"), F.col("a_n").alias("n"), "degree")
     )
     # An atom of an unknown element has no cutoff and so meets nobody, itself included.
-    unknown = sites.filter(bond_radius().isNull()).select("sid", "z", "n", F.lit(0).cast("bigint").alias("degree"))
-    return settled.unionByName(met).unionByName(unknown)
+    unknown = placed.filter(~known).select("sid", "z", "n", F.lit(0).cast("bigint").alias("degree"))
+    counted = met.unionByName(unknown)
+    return counted if settled is None else counted.unionByName(settled)
 
 
 def has_images(pbc: bool = True) -> Column:

@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -694,3 +695,63 @@ def test_row_fingerprint_is_the_long_one(spark):
     assert {r.sid for r in chosen.filter("set_bits is not null").collect()} == {0, 1}
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_describe_reads_its_table_twice_and_is_exact(spark, tmp_path):
+    """Every width of bracket, ties, nulls, NaN, a boolean and a skewed label against plain ranks."""
+    draw = np.random.default_rng(3)
+    sizes = {"tiny": 7, "few": 900, "some": 9_000, "many": 30_000, "most": 230_000}
+    frame = pd.concat([pd.DataFrame({
+        "label": name, "x": draw.normal(size=n), "ties": draw.integers(0, 4, n), "flag": draw.random(n) < 0.3,
+        "holes": np.where(draw.random(n) < 0.5, None, draw.random(n))}) for name, n in sizes.items()])
+    spark.createDataFrame(frame, "label string, x double, ties bigint, flag boolean, holes double").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    columns = ["x", "ties", "flag", "holes"]
+    got = {(r.label, r.column): r for r in stats.describe(df, columns, "label").collect()}
+    assert set(got) == {(name, c) for name in sizes for c in columns}
+    for (name, column), r in got.items():
+        values = frame[frame.label == name][column].dropna().astype(float).sort_values().to_numpy()
+        assert (r["count"], r.null_count) == (len(values), sizes[name] - len(values))
+        assert (r.min, r.max) == (values[0], values[-1]) and abs(r.mean - values.mean()) < 1e-9
+        expected = [None] * 3 if column == "flag" else [values[int(q * (len(values) - 1) + 0.5)] for q in (0.25, 0.5, 0.75)]
+        assert [r.p25, r.p50, r.p75] == expected, (name, column)
+    whole = {r.column: r for r in stats.describe(df, columns).collect()}
+    ordered = np.sort(frame.x.to_numpy())
+    assert whole["x"].p50 == ordered[int(0.5 * (len(ordered) - 1) + 0.5)]
+
+
+def test_describe_odd_tables(spark):
+    rows = [(1, 1.5, None, True), (2, float("nan"), None, None), (None, 2.5, None, False)]
+    df = spark.createDataFrame(rows, "n bigint, count double, nothing double, found boolean")
+    got = {r.column: r for r in stats.describe(df, df.columns).collect()}
+    assert [got["n"].p25, got["n"].p50, got["n"].p75] == [1, 2, 2]
+    assert got["nothing"]["count"] == 0 and got["nothing"].p50 is None and got["nothing"].null_count == 3
+    assert got["found"].std is None and got["found"].mean == 0.5 and got["count"].p50 == 2.5
+    assert stats.describe(df.filter("false"), df.columns).count() == 0
+    assert [r.column for r in stats.describe(df, ["found"]).collect()] == ["found"]
+
+
+def test_half_shell_meets_every_pair_once(spark, monkeypatch):
+    """Three sizes of grid against all pairs, on cell borders too."""
+    draw = np.random.default_rng(5)
+    places = np.concatenate([draw.random((150, 3)) * 9 - 4, np.stack(np.meshgrid(*[np.arange(-2.0, 3)] * 3), -1).reshape(-1, 3)])
+    rows = [(1, i, int(draw.choice([1, 6, 8, 0])), *map(float, p)) for i, p in enumerate(places)]
+    df = spark.createDataFrame(rows, "sid bigint, idx bigint, z int, px double, py double, pz double")
+    for radius in (geometry.bond_radius(), geometry.fixed_radius(1.0), geometry.fixed_radius(2.0)):
+        monkeypatch.setattr(geometry, "GRID_ABOVE", 10_000)
+        plain = geometry.neighbour_list(df, radius).collect()
+        monkeypatch.setattr(geometry, "GRID_ABOVE", 8)
+        found = geometry.neighbour_list(df, radius).collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, plain)) and len(plain) == len({(r.i, r.j) for r in plain}) > 0
+        assert all(r.i < r.j for r in found)
+
+
+def test_neighbour_plans_are_short(spark):
+    rows = [(1, i, 6, float(i), 0.0, 0.0, i % 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "sid bigint, idx bigint, z int, px double, py double, pz double, tag int")
+
+    def exchanges(found):
+        return found._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+    assert exchanges(geometry.neighbour_list(df)) <= 4
+    assert exchanges(catalyst.adsorbate_structure_valid(df)) <= 20
