@@ -7,7 +7,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
-from strucsift.llm import quality
+from strucsift.llm import language, quality
 
 
 def lower(text):
@@ -148,3 +148,75 @@ def drop_lines(rows, ratio, least):
         kept = [x for x in every if not trim(x) or not bad(trim(x))]
         out[key] = "\n".join(kept), sum(bool(trim(x)) for x in every), len(every) - len(kept)
     return out
+
+
+def language_grams(text):
+    """Counts of (size, bucket) of all byte n-grams of a text, letters in lower case, other signs as spaces."""
+    plain = bytes(b + 32 if 0x41 <= b < 0x5B else b if 0x61 <= b < 0x7B or b >= 0x80 else 0x20 for b in (text or "").encode())
+    found = Counter()
+    for n in language.SIZES:
+        for gram, times in Counter(plain[i:i + n] for i in range(len(plain) - n + 1)).items():
+            code = int.from_bytes(gram, "little") * 0x9E3779B1 % 2**32
+            code ^= code >> 15
+            found[n, code * 0x85EBCA77 % 2**32 * language.BUCKETS >> 32] += times
+    return found
+
+
+def languages(training, texts):
+    """(language, score) of every text, learned from ``training`` (text, lang)."""
+    counts = defaultdict(Counter)
+    own = [(language_grams(text), lang) for text, lang in training if lang is not None]
+    for grams, lang in own:
+        counts[lang].update(grams)
+    names = sorted(counts)
+    code = language.codewords(len(names)).tolist()
+    bits = range(len(code[0]))
+    totals = {x: counts[x].total() + 0.5 for x in names}
+    known = {}
+
+    def weights(gram):
+        if gram not in known:
+            share = [(counts[x][gram] + 0.5) / totals[x] for x in names]
+            sides = [[[s for s, word in zip(share, code, strict=True) if word[j] * side > 0] for side in (1, -1)] for j in bits]
+            known[gram] = [math.log(sum(a) / len(a)) - math.log(sum(b) / len(b)) for a, b in sides]
+        return known[gram]
+
+    def margins(grams):
+        n = math.sqrt(max(1, grams.total()))
+        sums = [0.0 for _ in bits]
+        for gram, times in grams.items():
+            for j, w in enumerate(weights(gram)):
+                sums[j] += times * w
+        return [max(-30.0, min(30.0, s / n)) for s in sums]
+
+    trust = [[0.0 for _ in bits] for _ in names]
+    sizes = Counter(lang for _, lang in own)
+    for grams, lang in own:
+        i = names.index(lang)
+        for j, m in enumerate(margins(grams)):
+            trust[i][j] += (m * code[i][j] > 0) / sizes[lang]
+    trust = [[t / max(sum(row) / len(row), 1e-9) for t in row] for row in trust]
+    out = []
+    for text in texts:
+        if not any(map(str.isalpha, text or "")):
+            out.append(("und", 0.0))
+            continue
+        m = margins(language_grams(text))
+        far = [sum(t * math.log1p(math.exp(-x * c)) for t, x, c in zip(row, m, word, strict=True)) for row, word in zip(trust, code, strict=True)]
+        least = min(far)
+        out.append((names[far.index(least)], 1 / sum(math.exp(least - f) for f in far)))
+    return out
+
+
+def toxic_density(words, weights, exceptions):
+    """Weights of all words that begin with an entry and are in no exception, over the root of the words.
+
+    ``weights`` has folded entries, ``exceptions`` lists of folded words.
+    """
+    free = {j + i for e in exceptions for j in range(len(words) - len(e) + 1) if words[j:j + len(e)] == e for i in range(len(e))}
+    total = 0.0
+    for i, word in enumerate(words):
+        held = [w for stem, w in weights.items() if word.startswith(stem)]
+        if held and i not in free:
+            total += max(held)
+    return total / math.sqrt(max(1, len(words)))

@@ -509,3 +509,37 @@ def test_quality_without_target(spark):
     rows = quality.quality_rules(source, None).collect()
     assert {r.llr for r in rows} == {0.0} and all(r.kept == (not r.base_failed) for r in rows)
     assert quality.quality_rules(source.limit(0), None).count() == 0
+
+
+def test_language_against_plain(spark, documents):
+    rows = documents.select("doc_id", "text", "lang").collect()
+    training = [(r.text, r.lang) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5]
+    expected = dict(zip([r.doc_id for r in rows], brute.languages(training, [r.text for r in rows]), strict=True))
+    found = {r.doc_id: r for r in __spark_entry__.queries()["op9_language"](spark, SMALL).collect()}
+    assert set(found) == set(expected)
+    for i, (lang, score) in expected.items():
+        assert found[i].lang_pred == lang and abs(found[i].score - score) < 1e-4, i
+        assert found[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+def test_toxicity_against_plain(spark):
+    docs, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    known = {r.doc_id: r.toxic == 1 for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.doc_id in texts}
+    lexicon = toxicity.learn(docs, labels.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1))
+    folded = {i: toxicity.fold(t) for i, t in texts.items()}
+    counts = {True: Counter(), False: Counter()}
+    for i, toxic in known.items():
+        counts[toxic].update({w[:k] for w in folded[i] for k in range(toxicity.SHORTEST, min(toxicity.LONGEST, len(w)) + 1)})
+    n_pos, n_neg = sum(known.values()), len(known) - sum(known.values())
+    enough = toxicity.SIGNIFICANT / (2 * np.log((n_pos + n_neg) / n_pos))
+    tally = [(s, n, counts[False][s]) for s, n in counts[True].items() if n >= enough]
+    assert len(counts[True]) < toxicity.CANDIDATES and lexicon.weights == toxicity.choose(tally, n_pos, n_neg) != {}
+    weights = {toxicity.fold(s)[0]: w for s, w in lexicon.weights.items()}
+    exceptions = [toxicity.fold(e) for e in lexicon.exceptions]
+    found = {r.doc_id: r for r in __spark_entry__.queries()["op6_toxicity"](spark, MIDDLE).collect()}
+    assert set(found) == set(texts)
+    for i, words in folded.items():
+        density = brute.toxic_density(words, weights, exceptions)
+        score = 1 / (1 + np.exp(-np.clip(lexicon.slope * density + lexicon.level, -50, 50)))
+        assert abs(found[i].score - score) < 1e-9 and found[i].predicted == (found[i].score >= 0.7), i
