@@ -15,7 +15,8 @@ from strucsift.functions import elements
 from strucsift.functions.keys import build_key, normalize_name
 from strucsift.operators import atoms as atom_ops
 from strucsift.operators.geometry import neighbour_list
-from strucsift.operators.ranking import rank_within
+from strucsift.operators.ranking import rank_in_groups, rank_within
+from strucsift.session import cut_lineage
 from strucsift.sources.landing import number_frames
 from strucsift.sources.querydb import source_registry
 
@@ -56,7 +57,7 @@ class Fixtures:
     @cached_property
     def atoms(self) -> DataFrame:
         order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
-        numbered = rank_within(
+        numbered = rank_in_groups(
             self.table("lineitem"), ["l_orderkey"],
             [F.col("l_linenumber"), F.floor(F.col("l_partkey") / PART_BUCKET)], order, "idx")
         return self._atom_columns(numbered, "idx")
@@ -233,3 +234,8 @@ class Fixtures:
                 F.lit("sid"), F.col("sid").cast("string"), F.lit("charge"), F.col("info_charge").cast("string"),
                 F.lit("data_id"), F.coalesce("subset", F.lit("none")),
                 F.lit("frame_number"), F.col("frame_number")).alias("info"))
+
+    @cached_property
+    def landed(self) -> DataFrame:
+        """The landing table as written, for what reads it more than once."""
+        return cut_lineage(self.landing, "landing")

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strucsift.session import cut_lineage
+
 # Up to this many rows a sample is a plain top-n, whose last task receives n rows per partition.
 # Beyond it the sample is cut at a score.
 PLAIN_TOP_N = 1_000
@@ -16,6 +20,8 @@ BUCKET_DIGITS = 4
 SKETCH_ACCURACY = 100_000
 # Parts of a bracket of scores that are ordered apart from each other.
 BRACKET_PARTS = 1_024
+# Rows of a group that one task orders.
+GROUP_ROWS = 65_536
 
 
 def rank_within(
@@ -52,6 +58,31 @@ def rank_within(
     )
 
 
+def rank_in_groups(
+    df: DataFrame,
+    group: Sequence[str],
+    bucket: Sequence[Column],
+    order: Sequence[Column | str],
+    name: str,
+    most: int = GROUP_ROWS,
+) -> DataFrame:
+    """As ``rank_within``, for groups that are small as a rule.
+
+    Groups of at most ``most`` rows are numbered by one window over the group; only larger ones, if
+    there are any, are spread by bucket. Rows whose group or bucket is null have no place and are left out, as there.
+    """
+    known = df.dropna(subset=list(group))
+    filled = reduce(and_, [b.isNotNull() for b in bucket])
+    place = (F.row_number().over(Window.partitionBy(*group).orderBy(*bucket, *order)) - 1).cast("bigint")
+    large = cut_lineage(
+        known.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > most).select(*group), "large-groups")
+    if large.isEmpty():
+        return known.withColumn(name, place).filter(filled)
+    # At most one row per ``most`` rows of the table.
+    small = known.join(F.broadcast(large), list(group), "left_anti").withColumn(name, place).filter(filled)
+    return small.unionByName(rank_within(known.join(F.broadcast(large), list(group), "left_semi"), group, bucket, order, name))
+
+
 def row_at(df: DataFrame, order: Sequence[str], position: Callable[[Column], Column]) -> DataFrame:
     """The row at the 0-based ``position(total)``, where ``order`` begins with a hex digest.
 
