@@ -2,7 +2,7 @@
 
 A landed row holds all atoms of its structure as arrays, so that every measure is an expression over
 them: nothing is exploded, grouped or exchanged. Pair searches compare all atoms of a row with each
-other; structures of more than ``ROW_ATOMS`` atoms, and those with periodic images, take the long form,
+other, many rows of an Arrow batch at a time; structures of more than ``ROW_ATOMS`` atoms, and those with periodic images, take the long form,
 which places atoms in cells. They are written to the shared folder first: when there are none, no plan
 of the long form is made and nothing is exchanged. Both forms give the same values. A structure whose ``numbers`` are null or empty has no atoms: it is
 kept, as invalid with 0 atoms and waters, and its other measures are null.
@@ -10,8 +10,12 @@ kept, as invalid with 0 atoms and waters, and its other measures are null.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +24,12 @@ from strucsift.functions.vectors import norm
 from strucsift.operators import fingerprints, geometry
 from strucsift.operators.atoms import DEBYE, FORMULA_ELEMENTS_FIRST, explode_structures
 from strucsift.schema import FINGERPRINT_BITS
-from strucsift.session import cut_lineage
+from strucsift.session import cut_lineage, ship_package
 
 # Atoms up to which pairs are searched in the row.
 ROW_ATOMS = 256
+# Pairs of atoms that one vectorised step compares.
+PAIRS = 500_000
 
 
 def _total(values: Column) -> Column:
@@ -113,34 +119,103 @@ def scalars(landed: DataFrame, *keep: str) -> DataFrame:
     return landed.select(*keep, *[c.alias(name) for name, c in scalar_columns().items()])
 
 
-def _atoms() -> Column:
-    """The atoms of a row as structs: z, half-cutoff and position."""
-    return F.zip_with("numbers", "positions", lambda z, p: F.struct(
-        z.alias("z"), (F.lit(geometry.BOND_SCALE) * elements.covalent_radius(z)).alias("r"), p.alias("p")))
-
-
-def _apart(a: Column, b: Column) -> Column:
-    return F.round(norm(tuple(a["p"][k] - b["p"][k] for k in range(3))), 9)
-
-
-def _degrees(atoms: Column) -> Column:
-    """(z, degree) of every atom: how many others are within the sum of half-cutoffs."""
-    bonded = lambda a: F.size(F.filter(atoms, lambda b: _apart(a, b) < F.round(a["r"] + b["r"], 9)))
-    # Every atom of a known element meets itself.
-    return F.transform(atoms, lambda a: F.struct(
-        a["z"].alias("z"), F.when(a["r"].isNull(), F.lit(0)).otherwise(bonded(a) - 1).alias("degree")))
-
-
-def _valid(atoms: Column, min_fragment: int) -> Column:
-    degrees = _degrees(atoms)
-    apart = F.exists(degrees, lambda d: (d["degree"] < min_fragment - 1) | ((d["z"] == geometry.HYDROGEN) & (d["degree"] != 1)))
-    return (F.size(atoms) >= min_fragment) & ~apart
-
-
-def _waters(atoms: Column) -> Column:
-    near = lambda o: F.size(F.filter(
-        atoms, lambda h: (h["z"] == geometry.HYDROGEN) & (_apart(o, h) < geometry.OH_CUTOFF)))
-    return F.size(F.filter(atoms, lambda o: (o["z"] == geometry.OXYGEN) & (near(o) == geometry.WATER_HYDROGENS)))
+def _atoms_of(numbers: pa.Array, positions: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The atoms of a batch of structures: how many each has, atomic numbers (-1: null) and positions (NaN: null)."""
+    counts = pc.list_value_length(numbers)
+    plain = not numbers.null_count and not positions.null_count and counts.equals(pc.list_value_length(positions))
+    z, p = numbers.flatten(), positions.flatten()
+    if plain and not p.null_count and pc.all(pc.equal(pc.list_value_length(p), 3)).as_py() is not False:
+        flat = p.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        return np.asarray(counts, np.int64), pc.fill_null(z, -1).to_numpy(zero_copy_only=False).astype(np.int64), flat.reshape(-1, 3)
+    sizes, all_z, all_p = [], [], []
+    for zs, ps in zip(numbers.to_pylist(), positions.to_pylist(), strict=True):
+        # A structure without positions cannot be judged, like one without atoms.
+        zs, ps = ([], []) if zs is None or ps is None else (zs, ps)
+        sizes.append(max(len(zs), len(ps)))
+        all_z += [-1 if x is None else x for x in zs] + [-1] * (sizes[-1] - len(zs))
+        for v in [*ps, *[None] * (sizes[-1] - len(ps))]:
+            if v is not None and len(v) < 3:
+                raise ValueError("a position of less than three numbers")
+            all_p.append([np.nan] * 3 if v is None else [np.nan if x is None else x for x in v[:3]])
+    return np.array(sizes, np.int64), np.array(all_z, np.int64), np.array(all_p, np.float64).reshape(-1, 3)
+
+
+def _radii(z: np.ndarray) -> np.ndarray:
+    known = (z >= 0) & (z < len(elements.COVALENT_RADII))
+    scaled = geometry.BOND_SCALE * np.array(elements.COVALENT_RADII)
+    return np.where(known, scaled[np.where(known, z, 0)], np.nan)
+
+
+def _pairs(counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ordered pairs of atoms of one structure, an atom with itself too, some ``PAIRS`` at a time."""
+    first = np.cumsum(counts) - counts
+    upto = np.cumsum(counts * counts)
+    begin = done = 0
+    while begin < len(counts):
+        end = max(begin + 1, int(np.searchsorted(upto, done + PAIRS, "right")))
+        n = np.repeat(counts[begin:end], counts[begin:end])
+        atoms = first[begin] + np.arange(len(n))
+        a = np.repeat(atoms, n)
+        place = np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+        yield a, np.repeat(np.repeat(first[begin:end], counts[begin:end]), n) + place
+        begin, done = end, int(upto[end - 1])
+
+
+def _below(gap: np.ndarray, cutoff: np.ndarray) -> np.ndarray:
+    """``geometry.within`` of arrays; NaN is never below."""
+    below = gap < cutoff
+    close = np.flatnonzero(np.abs(gap - cutoff) <= geometry.CLEAR)
+    if len(close):
+        values, back = np.unique(np.stack([gap[close], cutoff[close]]), return_inverse=True)
+        digits = Decimal(1).scaleb(-geometry.PLACES)
+        rounded = np.array([float(Decimal(repr(float(v))).quantize(digits, ROUND_HALF_UP)) for v in values])
+        near, limit = rounded[back.reshape(2, -1)]
+        below[close] = near < limit
+    return below
+
+
+def _gaps(p: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    d = p[a] - p[b]
+    return np.sqrt(d[:, 0] * d[:, 0] + d[:, 1] * d[:, 1] + d[:, 2] * d[:, 2])
+
+
+def _judge(min_fragment: int) -> Callable[[Column, Column], Column]:
+    """(valid, waters) of structures from their numbers and positions."""
+    def judge(numbers: pa.Array, positions: pa.Array) -> pa.Array:
+        counts, z, p = _atoms_of(numbers, positions)
+        radius = _radii(z)
+        degree, hydrogens = np.zeros(len(z), np.int64), np.zeros(len(z), np.int64)
+        for a, b in _pairs(counts):
+            gap = _gaps(p, a, b)
+            degree += np.bincount(a[_below(gap, radius[a] + radius[b])], minlength=len(z))
+            water = np.flatnonzero((z[a] == geometry.OXYGEN) & (z[b] == geometry.HYDROGEN))
+            met = _below(gap[water], np.full(len(water), geometry.OH_CUTOFF))
+            hydrogens += np.bincount(a[water[met]], minlength=len(z))
+        # Every atom of a known element meets itself.
+        degree = np.where(np.isnan(radius), 0, degree - 1)
+        alone = (z < 0) | (degree < min_fragment - 1) | ((z == geometry.HYDROGEN) & (degree != 1))
+        row = np.repeat(np.arange(len(counts)), counts)
+        valid = (counts >= min_fragment) & (np.bincount(row[alone], minlength=len(counts)) == 0)
+        is_water = (z == geometry.OXYGEN) & (hydrogens == geometry.WATER_HYDROGENS)
+        return pa.StructArray.from_arrays(
+            [pa.array(valid), pa.array(np.bincount(row[is_water], minlength=len(counts)), pa.int64())], ["valid", "water"])
+
+    return F.arrow_udf(judge, "struct<valid: boolean, water: bigint>")
+
+
+def _linked(numbers: pa.Array, positions: pa.Array) -> pa.Array:
+    """Per atom its number and the places of its bonded neighbours, ascending."""
+    counts, z, p = _atoms_of(numbers, positions)
+    radius, first = _radii(z), np.repeat(np.cumsum(counts) - counts, counts)
+    met, places = np.zeros(len(z), np.int64), []
+    for a, b in _pairs(counts):
+        near = (a != b) & _below(_gaps(p, a, b), radius[a] + radius[b])
+        met += np.bincount(a[near], minlength=len(z))
+        places.append(b[near] - first[b[near]])
+    offsets = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    near = pa.ListArray.from_arrays(offsets(met), pa.array(np.concatenate([np.zeros(0, np.int64), *places]), pa.int32()))
+    atoms = pa.StructArray.from_arrays([pa.array(z, pa.int32(), mask=z < 0), near], ["z", "near"])
+    return pa.ListArray.from_arrays(offsets(counts), atoms)
 
 
 def with_validity_and_water(landed: DataFrame, row_atoms: int = ROW_ATOMS, min_fragment: int = geometry.MIN_FRAGMENT,
@@ -156,9 +231,9 @@ def with_validity_and_water(landed: DataFrame, row_atoms: int = ROW_ATOMS, min_f
     long = num_atoms() > row_atoms
     if {"cell", "pbc"} <= set(landed.columns):
         long |= F.coalesce(geometry.has_images(), F.lit(False))
-    small = landed.filter(~long).withColumn("__atoms", _atoms()).withColumns({
-        valid: found(_valid(F.col("__atoms"), min_fragment), False),
-        water: found(_waters(F.col("__atoms")).cast("bigint"), 0).cast("bigint")}).drop("__atoms")
+    ship_package(landed.sparkSession)
+    small = landed.filter(~long).withColumn("__judged", _judge(min_fragment)("numbers", "positions")).withColumns({
+        valid: found(F.col("__judged.valid"), False), water: found(F.col("__judged.water"), 0).cast("bigint")}).drop("__judged")
     large = cut_lineage(landed.filter(long), "large")
     if large.isEmpty():
         return small
@@ -183,18 +258,12 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def set_bits(radius: int = fingerprints.RADIUS, n_bits: int = FINGERPRINT_BITS) -> Column:
+def set_bits(linked_atoms: str, radius: int = fingerprints.RADIUS, n_bits: int = FINGERPRINT_BITS) -> Column:
     """Sorted set bits of the fingerprint of a row's structure; null without atoms.
 
-    Each atom's bonded neighbours are an array of places. A round of hashing maps the identifiers of
+    The column ``linked_atoms`` has each atom with the places of its bonded neighbours. A round of hashing maps the identifiers of
     the round before; all rounds stay in one array of arrays.
     """
-    def neighbours(atoms: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(atoms) - 1)
-        near = lambda i, a: F.filter(places, lambda j: (j != i) & (
-            _apart(a, F.get(atoms, j)) < F.round(a["r"] + F.get(atoms, j)["r"], 9)))
-        return F.transform(atoms, lambda a, i: F.struct(a["z"].alias("z"), near(i, a).alias("near")))
-
     def begin(atom: Column) -> Column:
         return fingerprints.digest(F.lit("atom"), atom["z"], F.size(atom["near"]))
 
@@ -210,8 +279,8 @@ def set_bits(radius: int = fingerprints.RADIUS, n_bits: int = FINGERPRINT_BITS)
             return ids
         return F.concat(ids, _bound(advance(r, linked, ids), lambda later: rounds(r + 1, linked, later)))
 
-    ids = _bound(_atoms(), lambda atoms: _bound(neighbours(atoms), lambda linked: _bound(
-        F.transform(linked, begin), lambda first: rounds(1, linked, first))))
+    ids = _bound(F.col(linked_atoms), lambda linked: _bound(
+        F.transform(linked, begin), lambda first: rounds(1, linked, first)))
     bits = F.array_sort(F.array_distinct(F.transform(ids, lambda i: F.pmod(i, F.lit(n_bits)).cast("int"))))
     return F.when(num_atoms() > 0, bits)
 
@@ -225,7 +294,11 @@ def with_fingerprint(landed: DataFrame, name: str = "set_bits", row_atoms: int =
     """
     chosen = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     giant = chosen & (num_atoms() > row_atoms)
-    small = landed.filter(~giant).withColumn(name, F.when(chosen, set_bits()))
+    ship_package(landed.sparkSession)
+    kind = "array<struct<z: int, near: array<int>>>"
+    given = [F.when(chosen, F.col(c)) for c in ("numbers", "positions")]
+    linked = landed.filter(~giant).withColumn("__linked", F.arrow_udf(_linked, kind)(*given))
+    small = linked.withColumn(name, F.when(chosen, set_bits("__linked"))).drop("__linked")
     large = cut_lineage(landed.filter(giant), "large")
     if large.isEmpty():
         return small

@@ -94,11 +94,12 @@ def process_landed(landed: DataFrame, fmt: str, metadata: Mapping[str, str] | No
     def source(name: str) -> Column:
         return required_field(landed, name) if strict else F.col("info")[name]
 
-    mapped = landed.withColumns({target: source(name) for target, name in FIELD_MAPS[fmt].items()})
-    mapped = apply_transforms(attach_metadata(mapped, metadata or {}), transforms)
     columns = {f"__{name}": column for name, column in rowwise.scalar_columns().items() if name != "parity_spin"}
     flags = ("__is_molecular_structure_valid", "__num_water_molecules")
-    rows = rowwise.with_validity_and_water(mapped.withColumns(columns), row_atoms, names=flags)
+    # Measured before the transforms, so that large structures are looked for in the landed table alone.
+    measured = rowwise.with_validity_and_water(landed, row_atoms, names=flags).withColumns(columns)
+    mapped = measured.withColumns({target: source(name) for target, name in FIELD_MAPS[fmt].items()})
+    rows = apply_transforms(attach_metadata(mapped, metadata or {}), transforms)
     rows = _settle(rows, [c.removeprefix("__") for c in (*columns, *flags)])
     if matches is not None:
         rows = _motifs(rows, matches)
