@@ -76,7 +76,8 @@ def ingest_extxyz(fx):
 
 
 def _compress(group: pd.DataFrame) -> pd.DataFrame:
-    content = lzma.compress(("\n".join(group["value"]) + "\n").encode())
+    # The fastest preset: these files are read once.
+    content = lzma.compress(("\n".join(group["value"]) + "\n").encode(), preset=0)
     return pd.DataFrame({"path": [f"shard-{group['shard'].iloc[0]}.extxyz.xz"], "content": [content]})
 
 
@@ -499,7 +500,7 @@ def circular_fingerprint(fx):
 
 @query
 def fingerprint_rowwise(fx):
-    bits = rowwise.with_fingerprint(fx.landing.select("sid", "numbers", "positions"))
+    bits = rowwise.with_fingerprint(fx.landed.select("sid", "numbers", "positions"))
     return bits.select("sid", F.size("set_bits").cast("bigint").alias("n_bits"),
                        F.array_join(F.col("set_bits").cast("array<string>"), ",").alias("set_bits"))
 
@@ -833,12 +834,12 @@ def scalars_rowwise(fx):
 
 @query
 def validity_rowwise(fx):
-    return rowwise.validity_and_water(fx.landing)
+    return rowwise.validity_and_water(fx.landed)
 
 
 @query
 def process_landed(fx):
-    rows = process.process_landed(fx.landing, "aselmdb_omol", {"functional": "PBE"})
+    rows = process.process_landed(fx.landed, "aselmdb_omol", {"functional": "PBE"})
     return rows.select(
         "entry_key", "functional", F.nullif("subset", F.lit("none")).alias("subset"), "net_charge", "energy", "num_atoms",
         "composition", "atomic_symbols", "net_force_norm", "max_force_norm", "dipole_moment_magnitude", "molecular_weight",
