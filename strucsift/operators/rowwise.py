@@ -119,6 +119,18 @@ def scalars(landed: DataFrame, *keep: str) -> DataFrame:
     return landed.select(*keep, *[c.alias(name) for name, c in scalar_columns().items()])
 
 
+def _atoms() -> Column:
+    """The atoms of a row as structs: z, half-cutoff and position."""
+    return F.zip_with("numbers", "positions", lambda z, p: F.struct(
+        z.alias("z"), (F.lit(geometry.BOND_SCALE) * elements.covalent_radius(z)).alias("r"), p.alias("p")))
+
+
+def _near(a: Column, b: Column) -> Column:
+    """Whether two atoms are bonded; their distance is worked out once."""
+    gap = norm(tuple(a["p"][k] - b["p"][k] for k in range(3)))
+    return F.exists(F.array(gap), lambda d: geometry.within(d, a["r"] + b["r"]))
+
+
 def _atoms_of(numbers: pa.Array, positions: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The atoms of a batch of structures: how many each has, atomic numbers (-1: null) and positions (NaN: null)."""
     counts = pc.list_value_length(numbers)
@@ -203,21 +215,6 @@ def _judge(min_fragment: int) -> Callable[[Column, Column], Column]:
     return F.arrow_udf(judge, "struct<valid: boolean, water: bigint>")
 
 
-def _linked(numbers: pa.Array, positions: pa.Array) -> pa.Array:
-    """Per atom its number and the places of its bonded neighbours, ascending."""
-    counts, z, p = _atoms_of(numbers, positions)
-    radius, first = _radii(z), np.repeat(np.cumsum(counts) - counts, counts)
-    met, places = np.zeros(len(z), np.int64), []
-    for a, b in _pairs(counts):
-        near = (a != b) & _below(_gaps(p, a, b), radius[a] + radius[b])
-        met += np.bincount(a[near], minlength=len(z))
-        places.append(b[near] - first[b[near]])
-    offsets = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-    near = pa.ListArray.from_arrays(offsets(met), pa.array(np.concatenate([np.zeros(0, np.int64), *places]), pa.int32()))
-    atoms = pa.StructArray.from_arrays([pa.array(z, pa.int32(), mask=z < 0), near], ["z", "near"])
-    return pa.ListArray.from_arrays(offsets(counts), atoms)
-
-
 def with_validity_and_water(landed: DataFrame, row_atoms: int = ROW_ATOMS, min_fragment: int = geometry.MIN_FRAGMENT,
                             names: tuple[str, str] = ("is_molecular_structure_valid", "num_water_molecules")) -> DataFrame:
     """``landed`` (unique ``sid``) with both measures, for fragments of at most two atoms.
@@ -258,12 +255,17 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def set_bits(linked_atoms: str, radius: int = fingerprints.RADIUS, n_bits: int = FINGERPRINT_BITS) -> Column:
+def set_bits(radius: int = fingerprints.RADIUS, n_bits: int = FINGERPRINT_BITS) -> Column:
     """Sorted set bits of the fingerprint of a row's structure; null without atoms.
 
-    The column ``linked_atoms`` has each atom with the places of its bonded neighbours. A round of hashing maps the identifiers of
+    Each atom's bonded neighbours are an array of places. A round of hashing maps the identifiers of
     the round before; all rounds stay in one array of arrays.
     """
+    def neighbours(atoms: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(atoms) - 1)
+        near = lambda i, a: F.filter(places, lambda j: (j != i) & _near(a, F.get(atoms, j)))
+        return F.transform(atoms, lambda a, i: F.struct(a["z"].alias("z"), near(i, a).alias("near")))
+
     def begin(atom: Column) -> Column:
         return fingerprints.digest(F.lit("atom"), atom["z"], F.size(atom["near"]))
 
@@ -279,8 +281,8 @@ def set_bits(linked_atoms: str, radius: int = fingerprints.RADIUS, n_bits: int =
             return ids
         return F.concat(ids, _bound(advance(r, linked, ids), lambda later: rounds(r + 1, linked, later)))
 
-    ids = _bound(F.col(linked_atoms), lambda linked: _bound(
-        F.transform(linked, begin), lambda first: rounds(1, linked, first)))
+    ids = _bound(_atoms(), lambda atoms: _bound(neighbours(atoms), lambda linked: _bound(
+        F.transform(linked, begin), lambda first: rounds(1, linked, first))))
     bits = F.array_sort(F.array_distinct(F.transform(ids, lambda i: F.pmod(i, F.lit(n_bits)).cast("int"))))
     return F.when(num_atoms() > 0, bits)
 
@@ -294,11 +296,7 @@ def with_fingerprint(landed: DataFrame, name: str = "set_bits", row_atoms: int =
     """
     chosen = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     giant = chosen & (num_atoms() > row_atoms)
-    ship_package(landed.sparkSession)
-    kind = "array<struct<z: int, near: array<int>>>"
-    given = [F.when(chosen, F.col(c)) for c in ("numbers", "positions")]
-    linked = landed.filter(~giant).withColumn("__linked", F.arrow_udf(_linked, kind)(*given))
-    small = linked.withColumn(name, F.when(chosen, set_bits("__linked"))).drop("__linked")
+    small = landed.filter(~giant).withColumn(name, F.when(chosen, set_bits()))
     large = cut_lineage(landed.filter(giant), "large")
     if large.isEmpty():
         return small
