@@ -226,8 +226,11 @@ def round_trip(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] =
         bpe, memory = compiled(path)
         ids, border = tokenize(batch.column("text"), memory, bpe.encode)
         sha = lambda text: hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
-        own = [ids[a:b].tolist() for a, b in zip(border[:-1], border[1:], strict=True)]
-        return {"n_tokens": np.diff(border), "ids_sha256": [sha(" ".join(map(str, x))) for x in own],
-                "decoded_sha256": [sha(bpe.decode(x)) for x in own]}
+        digests = []
+        # One document's ids are listed at a time.
+        for a, b in zip(border[:-1].tolist(), border[1:].tolist(), strict=True):
+            own = ids[a:b].tolist()
+            digests.append((sha(" ".join(map(str, own))), sha(bpe.decode(own))))
+        return {"n_tokens": np.diff(border), "ids_sha256": [x for x, _ in digests], "decoded_sha256": [y for _, y in digests]}
 
     return map_texts(docs, DIGEST, work, keep=keep)

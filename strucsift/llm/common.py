@@ -16,8 +16,9 @@ from strucsift.session import ship_package
 BATCH_ROWS = 512
 # A side of at most this many rows of a few numbers (some 50 MB) may be sent to every executor.
 BROADCAST_ROWS = 1_000_000
-# Bytes of text that one vectorised step works on.
-STEP_BYTES = 2_000_000
+# Bytes of text that one vectorised step works on. Its arrays take some 30 times as much, and a worker
+# keeps the memory of its largest step.
+STEP_BYTES = 500_000
 # A verdict on a text holds for the rows of its id and text: ids may be null or repeat.
 ROW_HASH = "__row_hash"
 

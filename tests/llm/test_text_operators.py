@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -73,6 +74,17 @@ def test_steps_bound_batches():
     assert [b.num_rows for b in common.steps(batch.slice(0, 0))] == []
 
 
+def test_steps_bound_the_arrays_of_a_worker():
+    batch = pa.record_batch({"text": pa.array(["alpha beta gamma " * 200] * 580)})
+    tracemalloc.start()
+    try:
+        found = sum(len(textscan.words_of(b.column("text"), minhash.WORD).hash) for b in common.steps(batch))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 580 * 600 and most < 30e6
+
+
 def test_words_of_slices_and_long_words():
     column = pa.array(["x y", "ab " + "q" * 200_000, None, "ab"]).slice(1)
     words = textscan.words_of(column, minhash.WORD)
