@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strucsift.functions.hashing import hex_to_long
 from strucsift.operators.geometry import both_ways
 from strucsift.schema import FINGERPRINT_BITS
-from strucsift.session import cut_lineage
+from strucsift.session import cut_lineage, ship_package
 
 RADIUS = 2
 # Fixed value: keeps the union in the Tanimoto ratio above zero.
@@ -16,6 +19,12 @@ EPSILON = 1e-8
 # Rows of one block on either side of a distance computation.
 CANDIDATE_BLOCK = 25_000
 POOL_BLOCK = 4_096
+# Pairs that one task compares, and the most tasks they are dealt to. Packed rows are too small for their
+# bytes to tell how much work they bring.
+TASK_PAIRS = 25_000_000
+MOST_TASKS = 20_000
+# Pairs that numpy compares at a time, some 30 bytes each.
+STEP_PAIRS = 500_000
 WORD_BITS = 64
 
 
@@ -143,23 +152,56 @@ def _pool_groups(pool: DataFrame) -> list[tuple[int, int, int, int]]:
     return groups
 
 
-def _compare(candidates: DataFrame, pool: DataFrame, n_words: int, own_blocks: int, small: bool) -> DataFrame:
+def _tasks(n_candidates: int, n_pool: int) -> int:
+    return max(1, min(MOST_TASKS, -(-n_candidates * n_pool // TASK_PAIRS)))
+
+
+def _matrix(words: pa.ChunkedArray, n_words: int) -> np.ndarray:
+    """Packed fingerprints as rows of ``n_words`` words, shorter ones filled up with zeros."""
+    column = words.combine_chunks()
+    sizes = np.diff(column.offsets.to_numpy())
+    out = np.zeros((len(sizes), n_words), np.uint64)
+    out[np.arange(n_words) < sizes[:, None]] = column.flatten().to_numpy().view(np.uint64)
+    return out
+
+
+def _compare(candidates: DataFrame, pool: DataFrame, n_words: int, own_blocks: int, small: bool, tasks: int) -> DataFrame:
     """Least distance ``(a_entry_key, a_words, a_n_set, distance)`` of candidates to the pool blocks ``theirs`` named in their rows.
 
-    A pool of one block is sent to the candidates. Otherwise both sides meet by (own block, pool block).
-    Pairs stream into a partial minimum and are never kept.
+    A pool of one block is sent to the candidates. Otherwise both sides meet by (own block, pool block),
+    where numpy compares some candidates with the whole pool block at a time. Pairs end in a partial
+    minimum and are never kept. They are dealt to ``tasks`` tasks.
     """
     a = candidates.select(*[F.col(c).alias(f"a_{c}") for c in ("entry_key", "words", "n_set")], "theirs")
     b = pool.select(*[F.col(c).alias(f"b_{c}") for c in ("words", "n_set")], "theirs")
     if small:
-        met = a.join(F.broadcast(b), "theirs")
-    else:
-        own = F.pmod(F.xxhash64("a_entry_key"), F.lit(own_blocks))
-        every = F.explode(F.sequence(F.lit(0), F.lit(own_blocks - 1)).cast("array<bigint>"))
-        met = a.withColumn("ours", own).join(b.withColumn("ours", every), ["ours", "theirs"])
-    common = _common_bits(n_words)
-    distance = _distance(common, F.col("a_n_set") + F.col("b_n_set") - common)
-    return met.groupBy("a_entry_key", "a_words", "a_n_set").agg(F.min(distance).alias("distance"))
+        met = (a.repartition(tasks) if tasks > 1 else a).join(F.broadcast(b), "theirs")
+        common = _common_bits(n_words)
+        distance = _distance(common, F.col("a_n_set") + F.col("b_n_set") - common)
+        return met.groupBy("a_entry_key", "a_words", "a_n_set").agg(F.min(distance).alias("distance"))
+
+    def compare(ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        left, right = _matrix(ours["a_words"], n_words), _matrix(theirs["b_words"], n_words)
+        if not len(left) or not len(right):
+            return ours.select(kept).slice(0, 0).append_column("distance", pa.array([], pa.float64()))
+        n_left, n_right = ours["a_n_set"].to_numpy(), theirs["b_n_set"].to_numpy()
+        least = np.empty(len(left))
+        share = max(1, STEP_PAIRS // len(right))
+        for i in range(0, len(left), share):
+            common = np.zeros((len(left[i:i + share]), len(right)), np.int32)
+            for w in range(n_words):
+                common += np.bitwise_count(left[i:i + share, w, None] & right[None, :, w])
+            either = n_left[i:i + share, None] + n_right[None, :] - common
+            least[i:i + share] = (1.0 - common / (either + EPSILON)).min(axis=1)
+        return ours.select(kept).append_column("distance", pa.array(least))
+
+    ship_package(candidates.sparkSession)
+    cell, kept = ["ours", "theirs"], ["a_entry_key", "a_words", "a_n_set"]
+    own = F.pmod(F.xxhash64("a_entry_key", "a_words"), F.lit(own_blocks))
+    every = F.explode(F.sequence(F.lit(0), F.lit(own_blocks - 1)).cast("array<bigint>"))
+    left, right = (x.repartition(tasks, *cell).groupBy(*cell) for x in (a.withColumn("ours", own), b.withColumn("ours", every)))
+    schema = T.StructType([*[a.schema[c] for c in kept], T.StructField("distance", T.DoubleType())])
+    return left.cogroup(right).applyInArrow(compare, schema).groupBy(*kept).agg(F.min("distance").alias("distance"))
 
 
 def packed_minimum(candidates: DataFrame, pool: DataFrame, n_candidates: int, n_pool: int,
@@ -173,7 +215,7 @@ def packed_minimum(candidates: DataFrame, pool: DataFrame, n_candidates: int, n_
     small = n_pool <= POOL_BLOCK
     # A pool of one block needs no groups: it is compared with every candidate where that is.
     groups = [(0, n_words * WORD_BITS, 0, 1)] if small else _pool_groups(pool)
-    own_blocks = max(1, -(-n_candidates // CANDIDATE_BLOCK))
+    own_blocks, tasks = max(1, -(-n_candidates // CANDIDATE_BLOCK)), _tasks(n_candidates, n_pool)
     if not groups:
         return candidates.select("entry_key", F.lit(None).cast("double").alias("distance")).limit(0)
     listed = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("lo", "hi", "first", "n"), g)]) for g in groups])
@@ -189,7 +231,7 @@ def packed_minimum(candidates: DataFrame, pool: DataFrame, n_candidates: int, n_
     if cutoff is not None or small:
         wanted = listed if cutoff is None else F.filter(listed, lambda g: least(g) <= F.lit(cutoff))
         sent = candidates.withColumn("theirs", F.explode(blocks(wanted)))
-        nearest = _compare(sent, blocked, n_words, own_blocks, small)
+        nearest = _compare(sent, blocked, n_words, own_blocks, small, tasks)
         if cutoff is not None:
             nearest = nearest.filter(F.col("distance") <= F.lit(cutoff))
         return nearest.groupBy(F.col("a_entry_key").alias("entry_key")).agg(F.min("distance").alias("distance"))
@@ -199,13 +241,13 @@ def packed_minimum(candidates: DataFrame, pool: DataFrame, n_candidates: int, n_
     begun = candidates.withColumn("__g", ranked).withColumn("theirs", first).drop("__g")
     # Hashed rows may leave a block of the pool empty, so every candidate keeps a row here.
     bound = cut_lineage(
-        begun.join(_compare(begun, blocked, n_words, own_blocks, small).select(
+        begun.join(_compare(begun, blocked, n_words, own_blocks, small, tasks).select(
             F.col("a_entry_key").alias("entry_key"), F.col("a_words").alias("words"), F.col("distance").alias("bound")),
             ["entry_key", "words"], "left"), "bounds")
     nearer = F.filter(listed, lambda g: F.col("bound").isNull() | (least(g) < F.col("bound")))
     rest = bound.withColumn("seen", F.col("theirs")).withColumn(
         "theirs", F.explode(blocks(nearer))).filter(F.col("theirs") != F.col("seen"))
-    later = _compare(rest, blocked, n_words, own_blocks, small).select(F.col("a_entry_key").alias("entry_key"), "distance")
+    later = _compare(rest, blocked, n_words, own_blocks, small, tasks).select(F.col("a_entry_key").alias("entry_key"), "distance")
     found = bound.filter(F.col("bound").isNotNull()).select("entry_key", F.col("bound").alias("distance"))
     return found.unionByName(later).groupBy("entry_key").agg(F.min("distance").alias("distance"))
 
@@ -213,10 +255,22 @@ def packed_minimum(candidates: DataFrame, pool: DataFrame, n_candidates: int, n_
 def min_distance_to_pool(candidates: DataFrame, pool: DataFrame, n_candidates: int, n_pool: int) -> DataFrame:
     """Distance of every candidate to its nearest pool member, as ``(entry_key, distance)``.
 
-    Both sides hold ``(entry_key, bits)`` and are packed into 64-bit words, see :func:`packed_minimum`. A
-    key that repeats has the least distance of its rows, a row without a fingerprint no bits set and so
-    the distance 1; an empty pool gives no rows. ``n_pool`` must not be below the rows of the pool: up to
-    ``POOL_BLOCK`` they are broadcast.
+    Both sides hold ``(entry_key, bits)`` and are packed into 64-bit words. Equal fingerprints have equal
+    distances, so each is compared once, see :func:`packed_minimum`, and one that the pool holds itself not at
+    all: no member is nearer. A key that repeats has the least distance of its rows, a row without a fingerprint
+    no bits set and so the distance 1; an empty pool gives no rows. ``n_candidates`` and ``n_pool`` must not be
+    below the rows of either side.
     """
-    ours, theirs = cut_lineage(pack(candidates), "packed"), cut_lineage(pack(pool), "pool")
-    return packed_minimum(ours, theirs, n_candidates, n_pool, max(longest(ours), longest(theirs)))
+    def vectors(packed: DataFrame) -> DataFrame:
+        return packed.select(F.col("words").alias("entry_key"), "words", "n_set").distinct()
+
+    ours = cut_lineage(pack(candidates), "packed")
+    theirs = cut_lineage(vectors(pack(pool)), "pool")
+    held = theirs.select("words", F.lit(True).alias("held"))
+    own = cut_lineage(vectors(ours).join(held, "words", "left").withColumn("held", F.col("held").isNotNull()), "vectors")
+    itself = own.filter("held").select("entry_key", _distance(F.col("n_set"), F.col("n_set")).alias("distance"))
+    open_ones = own.filter(~F.col("held")).select("entry_key", "words", "n_set")
+    found = packed_minimum(open_ones, theirs, min(n_candidates, open_ones.count()), min(n_pool, theirs.count()),
+                           max(longest(ours), longest(theirs)))
+    nearest = itself.unionByName(found).withColumnRenamed("entry_key", "words")
+    return ours.join(nearest, "words").groupBy("entry_key").agg(F.min("distance").alias("distance"))

@@ -674,6 +674,35 @@ def test_min_distance_of_odd_fingerprints(spark, monkeypatch, pool_block, own_bl
     assert fingerprints.min_distance_to_pool(df.limit(0), pool, 0, len(members)).count() == 0
 
 
+def test_min_distance_compares_equal_fingerprints_once(spark, monkeypatch):
+    compared = []
+    plain = fingerprints.packed_minimum
+    monkeypatch.setattr(fingerprints, "packed_minimum", lambda ours, theirs, *a, **k: (
+        compared.append((ours.count(), theirs.count())), plain(ours, theirs, *a, **k))[1])
+    rows = [(f"k{i}", [int(b) for b in f"{i % 10 + 1:08b}"]) for i in range(200)] + [(None, [1] * 8), (None, [1] * 8)]
+    df = spark.createDataFrame(rows, "entry_key string, bits array<int>")
+    pool = df.filter(F.get("bits", F.lit(7)) == 1)
+    found = {r.entry_key: r.distance for r in fingerprints.min_distance_to_pool(df, pool, 202, pool.count()).collect()}
+    # Odd numbers are in the pool themselves; the five even ones are compared, each once.
+    assert compared == [(5, 6)] and len(found) == 201
+    members = [b for _, b in rows if b[7]]
+    for key, bits in rows:
+        a = np.array(bits)
+        assert found[key] == pytest.approx(min(1 - (a @ b) / (a.sum() + b.sum() - a @ b + 1e-8) for b in map(np.array, members)))
+
+
+def test_min_distance_deals_small_rows_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "TASK_PAIRS", 2_000)
+    df = spark.range(256).select(F.col("id").cast("string").alias("entry_key"), F.transform(
+        F.sequence(F.lit(0), F.lit(9)), lambda i: F.get(F.split(F.lpad(F.bin("id"), 10, "0"), ""), i).cast("int")).alias("bits"))
+    pool = df.filter("entry_key % 2 = 0").coalesce(1)
+    for block in (4_096, 16):
+        monkeypatch.setattr(fingerprints, "POOL_BLOCK", block)
+        found = fingerprints.min_distance_to_pool(df.coalesce(1), pool, 256, 128)
+        assert found.count() == 256
+        assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+
+
 @pytest.mark.parametrize("block_size, pool_block", [(7, 4_096), (7, 4), (30, 4), (500, 4)])
 def test_greedy_is_the_plain_block_loop(spark, monkeypatch, block_size, pool_block):
     monkeypatch.setattr(fingerprints, "POOL_BLOCK", pool_block)
