@@ -16,7 +16,6 @@ empty text. Repeated rows are encoded each by itself. Other columns are kept by
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import re
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from strucsift.llm.common import field, map_texts
+from strucsift.llm.common import field, give_back, map_texts, model
 from strucsift.llm.pieces import Memory, tokenize
 
 VOCABULARY = "word_bpe_49k.json"
@@ -55,24 +54,25 @@ class PrefixBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        model = spec["model"]
+        merging = spec["model"]
         steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
         split, level = spec["pre_tokenizer"]["pretokenizers"]
-        if (model["type"], steps, split["type"], split["behavior"], split["invert"], level["type"], level["add_prefix_space"]) != (
+        if (merging["type"], steps, split["type"], split["behavior"], split["invert"], level["type"], level["add_prefix_space"]) != (
                 "BPE", ["NFC", "Replace", "Lowercase"], "Split", "Removed", True, "ByteLevel", False):
             raise ValueError(f"{path}: a tokenizer of another kind")
-        suffix = model["end_of_word_suffix"]
+        suffix = merging["end_of_word_suffix"]
         inner = lambda t: t.removesuffix(suffix) + END if t.endswith(suffix) else t
-        self.library = Tokenizer.from_file(path)
+        # Of the library only the steps before merging are used: it gets no vocabulary.
+        self.library = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": merging | {"vocab": {}, "merges": []}}))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.finder = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.words = regex.compile(split["pattern"]["Regex"])
         self.letters = byte_letters()
-        self.id = {inner(t): i for t, i in model["vocab"].items()}
-        self.text = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
+        self.id = {inner(t): i for t, i in merging["vocab"].items()}
+        self.text = {i: t for t, i in merging["vocab"].items()} | {i: t for t, i in self.special.items()}
         self.rank: dict[tuple[str, str], int] = {}
         self.parts: dict[str, tuple[str, str]] = {}
-        for rank, (a, b) in enumerate(model["merges"]):
+        for rank, (a, b) in enumerate(merging["merges"]):
             a, b = inner(a), inner(b)
             if a + b in self.parts or rank <= max(self._born(a), self._born(b)):
                 raise ValueError(f"{path}: token {a + b!r} isn't made once, from earlier tokens")
@@ -177,10 +177,12 @@ class PrefixBpe:
         return " ".join([text[i] for i in ids])
 
 
-@functools.lru_cache(maxsize=2)
+@model
 def compiled(path: str) -> tuple[PrefixBpe, Memory]:
     """One compiled tokenizer and its memory in each Python worker."""
-    return PrefixBpe(path), Memory()
+    bpe = PrefixBpe(path)
+    give_back()
+    return bpe, Memory()
 
 
 def _path(path: str | None) -> str:
@@ -197,7 +199,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         return {"ids": pa.ListArray.from_arrays(pa.array(border, pa.int32()), pa.array(ids.astype(np.int32)))}
 
     plain = docs.drop("ids")
-    return map_texts(plain, [field("ids", "int[]")], work, keep=plain.columns)
+    return map_texts(plain, [field("ids", "int[]")], work, keep=plain.columns, uses=compiled)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -233,4 +235,4 @@ def round_trip(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] =
             digests.append((sha(" ".join(map(str, own))), sha(bpe.decode(own))))
         return {"n_tokens": np.diff(border), "ids_sha256": [x for x, _ in digests], "decoded_sha256": [y for _, y in digests]}
 
-    return map_texts(docs, DIGEST, work, keep=keep)
+    return map_texts(docs, DIGEST, work, keep=keep, uses=compiled)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -50,6 +52,35 @@ def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(if_small(named), same_row("__gone_id", "__gone_hash"), "left_anti")
 
 
+# The functions whose compiled models a Python worker keeps from task to task.
+_models: list = []
+
+
+def model(compile_: Callable) -> Callable:
+    """``compile_`` with a memory of its last models. A worker keeps them from task to task until it runs an
+    operator that works without them, so that the stages of a pipeline do not add up in one worker."""
+    kept = functools.lru_cache(maxsize=2)(compile_)
+    _models.append(kept)
+    return kept
+
+
+def drop_models(but: Callable | None = None) -> None:
+    """Forget all models but those of ``but``."""
+    others = [m for m in _models if m is not but and m.cache_info().currsize]
+    for m in others:
+        m.cache_clear()
+    if others:
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that this worker has freed to the system. Arrow and the C library keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def steps(batch: pa.RecordBatch, column: str = "text", most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` whose texts hold at most ``most`` bytes, or one text each."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
@@ -64,10 +95,12 @@ def steps(batch: pa.RecordBatch, column: str = "text", most: int = STEP_BYTES) -
 
 
 def map_texts(docs: DataFrame, fields: Sequence[T.StructField], work: Callable[[pa.RecordBatch], dict],
-              keep: Sequence[str] = ("doc_id",), text: str = "text", also: Sequence[str] = ()) -> DataFrame:
+              keep: Sequence[str] = ("doc_id",), text: str = "text", also: Sequence[str] = (),
+              uses: Callable | None = None) -> DataFrame:
     """One output row per document: the columns ``keep`` and what ``work`` gives for its text.
 
-    ``work`` takes a batch with ``text`` and ``also`` and returns a list or array per new field.
+    ``work`` takes a batch with ``text`` and ``also`` and returns a list or array per new field. ``uses`` is
+    the ``model`` it works with.
     """
     prepare(docs.sparkSession)
     keep, names = list(keep), [f.name for f in fields]
@@ -76,6 +109,7 @@ def map_texts(docs: DataFrame, fields: Sequence[T.StructField], work: Callable[[
     schema = T.StructType([*[source.schema[c] for c in keep], *fields])
 
     def run(batches):
+        drop_models(but=uses)
         for whole in batches:
             for batch in steps(whole):
                 found = work(batch)
@@ -83,6 +117,10 @@ def map_texts(docs: DataFrame, fields: Sequence[T.StructField], work: Callable[[
                     [*[batch.column(c) for c in keep],
                      *[x if isinstance(x, pa.Array) else pa.array(x, from_pandas=False) for x in (found[n] for n in names)]],
                     [*keep, *names])
+            if uses is not None:
+                # What a model keeps lies among what a step has freed; compared with its work this is cheap.
+                give_back()
+        give_back()
 
     return source.mapInArrow(run, schema)
 

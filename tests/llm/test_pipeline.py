@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strucsift.llm import bpe, lines
+from strucsift.llm.common import field, map_texts
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -121,3 +122,13 @@ def test_verdicts_reach_null_ids_and_spare_repeated_ones(spark):
     rows = [(None, test), (None, good["c"]), (n, test), (n, good["d"]), (n, good["d"]), (None, None)]
     found = corpus_pipeline.decontamination(spark, table(rows), SMALL).collect()
     assert sorted(str(r.text) for r in found) == sorted([good["c"], good["d"], good["d"], "None"])
+
+
+def test_workers_forget_the_tokenizer_in_other_stages(spark):
+    docs = spark.createDataFrame([(i, f"word{i} other text") for i in range(64)], "doc_id bigint, text string").repartition(8)
+    known = lambda **k: {r.n for r in map_texts(
+        docs, [field("n", "bigint")], lambda batch: {"n": [bpe.compiled.cache_info().currsize] * batch.num_rows}, **k).collect()}
+    tokenized = bpe.round_trip(docs).collect()
+    assert known() == {0}
+    again = bpe.round_trip(docs).collect()
+    assert sorted(again) == sorted(tokenized) and 1 in known(uses=bpe.compiled)
