@@ -231,7 +231,8 @@ def _read(batch: pa.RecordBatch, memory: Memory, encode, end_id: int) -> tuple:
     words, ends, slots = tokenized_chunks(batch.column("text"), memory, encode)
     total = np.concatenate([[0], np.cumsum(memory.sizes(slots))])
     ids, border = with_end(memory.gather(slots), total[words.first], end_id)
-    at = total[1:][found := sentence_ends(words, ends)] + words.owner()[found]
+    chunks, last = words.whole()
+    at = total[1:][last][found := sentence_ends(chunks, ends[last])] + chunks.owner()[found]
     places = np.concatenate([border[1:], at])
     penalties = np.concatenate([np.zeros(len(border) - 1, np.int64), np.full(len(at), SENTENCE)])
     # A place known twice has the lower penalty; none lies at the begin of a document.

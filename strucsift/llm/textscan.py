@@ -68,10 +68,18 @@ class Words:
         """The byte after the last one of every word."""
         last = self.inside.copy()
         last[:-1] &= ~self.inside[1:]
-        border = self.edges[1:][self.edges[1:] > 0] - 1
-        last[border] = self.inside[border]
+        before = self.start[self.start > 0] - 1
+        last[before] = self.inside[before]
         return np.flatnonzero(last) + 1
 
+    def whole(self) -> tuple[Words, np.ndarray]:
+        """The words without the cuts of ``apart``, and the last piece of each. A hash is that of a word's first piece."""
+        head = ~self.inside[self.start - 1]
+        head[self.first[:-1][self.count > 0]] = True
+        at = np.flatnonzero(head)
+        words = Words(self.hash[at], self.start[at], np.searchsorted(at, self.first), self.inside, self.data, self.edges)
+        return words, np.flatnonzero(np.roll(head, -1))
+
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.count)), self.count)
 
@@ -97,11 +105,16 @@ def per_text(flags: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return total[edges[1:]] - total[edges[:-1]]
 
 
-def words_of(column: pa.Array, table: np.ndarray) -> Words:
+def words_of(column: pa.Array, table: np.ndarray, apart: np.ndarray | None = None) -> Words:
+    """The words of all texts; ``apart`` tells of two bytes of a word, first * 256 + second, whether it is cut between them."""
     data, edges = text_bytes(column)
     inside = (table != 0)[data]
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
+    if apart is not None:
+        pair = data[:-1].astype(np.uint16) << np.uint16(8)
+        pair |= data[1:]
+        begin[1:] |= apart[pair]
     border = edges[:-1][edges[:-1] < len(data)]
     begin[border] = inside[border]
     start = np.flatnonzero(begin)

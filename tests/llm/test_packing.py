@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
@@ -12,10 +13,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strucsift.llm import packing
+from strucsift.llm import packing, tokenfile
 from strucsift.llm.queries import op12_packing
 from strucsift.llm.textscan import words_of
-from strucsift.llm.pieces import CHUNK
+from strucsift.llm.pieces import CHUNK, Memory, tokenize
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -127,3 +128,60 @@ def test_held_tokens_do_not_change_the_cuts(spark, monkeypatch):
     early, parts = sequences(1)
     late, one = sequences(1 << 40)
     assert early == late and parts > 2 and one == 1
+
+
+def fresh_encoder(path):
+    """The encoder of ``path`` with a memory of its own."""
+    encode, memory = tokenfile.encoder(path)
+    return encode, Memory(memory.most, memory.apart)
+
+
+def test_a_word_is_tokenized_once_whatever_marks_and_digits_stand_by_it():
+    encode, memory = fresh_encoder(public_tokenizers.path(packing.VOCABULARY))
+    seen = []
+    tokenize(pa.array(["gamma, (gamma) gamma2 gamma's \"gamma\" gamma!", "7gamma, gamma..."]), memory, lambda c: seen.extend(c) or encode(c))
+    assert seen.count("gamma") == 1 and not any("gamma" in c for c in seen if c != "gamma") and len(seen) == len(set(seen)) == 10
+
+
+PARTS = ["a", "B", "re", "don", "'", "'s", "'T", "'ll", "''", "|", "<|", "|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<", ">", "0", "00",
+         "1", "7", ".", ",", "-", "...", "=", "`", ";", "\u0301", "\u0338", "\u0308", "\u212a", "\u0130", "\u00df", "\u03a3", "\u00e9", "\u00a0",
+         "\u3000", "\u0085", "\u200d", "\u0663", "\u00bd", "\u00b2", "\u20e3", "\u037e", "\x00", "\x1c", "\x1f", "\x7f", "\u1100", "\u1161", "\u11a8",
+         "\U0001f44d", "\u65e5", " ", "\n", "\t", "e\u0301", "x" * 70, "0" * 70]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ids_of_cut_chunks_are_the_librarys(seed):
+    path = public_tokenizers.path(packing.VOCABULARY)
+    tokenizer, (encode, memory) = Tokenizer.from_file(path), fresh_encoder(path)
+    rnd = random.Random(seed)
+    texts = ["", "0", *("".join(rnd.choices(PARTS, k=rnd.randrange(1, 12))) for _ in range(3000))]
+    texts += [a + b for a in PARTS for b in PARTS] if not seed else []
+    for k in range(0, len(texts), 500):
+        ids, border = tokenize(pa.array(texts[k:k + 500]), memory, encode)
+        for i, text in enumerate(texts[k:k + 500]):
+            assert ids[border[i]:border[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_chunks_stay_whole_for_other_tokenizers(tmp_path):
+    with open(public_tokenizers.path(packing.VOCABULARY), encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": "\\S+"}
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    encode, memory = tokenfile.encoder(str(tmp_path / "other.json"))
+    texts = ["the end.The 10th (of it's) kind", "...and 3.50,- more"]
+    ids, border = tokenize(pa.array(texts), memory, encode)
+    tokenizer = Tokenizer.from_file(str(tmp_path / "other.json"))
+    assert [ids[a:b].tolist() for a, b in zip(border, border[1:], strict=False)] == [
+        tokenizer.encode(t, add_special_tokens=False).ids for t in texts] and memory.apart is None
+
+
+def test_pieces_of_cut_words_make_up_the_words():
+    column = pa.array(["it's 3.5, no", None, " a1", "b"])
+    plain, cut = words_of(column, CHUNK), words_of(column, CHUNK, tokenfile.between_words())
+    whole, last = cut.whole()
+    assert whole.start.tolist() == plain.start.tolist() and whole.first.tolist() == plain.first.tolist()
+    assert cut.ends()[last].tolist() == plain.ends().tolist()
+    data = cut.data.tobytes().decode()
+    assert [data[a:b] for a, b in zip(cut.start, cut.ends(), strict=True)] == ["it", "'s", "3", ".", "5", ",", "no", "a", "1", "b"]
+    empty, last = words_of(pa.array([None, ""]), CHUNK, tokenfile.between_words()).whole()
+    assert not len(empty.start) and not len(last) and empty.first.tolist() == [0, 0, 0]
