@@ -444,9 +444,10 @@ def fragments(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
 def n_hop_walks(bonds: DataFrame, starts: DataFrame, n_atoms: int) -> DataFrame:
     """Walks of exactly ``n_atoms`` atoms along bonds from each start ``(sid, idx)``.
 
-    A walk may come back to an atom it has already passed.
+    A walk may come back to an atom it has already passed. Bonds are never broadcast: how many there are is not known
+    when the walks are planned, and a plan takes pairs made from atoms for no more than the atoms.
     """
-    step = both_ways(bonds)
+    step = both_ways(bonds).hint("merge")
     walks = starts.select(
         "sid", F.col("idx").alias("start"), F.col("idx").alias("at"), F.array("idx").alias("path"))
     if n_atoms < 2:

@@ -38,6 +38,19 @@ def test_atoms_of_small_structures_are_paired_without_a_join(spark):
     assert sorted((r.sid, r.i, r.j, r.dist) for r in pairs.collect()) == [(1, 0, 1, 0.9), (2, 0, 1, 0.0)]
 
 
+def test_walks_do_not_broadcast_bonds(spark, tmp_path):
+    # Tables in files have sizes, which are small here; so they seemed to the plan however many pairs came of them.
+    path, size = str(tmp_path / "atoms"), 5
+    spark.createDataFrame([(s, i, 6, 0.0, 0.0, 0.0) for s in range(3) for i in range(size)], ATOMS).write.parquet(path)
+    atoms = spark.read.parquet(path)
+    walks = geometry.n_hop_walks(geometry.neighbour_list(atoms), atoms, 3)
+    assert "Broadcast" not in _plan(walks)
+    found = [(r.sid, *r.path) for r in walks.collect()]
+    assert "Broadcast" not in _plan(walks)
+    ends = range(size)
+    assert sorted(found) == [(s, a, b, c) for s in range(3) for a in ends for b in ends for c in ends if a != b and b != c]
+
+
 def test_pairs_of_rows_are_compared_in_batches(spark):
     def row(sid, *atoms):
         return sid, [z for z, _ in atoms], [p for _, p in atoms]
