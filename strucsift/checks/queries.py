@@ -18,7 +18,7 @@ from strucsift.operators import (
 )
 from strucsift.operators.info import as_variant
 from strucsift.plans import actions, export, formats, ingest, process, select
-from strucsift.session import scratch_path, ship_package
+from strucsift.session import cut_lineage, freed_shuffles, scratch_path, ship_package
 from strucsift.sources import extxyz, landing, querydb, sidecar, store
 from strucsift.streaming import incremental
 
@@ -876,8 +876,11 @@ def process_xyz(fx):
     path, table = scratch_path(fx.spark, "xyz"), scratch_path(fx.spark, "table")
     source = _with_info(fx, config_type=F.coalesce(F.col("info")["data_id"], F.lit("none")), total_charge=F.col("info")["charge"],
                         num_atoms=F.size("numbers"), spin=F.lit(1))
-    text = extxyz.extxyz_text(_one_file_each(source), F.col("source_file_name"))
-    text.select("source_file_name", F.col("value")).write.partitionBy("source_file_name").option("compression", "none").format("text").save(path)
+    # Texts are moved and sorted, not the arrays that they are made of, which are larger; and from a table, when the shuffles
+    # that made them are gone from the disks.
+    text = _one_file_each(cut_lineage(extxyz.extxyz_text(source, F.col("source_file_name"), F.col("sid")), "texts"))
+    with freed_shuffles(fx.spark):
+        text.select("source_file_name", "value").write.partitionBy("source_file_name").option("compression", "none").format("text").save(path)
     ingest.process_files(fx.spark, path, "xyz", table, "Fixture_DB", "Full", glob="*.txt", name=F.regexp_extract("path", FOLDER, 1),
                          metadata={"functional": "PBE"})
     return _committed(fx, table).select(*INGESTED, "file_extension")

@@ -37,15 +37,16 @@ def _read_parquet(spark: SparkSession, path: str, glob: str) -> DataFrame:
 @dataclass(frozen=True)
 class Format:
     """How files of a dataset format are found and read: ``read`` takes the session, the folder and a glob of
-    file names, and gives path, frame_idx and a frame."""
+    file names, and gives path, frame_idx and a frame. ``written``: from a table that it has made, not from the files."""
 
     extension: str
     read: Callable[[SparkSession, str, str], DataFrame]
+    written: bool = False
 
 
 _PARQUET = Format("parquet", _read_parquet)
 FORMATS = {
-    "xyz": Format("extxyz", extxyz.read_extxyz),
+    "xyz": Format("extxyz", extxyz.read_extxyz, written=True),
     "xyz_oc": Format("extxyz.xz", extxyz.read_extxyz_xz),
     **{name: _PARQUET for name in ("aselmdb_omol", "aselmdb_omat", "aselmdb_odac", "aselmdb_omc", "aselmdb_oc")},
 }
@@ -88,15 +89,18 @@ def _format_columns(fmt: str) -> list[Callable[[DataFrame], DataFrame]]:
 def derive_frames(frames: DataFrame, fmt: str, database_name: str, split_name: str, name: Column | None = None,
                   metadata: Mapping[str, str] | None = None, sidecar: DataFrame | None = None, strict: bool = True,
                   graph: bool = False, atom_limit: int = 200, skip_subsets: Sequence[str] = (),
-                  matches: DataFrame | None = None) -> DataFrame:
+                  matches: DataFrame | None = None, written: bool = False) -> DataFrame:
     """Rows of the query table from frames of a format (path, frame_idx, numbers, positions, ...).
 
+    Frames are read more than once and so written first, unless they come from a table already (``written``).
     ``sidecar`` (source_file_name, frame_idx, ...; see ``catalyst_sidecar``) gives columns that replace
     metadata of the same name. With ``strict`` a mapped field that a structure lacks fails the job and
     names those it has, and so does a file without a sidecar.
     """
     stem = name if name is not None else file_stem(F.col("path"), format_of(fmt).extension)
-    landed = cut_lineage(land(frames, database_name, split_name, stem), "landed")
+    landed = land(frames, database_name, split_name, stem)
+    if not written:
+        landed = cut_lineage(landed, "landed")
     atoms = explode_structures(landed, "sid").filter("z IS NOT NULL")
     before = _format_columns(fmt)
     if sidecar is not None:
@@ -124,7 +128,8 @@ def process_files(spark: SparkSession, path: str, fmt: str, table: str, database
     Files are those with the format's extension, or of ``glob``. ``options`` go to ``derive_frames``. A run that fails leaves the table and its registry as they were.
     """
     how = format_of(fmt)
-    rows = derive_frames(how.read(spark, path, glob or f"*.{how.extension}"), fmt, database_name, split_name, **options)
+    frames = how.read(spark, path, glob or f"*.{how.extension}")
+    rows = derive_frames(frames, fmt, database_name, split_name, written=how.written, **options)
     store.commit(rows, table, source_entry(spark, path, how.extension, database_name, split_name), check_keys)
 
 

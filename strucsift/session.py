@@ -5,11 +5,15 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+# Spark's setting for removing the shuffle files of a query when it has ended.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -34,14 +38,33 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of each write inside as soon as it has ended.
+
+    Otherwise they stay until the driver collects the garbage of their plan, so that the files of all steps
+    of a job are on the disks together. A write is planned anew each time, so nothing reads them again.
+    """
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later jobs start from the table.
 
     The table outlives any executor, and being columnar it is cheaper to write and to read in
-    part than a checkpoint of serialised rows.
+    part than a checkpoint of serialised rows. The shuffle files of its making go with the write.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,14 +2,18 @@
 
 import contextlib
 import io
+import time
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from strucsift import session
 from strucsift.operators import geometry, rowwise
 from strucsift.operators.ranking import rank_in_groups, rank_within
-from strucsift.sources import extxyz
+from strucsift.plans import ingest
+from strucsift.schema import QUERY_SCHEMA
+from strucsift.sources import extxyz, store
 
 ATOMS = "sid bigint, idx bigint, z int, px double, py double, pz double"
 
@@ -79,3 +83,43 @@ def test_frames_of_one_layout_are_parsed_together():
     each = [extxyz._record(*n, f) for n, f in zip(names, frames, strict=True)]
     assert got == [r | {c: list(r[c].items()) for c in ("info", "arrays")} for r in each]
     assert extxyz._alike([(f[1], [x for x in f[2:] if x]) for f in frames[:2]], schema) is not None
+
+
+def _shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {name for name in found.split("\n") if "/shuffle_" in name}
+
+
+def test_a_step_leaves_no_shuffle_files(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, there = spark.conf.get(setting), _shuffle_files(spark)
+    rows = spark.range(10_000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n")).orderBy("n")
+    step = session.cut_lineage(rows)
+    # They are removed in the background.
+    until = time.time() + 20
+    while _shuffle_files(spark) - there and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - there and spark.conf.get(setting) == before
+    assert sorted(map(tuple, step.collect())) == sorted(map(tuple, rows.collect())) == [(k, 1429 if k < 4 else 1428) for k in range(7)]
+
+
+def test_frames_of_text_are_written_once(spark, tmp_path, monkeypatch):
+    atom = "H 0 0 0 1 2 3\n"
+    frames = [f"{n}\nProperties=species:S:1:pos:R:3:forces:R:3 config_type=a total_charge=0 num_atoms={n} spin=1 energy=-{n}\n{atom * n}"
+              for n in (1, 2, 3, 300, 2)]
+    (tmp_path / "raw").mkdir()
+    for name in "ab":
+        (tmp_path / "raw" / f"{name}.extxyz").write_text("".join(frames))
+    steps = []
+    for module in (extxyz, ingest, rowwise):
+        monkeypatch.setattr(module, "cut_lineage", lambda df, label="step": (steps.append(label), session.cut_lineage(df, label))[1])
+    # Splits of some frames: a piece at a border is joined with the next ones.
+    monkeypatch.setattr(extxyz, "PIECES_PER_BATCH", 2)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        ingest.process_files(spark, str(tmp_path / "raw"), "xyz", str(tmp_path / "table"), "db", "s")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert steps == ["frames", "splits", "large"]
+    rows = store.committed(spark, str(tmp_path / "table"), QUERY_SCHEMA).select("entry_key", "num_atoms", "energy").collect()
+    assert sorted(map(tuple, rows)) == sorted((f"db_s_{name}_{i}", n, -float(n)) for name in "ab" for i, n in enumerate((1, 2, 3, 300, 2)))
